@@ -18,8 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetgrain.functions.numbers import coordinate_text, coordinate_units
-from streetgrain.functions.text import is_blank, json_string, parse_number, strip
+from streetgrain.functions.numbers import round_coordinates
+from streetgrain.functions.text import is_blank, json_string, strip
 from streetgrain.schema import ADDRESS_COLUMNS, ATTRIBUTES, X_COLUMN, Y_COLUMN
 
 
@@ -385,13 +385,7 @@ def conform(
         seed.alias("_seed"),
         *[F.col(f"`{k}`").alias(f"_keep_{k}") for k in keep],
     )
-    for name in ("LON", "LAT"):
-        rows = rows.withColumn(f"_{name}", parse_number(F.col(name)))
-    for name in ("LON", "LAT"):
-        rows = rows.withColumn(f"_{name}_units", coordinate_units(F.col(f"_{name}")))
-    rows = rows.withColumns(
-        {n: coordinate_text(F.col(n), F.col(f"_{n}"), F.col(f"_{n}_units")) for n in ("LON", "LAT")}
-    )
+    rows = round_coordinates(rows, ["LON", "LAT"])
     digest = row_hash(F.col("_seed"), {n: F.col(n) for n in columns})
     return rows.select(
         *[F.col(n) for n in ADDRESS_COLUMNS if n != "HASH"],

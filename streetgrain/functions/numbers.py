@@ -1,13 +1,13 @@
 """Coordinate text: seven decimals, twelve significant digits, no padding.
 
-The work is split in three small expressions (value, units, text) so that a job
-can put each in its own projection; nested in one expression they would repeat
-each other many times.
+The work is split in three small expressions (value, units, text), each in a
+projection of its own; nested in one expression they would repeat each other
+many times.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetgrain.functions.text import parse_number, strip, strip_zeros
@@ -69,7 +69,14 @@ def coordinate_text(text: Column, value: Column, units: Column) -> Column:
     )
 
 
-def round_coordinate(text: Column) -> Column:
-    """Coordinate text rounded to seven decimals, as one expression."""
-    value = parse_number(text)
-    return coordinate_text(text, value, coordinate_units(value))
+def round_coordinates(df: DataFrame, names: list[str]) -> DataFrame:
+    """The named text columns rounded to seven decimals.
+
+    Three projections: each reads finished values of the one before.
+    """
+    for name in names:
+        df = df.withColumn(f"_{name}", parse_number(F.col(f"`{name}`")))
+    for name in names:
+        df = df.withColumn(f"_{name}_units", coordinate_units(F.col(f"`_{name}`")))
+    made = {n: coordinate_text(F.col(f"`{n}`"), F.col(f"`_{n}`"), F.col(f"`_{n}_units`")) for n in names}
+    return df.withColumns(made).drop(*[c for n in names for c in (f"_{n}", f"_{n}_units")])

@@ -12,17 +12,23 @@ from streetgrain.functions.text import parse_number
 def on_earth(df: DataFrame, lon: str = "LON", lat: str = "LAT") -> DataFrame:
     """Rows whose coordinate texts are numbers on the globe.
 
-    Adds the parsed ``lon`` / ``lat`` as doubles. NaN is not on the globe.
+    NaN is not on the globe. See :func:`parseable_point` for the columns.
     """
     parsed = parseable_point(df, lon, lat)
     return parsed.filter(F.col("lon").between(-180, 180) & F.col("lat").between(-90, 90))
 
 
 def parseable_point(df: DataFrame, lon: str = "LON", lat: str = "LAT") -> DataFrame:
-    """Rows whose coordinate texts are numbers, anywhere."""
-    kept = [c for c in df.columns if c not in ("lon", "lat")]
+    """Rows whose coordinate texts are numbers, anywhere.
+
+    The texts are renamed to ``lon_text`` / ``lat_text`` and the numbers are
+    ``lon`` / ``lat``.
+    """
+    taken = {lon.lower(), lat.lower(), "lon", "lat", "lon_text", "lat_text"}
     parsed = df.select(
-        *[F.col(f"`{c}`") for c in kept],
+        *[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken],
+        F.col(lon).alias("lon_text"),
+        F.col(lat).alias("lat_text"),
         parse_number(F.col(lon)).alias("lon"),
         parse_number(F.col(lat)).alias("lat"),
     )

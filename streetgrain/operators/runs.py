@@ -336,9 +336,8 @@ def run_time_text(cache_time: Column, process_time: Column) -> Column:
     """Sum of two run times in whole seconds as ``H:MM:SS``; null if one is missing."""
     total = F.floor(duration_seconds(cache_time)) + F.floor(duration_seconds(process_time))
     total = total.cast("bigint")
-    return F.format_string(
-        "%d:%02d:%02d", F.floor(total / 3600), F.floor(total / 60) % 60, total % 60
-    )
+    clock = F.format_string("%d:%02d:%02d", F.floor(total / 3600), F.floor(total / 60) % 60, total % 60)
+    return F.when(total.isNotNull(), clock)
 
 
 def batch_order(df: DataFrame, run_time: str = "run_time", path: str = "path") -> DataFrame:

@@ -4,7 +4,7 @@ a large key into several files and pack small ones together."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetgrain.functions.text import canonical_url, relative_path
@@ -32,7 +32,7 @@ def write_collections(addresses: DataFrame, licenses: DataFrame, path: str) -> N
     source_base``; ``licenses``: ``collection, license_attr, part, text``.
     """
     keys = ["collection", "license_attr"]
-    rows = addresses.select(*keys, F.col("source_base").alias("source"), *ADDRESS_COLUMNS)
+    rows = addresses.select(*keys, F.col("source_base").alias("source"), *_address_columns(addresses))
     (
         _rebalanced(rows, *keys, "source").write.mode("overwrite").partitionBy(*keys)
         .option("header", "true").option("escape", '"').csv(f"{path}/addresses")
@@ -45,7 +45,7 @@ def write_tiles(addresses: DataFrame, licenses: DataFrame, path: str) -> None:
     """Address files per one-degree tile with their source, licence texts beside."""
     keys = ["tile_lon", "tile_lat"]
     keyed = addresses.withColumns(tile_key(F.col("lon"), F.col("lat")))
-    rows = keyed.select(*keys, *[F.col(c) for c in _address_columns(keyed)], F.col("source_base").alias(SOURCE_COLUMN))
+    rows = keyed.select(*keys, *_address_columns(keyed), F.col("source_base").alias(SOURCE_COLUMN))
     (
         _rebalanced(rows, *keys).write.mode("overwrite").partitionBy(*keys)
         .option("header", "true").option("escape", '"').csv(f"{path}/addresses")
@@ -55,9 +55,10 @@ def write_tiles(addresses: DataFrame, licenses: DataFrame, path: str) -> None:
     ).text(f"{path}/licenses")
 
 
-def _address_columns(df: DataFrame) -> list[str]:
-    exact = set(df.columns)
-    return [c for c in ADDRESS_COLUMNS if c in exact and c not in ("LON", "LAT")]
+def _address_columns(df: DataFrame) -> list[Column]:
+    """The canonical columns; parsed points carry the coordinate texts apart."""
+    renamed = {"LON": "lon_text", "LAT": "lat_text"} if "lon_text" in df.columns else {}
+    return [F.col(renamed.get(c, c)).alias(c) for c in ADDRESS_COLUMNS]
 
 
 def state_table(runs: DataFrame, host: str) -> DataFrame:
