@@ -6,7 +6,7 @@ import importlib
 
 from streetgrain.catalog.base import CHECK_SQL, QUERIES
 
-MODULES = ["spatial", "conform", "ledger", "scalars"]
+MODULES = ["spatial", "conform", "ledger", "scalars", "sources", "coverage", "products", "stream"]
 
 
 def _load() -> None:

@@ -384,9 +384,11 @@ SHAPE = {
 SHAPES_SQL = "shapes AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in SHAPE.items()) + " FROM orders)"
 
 
-def shapes(spark, sf_dir):
+def shapes(spark, sf_dir, dx: float = 0.0, dy: float = 0.0):
     """Rectangles with a rectangular hole, from the orders."""
     s = table(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {n}" for n, e in SHAPE.items()])
+    if dx or dy:
+        s = s.withColumns({"x0": F.col("x0") + dx, "y0": F.col("y0") + dy})
     x, y, w, h = (F.col(c) for c in ("x0", "y0", "w", "h"))
     outer = geo.box_ring(x, y, x + w, y + h)
     hole = geo.box_ring(x + w / 4, y + h / 4, x + w / 2, y + h / 2)

@@ -48,7 +48,7 @@ def box_ring(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     )
 
 
-def _edges(path: Column) -> Column:
+def edges_of(path: Column) -> Column:
     """Pairs of neighbouring points."""
     starts = F.slice(path, F.lit(1), F.greatest(F.size(path) - 1, F.lit(0)))
     return F.transform(
@@ -74,7 +74,7 @@ def ring_moments(ring: Column) -> Column:
 
     zero = F.lit(0.0).cast("double")
     start = F.struct(zero.alias("a"), zero.alias("x"), zero.alias("y"))
-    return F.aggregate(_edges(ring), start, add)
+    return F.aggregate(edges_of(ring), start, add)
 
 
 def polygon_area(rings: Column) -> Column:
@@ -141,7 +141,7 @@ def path_centroid(paths: Column) -> Column:
 
     zero = F.lit(0.0).cast("double")
     start = F.struct(zero.alias("a"), zero.alias("x"), zero.alias("y"))
-    edges = F.flatten(F.transform(paths, _edges))
+    edges = F.flatten(F.transform(paths, edges_of))
     total = F.aggregate(
         edges, start, add,
         lambda t: F.when(t["a"] > 0, point(t["x"] / t["a"], t["y"] / t["a"])),
@@ -189,7 +189,7 @@ def clip_to_box(rings: Column, xmin: Column, ymin: Column, xmax: Column, ymax: C
         def close(ring: Column) -> Column:
             return F.when(F.size(ring) > 0, F.concat(ring, F.slice(ring, 1, 1))).otherwise(ring)
 
-        cut = F.transform(rings, lambda ring: F.flatten(F.transform(_edges(ring), step)))
+        cut = F.transform(rings, lambda ring: F.flatten(F.transform(edges_of(ring), step)))
         return F.transform(cut, close)
 
     for axis, limit, above in (("x", xmin, True), ("x", xmax, False), ("y", ymin, True), ("y", ymax, False)):

@@ -78,8 +78,8 @@ def nice_size(column: Column) -> Column:
         .otherwise(F.struct((column / tb).alias("n"), F.lit("TB").alias("u")))
     )
     number, unit = scaled["n"], scaled["u"]
-    digits = F.when(number < 10, F.format_number(F.bround(number, 1), "0.0")).otherwise(
-        F.format_number(F.bround(number, 0), "0")
+    digits = F.when(number < 10, F.format_string("%.1f", F.bround(number, 1))).otherwise(
+        F.format_string("%.0f", F.bround(number, 0))
     )
     return F.concat(digits, unit)
 
@@ -88,7 +88,7 @@ def nice_age(seconds: Column, now: Column) -> Column:
     """Age in words; a calendar date once it is more than ninety days."""
     days = F.floor(seconds / 86400)
     words = lambda value, unit: F.concat(
-        F.format_number(F.bround(value, 0), "0"), F.lit(f" {unit} ago")
+        F.format_string("%.0f", F.bround(value, 0)), F.lit(f" {unit} ago")
     )
     moment = F.timestamp_micros((F.unix_micros(now) - seconds.cast("bigint") * 1000000))
     return (

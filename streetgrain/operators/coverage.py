@@ -97,24 +97,33 @@ def grid_coverage(points: DataFrame, keys: list[str], per_degree: int = 10) -> D
 
 
 def cells_of_rings(df: DataFrame, keys: list[str], rings: str = "rings", per_degree: int = 10) -> DataFrame:
-    """Fine cells whose centre lies in a polygon, each once per key.
+    """Fine cells whose centre lies in a polygon (even-odd), each once per key.
 
-    The even-odd rule runs over the edges of all rings. A shape is spread over
-    the cells of its envelope first, so that work on a large one is shared.
+    A scan-line fill in relational form: every edge gives its crossing with
+    each row of cell centres it spans; the sorted crossings of a shape in a row
+    pair up to runs of cells. A large shape is thus spread over its rows, and
+    copies of a shape fall together before the shuffle.
     """
-    e = geo.envelope(F.col(rings))
-    index = lambda c: F.floor(c * per_degree).cast("bigint")
-    rows = df.select(*keys, F.col(rings).alias("_rings"), e.alias("_e"))
-    rows = rows.withColumn("cell_x", F.explode(F.sequence(index(F.col("_e.xmin")), index(F.col("_e.xmax")))))
-    rows = rows.withColumn("cell_y", F.explode(F.sequence(index(F.col("_e.ymin")), index(F.col("_e.ymax")))))
-    x = (F.col("cell_x") + 0.5) / per_degree
+    ceil = lambda c: F.ceil(c).cast("bigint")
+    shape = [F.xxhash64(rings).alias("_shape"), F.hash(rings).alias("_shape2")]
+    edges = F.flatten(F.transform(F.col(rings), geo.edges_of))
+    rows = df.select(*keys, *shape, F.posexplode(edges).alias("_i", "_edge"))
+    p, q = F.col("_edge.p"), F.col("_edge.q")
+    low, high = F.least(p["y"], q["y"]), F.greatest(p["y"], q["y"])
+    first, last = ceil(low * per_degree - 0.5), ceil(high * per_degree - 0.5) - 1
+    rows = rows.filter(first <= last).withColumn("cell_y", F.explode(F.sequence(first, last)))
     y = (F.col("cell_y") + 0.5) / per_degree
-    crosses = lambda edge: ((edge["p"]["y"] > y) != (edge["q"]["y"] > y)) & (
-        x < (edge["q"]["x"] - edge["p"]["x"]) * (y - edge["p"]["y"]) / (edge["q"]["y"] - edge["p"]["y"]) + edge["p"]["x"]
+    x = (q["x"] - p["x"]) * (y - p["y"]) / (q["y"] - p["y"]) + p["x"]
+    crossings = rows.groupBy(*keys, "_shape", "_shape2", "cell_y").agg(
+        F.array_sort(F.collect_set(F.struct(x.alias("x"), F.col("_i").alias("i")))).alias("_xs")
     )
-    edges = F.flatten(F.transform(F.col("_rings"), geo._edges))
-    inside = F.size(F.filter(edges, crosses)) % 2 == 1
-    return rows.filter(inside).select(*keys, "cell_x", "cell_y").distinct()
+    at = lambda k: ceil(F.try_element_at("_xs", k)["x"] * per_degree - 0.5)
+    pairs = F.sequence(F.lit(1), (F.size("_xs") / 2).cast("int"))
+    spans = F.transform(pairs, lambda k: F.struct(at(k * 2 - 1).alias("a"), (at(k * 2) - 1).alias("b")))
+    runs = crossings.filter(F.size("_xs") >= 2).select(*keys, "cell_y", F.explode(spans).alias("_s"))
+    runs = runs.filter(F.col("_s.a") <= F.col("_s.b"))
+    cells = runs.select(*keys, F.explode(F.sequence("_s.a", "_s.b")).alias("cell_x"), "cell_y")
+    return cells.distinct()
 
 
 # --- geographies and their sources -----------------------------------------------

@@ -145,7 +145,9 @@ def acceptance_results(spark: SparkSession, source: dict) -> DataFrame | None:
     tests = source.get("test", {}).get("acceptance-tests")
     if not source.get("test", {}).get("enabled", True) or not tests:
         return None
-    names = sorted({k for t in tests for k in t["inputs"]})
+    given = {k for t in tests for k in t["inputs"]}
+    have = {k.lower() for k in given}
+    names = sorted(given | {f for f in C.required_fields(source["conform"]) if f.lower() not in have})
     schema = "index int, description string, inputs map<string,string>, expected map<string,string>"
     rows = spark.createDataFrame(
         [(i, t.get("description", f"test {i}"), t["inputs"], t["expected"]) for i, t in enumerate(tests)], schema
@@ -157,11 +159,11 @@ def acceptance_results(spark: SparkSession, source: dict) -> DataFrame | None:
     made = C.conform(inputs, source["conform"], "test", keep=keep)
     actual = F.create_map(*[x for c in ADDRESS_COLUMNS for x in (F.lit(c.lower()), F.col(c))])
     pairs = F.explode("expected").alias("name", "wanted")
-    checked = made.withColumn("_actual", actual).select("index", "description", "_actual", "_error", pairs)
+    checked = made.withColumn("_actual", actual).select("index", "description", "_actual", pairs)
     got = F.try_element_at("_actual", F.lower("name"))
     return checked.select(
-        "index", "description", "name", F.col("wanted").alias("expected"), got.alias("actual"), "_error"
-    ).filter(~F.col("expected").eqNullSafe(F.col("actual")) | F.col("_error").isNotNull())
+        "index", "description", "name", F.col("wanted").alias("expected"), got.alias("actual")
+    ).filter(~F.col("expected").eqNullSafe(F.col("actual")))
 
 
 def check_acceptance_tests(spark: SparkSession, source: dict) -> tuple[bool | None, str | None]:

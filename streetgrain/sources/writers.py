@@ -12,11 +12,18 @@ from streetgrain.operators.spatial import tile_key
 from streetgrain.schema import ADDRESS_COLUMNS, SOURCE_COLUMN, STATE_TABLE_COLUMNS
 
 
+# Texts are written as they are: blanks kept, quotes doubled.
+CSV_OPTIONS = {
+    "header": "true", "escape": '"', "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_addresses(df: DataFrame, path: str, form: str = "csv") -> None:
     """The canonical columns, as CSV with header or as Parquet."""
     rows = df.select(*ADDRESS_COLUMNS)
     if form == "csv":
-        rows.write.mode("overwrite").option("header", "true").option("emptyValue", "").option("escape", '"').csv(path)
+        rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     else:
         rows.write.mode("overwrite").format(form).save(path)
 
@@ -35,24 +42,31 @@ def write_collections(addresses: DataFrame, licenses: DataFrame, path: str) -> N
     rows = addresses.select(*keys, F.col("source_base").alias("source"), *_address_columns(addresses))
     (
         _rebalanced(rows, *keys, "source").write.mode("overwrite").partitionBy(*keys)
-        .option("header", "true").option("escape", '"').csv(f"{path}/addresses")
+        .options(**CSV_OPTIONS).csv(f"{path}/addresses")
     )
     texts = licenses.select(*keys, "part", F.col("text").alias("value"))
     texts.write.mode("overwrite").partitionBy(*keys, "part").text(f"{path}/licenses")
 
 
-def write_tiles(addresses: DataFrame, licenses: DataFrame, path: str) -> None:
-    """Address files per one-degree tile with their source, licence texts beside."""
+def write_tiles(addresses: DataFrame, licenses: DataFrame, path: str, folders: tuple[str, ...] = ("tile_lon", "tile_lat")) -> None:
+    """Address files per one-degree tile with their source, licence texts beside.
+
+    One folder per tile suits a published index. For a table to be queried,
+    ``folders=("tile_lon",)`` keeps the count of folders small; the rows of a
+    tile then lie together in their files.
+    """
     keys = ["tile_lon", "tile_lat"]
     keyed = addresses.withColumns(tile_key(F.col("lon"), F.col("lat")))
     rows = keyed.select(*keys, *_address_columns(keyed), F.col("source_base").alias(SOURCE_COLUMN))
     (
-        _rebalanced(rows, *keys).write.mode("overwrite").partitionBy(*keys)
-        .option("header", "true").option("escape", '"').csv(f"{path}/addresses")
+        _rebalanced(rows, *folders).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(*folders)
+        .options(**CSV_OPTIONS).csv(f"{path}/addresses")
     )
-    licenses.select(*keys, "part", F.col("text").alias("value")).write.mode("overwrite").partitionBy(
-        *keys, "part"
-    ).text(f"{path}/licenses")
+    texts = licenses.select(*keys, "part", F.col("text").alias("value"))
+    if len(folders) == len(keys):
+        texts.write.mode("overwrite").partitionBy(*keys, "part").text(f"{path}/licenses")
+    else:
+        texts.write.mode("overwrite").partitionBy(*folders).parquet(f"{path}/licenses")
 
 
 def _address_columns(df: DataFrame) -> list[Column]:
@@ -81,7 +95,7 @@ def state_table(runs: DataFrame, host: str) -> DataFrame:
 
 
 def write_state_tsv(table: DataFrame, path: str) -> None:
-    table.write.mode("overwrite").option("header", "true").option("sep", "\t").option("escape", '"').csv(path)
+    table.write.mode("overwrite").options(**CSV_OPTIONS).option("sep", "\t").csv(path)
 
 
 def geojson_lines(df: DataFrame, lon: str = "lon", lat: str = "lat", drop: list[str] = []) -> DataFrame:
@@ -117,7 +131,7 @@ def package_outputs(addresses: DataFrame, sources: DataFrame, path: str) -> None
     rows = addresses.select("source", *ADDRESS_COLUMNS)
     (
         _rebalanced(rows, "source").write.mode("overwrite").partitionBy("source")
-        .option("header", "true").option("escape", '"').csv(f"{path}/data")
+        .options(**CSV_OPTIONS).csv(f"{path}/data")
     )
     package_readme(sources).select("source", F.col("text").alias("value")).write.mode(
         "overwrite"
