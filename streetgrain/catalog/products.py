@@ -151,9 +151,9 @@ def cell_sql(source: str, keys: str, w: str, h: str) -> str:
     "per AS (SELECT lc.iso_a2, floor(cell_x / CAST(10 AS DOUBLE)) AS lon, floor(cell_y / CAST(10 AS DOUBLE)) AS lat, CASE WHEN count(cc.iso_a2) > 0 THEN count(cc.iso_a2) / CAST(count(*) AS DOUBLE) END AS fraction "
     "FROM lc LEFT JOIN cc USING (iso_a2, cell_x, cell_y) GROUP BY 1, 2, 3), "
     "st AS (SELECT *, CAST(100 + (lon + 180) % 7 AS DOUBLE) AS area, CAST(1000 + (lat + 90) % 11 AS DOUBLE) AS population FROM per), "
-    "s AS (SELECT iso_a2, sum(area * fraction) AS at, sum(population * fraction) AS pt, sum(area * fraction) / sum(area) AS ap, sum(population * fraction) / sum(population) AS pp FROM st GROUP BY 1) "
-    "SELECT s.iso_a2, 'Land ' || s.iso_a2 AS name, round(at, 4) AS area_total, round(pt, 4) AS pop_total, round(ap, 6) AS area_pct, round(pp, 6) AS pop_pct, "
-    "CASE WHEN pp > 0.98 THEN 'best' WHEN pp > 0.15 THEN 'okay' ELSE 'empty' END AS band, CAST(c.n AS BIGINT) AS addr_count FROM s LEFT JOIN (SELECT iso_a2, sum(count) AS n FROM cut GROUP BY 1) c ON c.iso_a2 = s.iso_a2",
+    "s AS (SELECT iso_a2, sum(area * fraction) AS a_t, sum(population * fraction) AS p_t, sum(area * fraction) / sum(area) AS a_p, sum(population * fraction) / sum(population) AS p_p FROM st GROUP BY 1) "
+    "SELECT s.iso_a2, 'Land ' || s.iso_a2 AS name, round(a_t, 4) AS area_total, round(p_t, 4) AS pop_total, round(a_p, 6) AS area_pct, round(p_p, 6) AS pop_pct, "
+    "CASE WHEN p_p > 0.98 THEN 'best' WHEN p_p > 0.15 THEN 'okay' ELSE 'empty' END AS band, CAST(c.n AS BIGINT) AS addr_count FROM s LEFT JOIN (SELECT iso_a2, sum(count) AS n FROM cut GROUP BY 1) c ON c.iso_a2 = s.iso_a2",
 )
 def _(spark, sf_dir):
     code = lambda key: F.split_part(F.lit("FR,DE,JP"), F.lit(","), (key % 3 + 1).cast("int"))

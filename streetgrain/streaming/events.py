@@ -131,11 +131,11 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str, mode: str =
         return spark.read.schema(stream.schema).parquet(out)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     query = writer.outputMode("update").foreachBatch(save).start()
     query.awaitTermination()
-    rows = spark.read.schema(stream.schema.add("_batch", "int")).parquet(out)
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
     others = [c for c in stream.columns if c not in keys]
-    last = F.max_by(F.struct(*others), "_batch")
+    last = F.max_by(F.struct(*others), "batch")
     return rows.groupBy(*keys).agg(last.alias("l")).select(*keys, "l.*")
