@@ -20,12 +20,11 @@ from streetgrain.functions import geo
 from streetgrain.functions.rules import state_value
 from streetgrain.operators import changes, spatial, statistics
 from streetgrain.operators import runs as ledger
-from streetgrain.schema import ADDRESS_COLUMNS, RUN_STATE_KEYS
+from streetgrain.schema import ADDRESS_COLUMNS, RUN_STATE_KEYS, X_COLUMN, Y_COLUMN
 from streetgrain.session import scratch_path
 from streetgrain.sources import readers, writers
 
 RAW = f"WITH raw AS ({view_sql('addr_raw')})"
-X, Y = F.col("`OA:x`"), F.col("`OA:y`")
 
 
 def lines_to(df, path):
@@ -88,7 +87,8 @@ CENTERS = (
 
 
 def centers(df):
-    return df.select("n", "k", F.round(X.cast("double"), 6).alias("x"), F.round(Y.cast("double"), 6).alias("y"))
+    number = lambda c: F.round(F.col(f"`{c}`").cast("double"), 6)
+    return df.select("n", "k", number(X_COLUMN).alias("x"), number(Y_COLUMN).alias("y"))
 
 
 @query("S02_read_geojson_lines", CENTERS)

@@ -211,8 +211,8 @@ def reuse_previous_run(
     combining aggregate; the two ends are running maxima within (file, block).
     Work is linear in the rows and a popular file is spread over its blocks.
     """
-    if interval_us % blocks:
-        raise ValueError("the interval must be a whole number of blocks")
+    if blocks < 2 or interval_us % blocks:
+        raise ValueError("the interval must be a whole number of blocks, two at least")
     width = interval_us // blocks
     block = lambda ts: F.floor(ts / width).cast("bigint")
     originals = runs.filter(F.col("status").isNotNull() & F.col("copy_of").isNull()).select(

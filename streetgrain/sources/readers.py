@@ -32,11 +32,14 @@ def _decoder(charset: str):
     return decode
 
 
-def _head_lines(spark: SparkSession, path: str, lines: int, encoding: str, delimiter: str) -> list[list[str]]:
+def _head_lines(
+    spark: SparkSession, path: str, lines: int, encoding: str, delimiter: str, multi_line: bool
+) -> list[list[str]]:
     """First records of the first file, for the header only."""
     rows = (
         spark.read.option("header", "false").option("sep", "\x01").option("quote", "")
-        .option("encoding", encoding).schema("line string").csv(path).limit(lines).collect()
+        .option("encoding", encoding).option("multiLine", str(multi_line).lower())
+        .schema("line string").csv(path).limit(lines).collect()
     )
     return list(csv.reader([r.line or "" for r in rows], delimiter=delimiter))
 
@@ -70,7 +73,9 @@ def read_source_csv(
     native = _NATIVE.get(charset) or (charset.upper() if charset.startswith(_WIDE) else None)
     transport = native or "ISO-8859-1"
     lines = 1 if headers in (None, -1) else headers
-    head = _head_lines(spark, path, lines, transport, delimiter)
+    # Bytes of a wide charset may look like line ends: such a file is one task.
+    multi_line = multi_line or charset.startswith(_WIDE)
+    head = _head_lines(spark, path, lines, transport, delimiter, multi_line)
     if len(head) < lines:
         raise ValueError(f"no header in {path}")
     plain = (lambda t: t) if native else (lambda t: t.encode("latin-1").decode(charset))
@@ -87,6 +92,8 @@ def read_source_csv(
         .option("encoding", transport).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("maxCharsPerColumn", -1).option("enforceSchema", "true")
+        # Every field is needed to tell the width of a record.
+        .option("columnPruning", "false")
     )
     if multi_line:
         reader = reader.option("multiLine", "true")
@@ -243,6 +250,7 @@ def read_xml_features(
     """Point features of XML files.
 
     ``coordinates`` is the dotted path below ``row_tag`` of a text ``x,y``.
+    Namespace prefixes are ignored.
     """
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     names = coordinates.split(".")
@@ -251,7 +259,8 @@ def read_xml_features(
         nested = T.StructType([T.StructField(name, nested)])
     schema = T.StructType([*schema.fields, *nested.fields])
     rows = (
-        spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "true").schema(schema).load(path)
+        spark.read.format("xml").option("rowTag", row_tag.split(":")[-1]).option("ignoreNamespace", "true")
+        .schema(schema).load(path)
     )
     xy = F.split(F.trim(F.col(coordinates)), r"\s*,\s*")
     return rows.select(
@@ -289,7 +298,7 @@ def read_zipped_csv(
                                 chunksize=batch_rows,
                             )
                             for frame in frames:
-                                out = frame.reindex(columns=columns)
+                                out = frame.reindex(columns=columns).astype(object)
                                 out.insert(0, "archive", path_)
                                 out.insert(1, "member", member)
                                 yield out.where(out.notna(), None)
@@ -307,8 +316,8 @@ def fingerprint_files(spark: SparkSession, path: str, recursive: bool = True) ->
 def read_source_definitions(spark: SparkSession, directory: str) -> DataFrame:
     """All JSON files below a directory: relative ``path`` and ``definition``."""
     files = (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.[jJ][sS][oO][nN]").text(directory)
+        spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.[jJ][sS][oO][nN]").text(directory, wholetext=True)
     )
     root = directory.rstrip("/")
     full = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
