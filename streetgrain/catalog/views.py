@@ -19,11 +19,7 @@ _AREAS = "us/ca,us/ny,us-tx,us/il,de,fr,jp,br,mx,za,gb,us/va,ca,nz"
 
 def _fixed(value: str) -> str:
     """Plain decimal text with four places for a count of 1e-4 units."""
-    return (
-        f"concat(CASE WHEN {value} < 0 THEN '-' ELSE '' END, "
-        f"CAST(CAST(floor(abs({value}) / 10000) AS BIGINT) AS STRING), '.', "
-        f"lpad(CAST(abs({value}) % 10000 AS STRING), 4, '0'))"
-    )
+    return f"CAST(CAST({value} / 10000.0 AS DECIMAL(12, 4)) AS STRING)"
 
 
 def _source(key: str) -> str:
@@ -36,13 +32,10 @@ PTS: dict[str, Expression] = {
     "source_base": _source("l_suppkey"),
     "lon": f"CAST({_LON} AS DOUBLE) / 10000",
     "lat": f"CAST({_LAT} AS DOUBLE) / 10000",
-    "lon_text": f"CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN concat({_fixed(_LON)}, 'd') "
-    f"WHEN l_linenumber = 6 AND l_returnflag = 'R' THEN '' "
-    f"WHEN l_linenumber = 5 AND l_returnflag = 'R' THEN 'NaN' "
-    f"WHEN l_linenumber = 4 AND l_returnflag = 'R' THEN NULL "
-    f"WHEN l_linenumber = 3 AND l_returnflag = 'R' THEN concat(' ', {_fixed(_LON)}, ' ') "
-    f"WHEN l_linenumber = 2 AND l_returnflag = 'R' THEN {_fixed(_LON + ' * 2')} "
-    f"ELSE {_fixed(_LON)} END",
+    "lon_text": "CASE WHEN l_returnflag = 'R' AND l_linenumber = 6 THEN '' WHEN l_returnflag = 'R' AND l_linenumber = 5 THEN 'NaN' "
+    "WHEN l_returnflag = 'R' AND l_linenumber = 4 THEN NULL ELSE concat(CASE WHEN l_returnflag = 'R' AND l_linenumber = 3 THEN ' ' ELSE '' END, "
+    + _fixed(f"{_LON} * CASE WHEN l_returnflag = 'R' AND l_linenumber = 2 THEN 2 ELSE 1 END")
+    + ", CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 'd' WHEN l_returnflag = 'R' AND l_linenumber = 3 THEN ' ' ELSE '' END) END",
     "lat_text": _fixed(_LAT),
     "share_alike": "CASE WHEN l_suppkey % 5 = 0 THEN 'true' WHEN l_suppkey % 5 = 1 THEN '' ELSE 'false' END",
     "number": "CAST(l_partkey % 9000 AS STRING)",

@@ -31,9 +31,10 @@ def is_blank(column: Column) -> Column:
 def parse_number(column: Column) -> Column:
     """Text to double; null where the text is not a number.
 
-    A plain cast would also take Java literals such as ``1d`` or ``0x1p3``.
+    A plain cast would also take Java literals such as ``1d`` or ``0x1p3``. The
+    cast itself skips blanks around the number.
     """
-    return F.when(column.rlike(NUMBER_TEXT), strip(column).try_cast("double"))
+    return F.when(column.rlike(NUMBER_TEXT), column.try_cast("double"))
 
 
 def json_string(column: Column) -> Column:

@@ -14,8 +14,10 @@ def on_earth(df: DataFrame, lon: str = "LON", lat: str = "LAT") -> DataFrame:
 
     NaN is not on the globe. See :func:`parseable_point` for the columns.
     """
-    parsed = parseable_point(df, lon, lat)
-    return parsed.filter(F.col("lon").between(-180, 180) & F.col("lat").between(-90, 90))
+    parsed = _parsed(df, lon, lat)
+    # One mention per column: the filter moves below the projection, where every
+    # mention would parse the text again. NaN compares as greater than any number.
+    return parsed.filter((F.abs("lon") <= 180) & (F.abs("lat") <= 90))
 
 
 def parseable_point(df: DataFrame, lon: str = "LON", lat: str = "LAT") -> DataFrame:
@@ -24,15 +26,19 @@ def parseable_point(df: DataFrame, lon: str = "LON", lat: str = "LAT") -> DataFr
     The texts are renamed to ``lon_text`` / ``lat_text`` and the numbers are
     ``lon`` / ``lat``.
     """
+    parsed = _parsed(df, lon, lat)
+    return parsed.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+
+
+def _parsed(df: DataFrame, lon: str, lat: str) -> DataFrame:
     taken = {lon.lower(), lat.lower(), "lon", "lat", "lon_text", "lat_text"}
-    parsed = df.select(
+    return df.select(
         *[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken],
         F.col(lon).alias("lon_text"),
         F.col(lat).alias("lat_text"),
         parse_number(F.col(lon)).alias("lon"),
         parse_number(F.col(lat)).alias("lat"),
     )
-    return parsed.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
 
 
 def by_area(df: DataFrame, source_base: str = "source_base") -> DataFrame:

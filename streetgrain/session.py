@@ -16,6 +16,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Conform projections can grow large. A generated method above 8000 bytes is
+    # never compiled by the JVM; below the limit Spark generates the operator by
+    # itself instead, split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
