@@ -194,15 +194,16 @@ def _(spark, sf_dir):
         "series AS (SELECT tsname, sum(address_count) AS a, count(*) AS n, avg(cache_time) AS c, avg(process_time) AS p FROM stats WHERE address_count > 0 GROUP BY 1), "
         "vals AS (SELECT 'address_count' AS metric, CAST(address_count AS DOUBLE) AS value FROM last UNION ALL SELECT 'process_time', process_time FROM last UNION ALL SELECT 'cache_time', cache_time FROM last) "
         "SELECT 'timeseries' AS section, tsname AS name, 'addresses' AS measure, CAST(a AS DOUBLE) AS value FROM series "
-        "UNION ALL SELECT 'timeseries', tsname, 'successful_sources', CAST(n AS DOUBLE) FROM series UNION ALL SELECT 'timeseries', tsname, 'average_cache_time', round(c, 4) FROM series "
-        "UNION ALL SELECT 'timeseries', tsname, 'average_process_time', round(p, 4) FROM series "
+        "UNION ALL SELECT 'timeseries', tsname, 'successful_sources', CAST(n AS DOUBLE) FROM series UNION ALL SELECT 'timeseries', tsname, 'average_cache_time', round(c + 1e-9, 4) FROM series "
+        "UNION ALL SELECT 'timeseries', tsname, 'average_process_time', round(p + 1e-9, 4) FROM series "
         "UNION ALL SELECT 'last_batch', metric, CAST(CAST(value AS DECIMAL(20, 6)) AS VARCHAR), CAST(count(*) AS DOUBLE) FROM vals WHERE value IS NOT NULL GROUP BY metric, value "
         "UNION ALL SELECT 'lost_sources', source, max(tsname), CAST(max(address_count) AS DOUBLE) FROM lost GROUP BY source"
     ),
 )
 def _(spark, sf_dir):
     rows = products.dashboard_rows(runs(spark, sf_dir), sets(spark, sf_dir))
-    return rows.withColumn("value", F.round("value", 4))
+    mean = F.col("measure").startswith("average_")
+    return rows.withColumn("value", F.when(mean, F.round(F.col("value") + 1e-9, 4)).otherwise(F.col("value")))
 
 
 @query(

@@ -398,7 +398,7 @@ def _(spark, sf_dir):
     rows.repartition("nation").write.partitionBy("nation").json(path)
     found = readers.read_source_definitions(spark, path)
     folder = F.regexp_extract("path", "^(nation=[^/]*)/", 1)
-    each = found.select(folder.alias("folder"), F.explode(F.split(F.trim("definition"), "\n")).alias("line"))
+    each = found.select(folder.alias("folder"), F.explode(F.split("definition", "\n")).alias("line")).filter("line <> ''")
     key = F.get_json_object(F.get_json_object("line", "$.value"), "$.c_custkey").cast("bigint")
     return each.groupBy("folder").agg(F.sum(key).alias("keys"), F.count("*").alias("n"))
 

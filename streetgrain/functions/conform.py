@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetgrain.functions.numbers import round_coordinates
-from streetgrain.functions.text import is_blank, json_string, strip
+from streetgrain.functions.text import PLAIN_JSON, is_blank, json_string, strip
 from streetgrain.schema import ADDRESS_COLUMNS, ATTRIBUTES, X_COLUMN, Y_COLUMN
 
 
@@ -229,8 +229,7 @@ def _format(spec: dict, scope: Scope, target: str) -> Compiled:
         if literal:
             # The opening literal always stays; a later one only joins two values.
             pieces.append(F.lit(literal) if first else F.when(placed & filled, F.lit(literal)))
-        whole = F.when(value.endswith(".0"), value.substr(F.lit(1), F.length(value) - 2)).otherwise(value)
-        pieces.append(whole)
+        pieces.append(without_point_zero(value))
         placed = placed | filled
     pieces.append(F.lit(template[end:]))
     return Compiled(F.when(placed, F.concat_ws("", *pieces)).otherwise(F.lit("")))
@@ -269,7 +268,7 @@ def _first_non_empty(spec: dict, scope: Scope, target: str) -> Compiled:
 @_function("get")
 def _get(spec: dict, scope: Scope, target: str) -> Compiled:
     source, index = scope.get(spec["field"]), spec["index"]
-    bare = F.regexp_replace(F.translate(source, "[]'", ""), ", ", ",")
+    bare = F.replace(F.translate(source, "[]'", ""), F.lit(", "), F.lit(","))
     value = F.try_element_at(F.split(bare, ","), F.lit(index + 1 if index >= 0 else index))
     missing = source.isNotNull() & value.isNull()
     return Compiled(value, _needs({spec["field"]: source}) + [(missing, f"no element {index}")])
@@ -318,9 +317,13 @@ def compile_attributes(spec: dict, names: Iterable[str]) -> tuple[dict[str, Colu
     return values, problems
 
 
+def without_point_zero(text: Column) -> Column:
+    return F.when(text.endswith(".0"), text.substr(F.lit(1), F.length(text) - 2)).otherwise(text)
+
+
 def canonical_number(column: Column) -> Column:
     """Trimmed house number without a ``.0`` that a float column left behind."""
-    return F.regexp_replace(strip(F.coalesce(column, F.lit(""))), r"\.0$", "")
+    return without_point_zero(canonical_text(column))
 
 
 def canonical_text(column: Column) -> Column:
@@ -331,10 +334,19 @@ def row_hash(fingerprint: str | Column, columns: dict[str, Column]) -> Column:
     """Sixteen hex digits over the fingerprint and the name-sorted values."""
     if isinstance(fingerprint, str):
         fingerprint = F.lit(fingerprint)
-    pairs: list[Column] = []
-    for position, name in enumerate(sorted(columns)):
-        pairs += [F.lit(("[" if position == 0 else ",") + f'["{name}",'), json_string(columns[name]), F.lit("]")]
-    return F.substring(F.sha1(F.concat(fingerprint, *pairs, F.lit("]"))), 1, 16)
+
+    def document(quoted) -> Column:
+        pairs: list[Column] = [fingerprint]
+        for position, name in enumerate(sorted(columns)):
+            lead = ("[" if position == 0 else ",") + f'["{name}",'
+            pairs += [F.lit(lead), quoted(columns[name]), F.lit("]")]
+        return F.concat(*pairs, F.lit("]"))
+
+    # Most rows need no escape anywhere; one test tells for all values.
+    plain = F.concat_ws("", *columns.values()).rlike(PLAIN_JSON)
+    bare = lambda c: F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
+    text = F.when(plain, document(bare)).otherwise(document(json_string))
+    return F.substring(F.sha1(text), 1, 16)
 
 
 def address_columns(spec: dict, names: Iterable[str]) -> tuple[dict[str, Column], Column]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetgrain.functions.text import parse_number, strip, strip_zeros
+from streetgrain.functions.text import parse_number, strip_zeros
 
 
 def coordinate_units(value: Column) -> Column:
@@ -35,10 +35,11 @@ def coordinate_units(value: Column) -> Column:
 def coordinate_text(text: Column, value: Column, units: Column) -> Column:
     """Canonical text; ``text`` itself where it is no number."""
     # The sign of zero survives: "-0.00" becomes "-0".
-    sign = F.when(strip(text).startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    whole = F.floor(units / 10000000).cast("string")
-    digits = F.lpad((units % 10000000).cast("string"), 7, "0")
-    plain = F.concat(whole, F.lit("."), digits)
+    negative = (value < 0) | ((value == 0) & text.rlike(r"^\s*-"))
+    sign = F.when(negative, F.lit("-")).otherwise(F.lit(""))
+    whole, part = F.floor(units / 10000000).cast("string"), units % 10000000
+    digits = F.rtrim(F.lpad(part.cast("string"), 7, "0"), F.lit("0"))
+    plain = F.when(part == 0, whole).otherwise(F.concat(whole, F.lit("."), digits))
 
     # Below 1e-4 the shortest form has an exponent.
     tail = units.cast("string")
@@ -61,7 +62,7 @@ def coordinate_text(text: Column, value: Column, units: Column) -> Column:
     return (
         F.when(value.isNull(), text)
         .when(units.between(1, 999), F.concat(sign, tiny))
-        .when(units.isNotNull(), F.concat(sign, strip_zeros(plain)))
+        .when(units.isNotNull(), F.concat(sign, plain))
         .when(F.isnan(value), F.lit("nan"))
         .when(size == float("inf"), F.concat(sign, F.lit("inf")))
         .when(size < 1e12, F.concat(sign, strip_zeros(long_form)))

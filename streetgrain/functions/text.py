@@ -18,6 +18,9 @@ BLANKS = (
 
 NUMBER_TEXT = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
 
+# Text that a JSON string holds without any escape.
+PLAIN_JSON = r"^[ !#-\[\]-~]*$"
+
 
 def strip(column: Column) -> Column:
     """Remove blanks of every kind from both ends."""
@@ -53,7 +56,7 @@ def json_string(column: Column) -> Column:
         )
     )
     characters = F.regexp_extract_all(column, F.lit("(?s)."), F.lit(0))
-    plain = column.rlike(r"^[ !#-\[\]-~]*$")
+    plain = column.rlike(PLAIN_JSON)
     body = F.when(plain, column).otherwise(F.array_join(F.transform(characters, char_text), ""))
     return F.when(column.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), body, F.lit('"')))
 

@@ -41,14 +41,11 @@ def extract_and_reproject(df: DataFrame, conform: dict, protocol: str | None = N
     if lon is None or lat is None:
         raise C.ConformError("the coordinate columns are not in the source")
     others = [F.col(f"`{c}`") for c in df.columns if c not in dropped]
-    x, y = (F.translate(F.col(f"`{c}`"), ",", ".") for c in (lon, lat))
-    either_null = x.isNull() | y.isNull()
     none = F.lit(None).cast("string")
-    rows = df.select(
-        *others,
-        F.when(either_null, none).otherwise(x).alias(X_COLUMN),
-        F.when(either_null, none).otherwise(y).alias(Y_COLUMN),
+    pointed = lambda c, other: F.when(
+        F.col(f"`{other}`").isNotNull(), F.replace(F.col(f"`{c}`"), F.lit(","), F.lit("."))
     )
+    rows = df.select(*others, pointed(lon, lat).alias(X_COLUMN), pointed(lat, lon).alias(Y_COLUMN))
     if "srs" not in conform:
         return rows
     projection_for(conform["srs"])
