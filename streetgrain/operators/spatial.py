@@ -10,11 +10,12 @@ from streetgrain.functions import geo
 GRID_SIZES = (0.1, 0.2, 0.5, 1.0)
 
 
-def grid_summary(points: DataFrame, keys: list[str], size: float = 0.1) -> DataFrame:
+def grid_summary(points: DataFrame, keys: list[str], size: float = 0.1, ordered: bool = True) -> DataFrame:
     """Points per grid cell: ``keys, count, lon, lat, area``, by lat and lon.
 
     Cells are grouped by whole-number index; counts are combined before the
-    shuffle, so a crowded cell costs one row per task.
+    shuffle, so a crowded cell costs one row per task. Without ``ordered`` the
+    final sort is left out.
     """
     if size not in GRID_SIZES:
         raise ValueError(f"cell size must be one of {GRID_SIZES}")
@@ -23,7 +24,9 @@ def grid_summary(points: DataFrame, keys: list[str], size: float = 0.1) -> DataF
         F.count("*").alias("count")
     )
     lon, lat = F.col("_i") * size, F.col("_j") * size
-    return cells.orderBy(*keys, "_j", "_i").select(
+    if ordered:
+        cells = cells.orderBy(*keys, "_j", "_i")
+    return cells.select(
         *keys, "count",
         F.format_string("%.1f", lon).alias("lon"),
         F.format_string("%.1f", lat).alias("lat"),

@@ -52,7 +52,7 @@ def collect_extracts(addresses: DataFrame, facts: DataFrame, lon: str = "LON", l
     located = on_earth(addresses, lon, lat)
     names = sources.select("source_base", "collection", "license_attr")
     # Counts do not depend on the collection: count once, then attach.
-    summary = spatial.grid_summary(located, ["source_base"]).join(names, "source_base")
+    summary = spatial.grid_summary(located, ["source_base"], ordered=False).join(names, "source_base")
     return {
         "addresses": located.join(names, "source_base"),
         "summary": summary,
