@@ -96,14 +96,19 @@ def grid_coverage(points: DataFrame, keys: list[str], per_degree: int = 10) -> D
     )
 
 
-def cells_of_rings(df: DataFrame, keys: list[str], rings: str = "rings", per_degree: int = 10) -> DataFrame:
-    """Fine cells whose centre lies in a polygon (even-odd), each once per key.
+def cell_masks_of_rings(df: DataFrame, keys: list[str], rings: str = "rings", per_degree: int = 10) -> DataFrame:
+    """Fine cells whose centre lies in a polygon (even-odd), as bit masks.
+
+    ``keys, box_x, cell_y, mask``: bit i stands for cell ``box_x * per_degree +
+    i`` of the row ``cell_y``; overlapping polygons set a bit once.
 
     A scan-line fill in relational form: every edge gives its crossing with
     each row of cell centres it spans; the sorted crossings of a shape in a row
-    pair up to runs of cells. A large shape is thus spread over its rows, and
-    copies of a shape fall together before the shuffle.
+    pair up to runs of cells. A large shape is thus spread over its rows, copies
+    of a shape fall together before the shuffle, and so do runs in one box.
     """
+    if not 1 <= per_degree <= 32:
+        raise ValueError("between 1 and 32 cells per degree fit a mask")
     ceil = lambda c: F.ceil(c).cast("bigint")
     shape = [F.xxhash64(rings).alias("_shape"), F.hash(rings).alias("_shape2")]
     edges = F.flatten(F.transform(F.col(rings), geo.edges_of))
@@ -122,8 +127,38 @@ def cells_of_rings(df: DataFrame, keys: list[str], rings: str = "rings", per_deg
     spans = F.transform(pairs, lambda k: F.struct(at(k * 2 - 1).alias("a"), (at(k * 2) - 1).alias("b")))
     runs = crossings.filter(F.size("_xs") >= 2).select(*keys, "cell_y", F.explode(spans).alias("_s"))
     runs = runs.filter(F.col("_s.a") <= F.col("_s.b"))
-    cells = runs.select(*keys, F.explode(F.sequence("_s.a", "_s.b")).alias("cell_x"), "cell_y")
-    return cells.distinct()
+    box = lambda c: F.floor(F.col(c) / per_degree).cast("bigint")
+    boxed = runs.withColumn("box_x", F.explode(F.sequence(box("_s.a"), box("_s.b"))))
+    start = F.col("box_x") * per_degree
+    left = (F.greatest(F.col("_s.a"), start) - start).cast("int")
+    width = (F.least(F.col("_s.b"), start + per_degree - 1) - start).cast("int") - left + 1
+    shift = lambda value, n: F.call_function("shiftleft", value, n)
+    one = F.lit(1).cast("bigint")
+    mask = shift(shift(one, width) - 1, left)
+    return boxed.groupBy(*keys, "box_x", "cell_y").agg(F.bit_or(mask).alias("mask"))
+
+
+def cells_of_rings(df: DataFrame, keys: list[str], rings: str = "rings", per_degree: int = 10) -> DataFrame:
+    """Fine cells whose centre lies in a polygon, each once per key."""
+    masks = cell_masks_of_rings(df, keys, rings, per_degree)
+    bits = F.sequence(F.lit(0), F.lit(per_degree - 1))
+    inside = F.filter(bits, lambda b: F.call_function("getbit", F.col("mask"), b) == 1)
+    cells = masks.withColumn("_bit", F.explode(inside))
+    return cells.select(*keys, (F.col("box_x") * per_degree + F.col("_bit")).alias("cell_x"), "cell_y")
+
+
+def covered_share(land: DataFrame, covered: DataFrame, code: str, per_degree: int = 10) -> DataFrame:
+    """Covered share of the land in every one-degree box, from masks of both.
+
+    ``code, name, lon, lat, fraction``; null where nothing is covered.
+    """
+    both = land.join(covered.withColumnRenamed("mask", "_covered"), [code, "box_x", "cell_y"], "left")
+    common = F.bit_count(F.col("mask").bitwiseAND(F.col("_covered")))
+    box_y = F.floor(F.col("cell_y") / per_degree).cast("double")
+    hit = F.sum(F.when(common > 0, common))
+    return both.groupBy(code, "name", F.col("box_x").cast("double").alias("lon"), box_y.alias("lat")).agg(
+        (hit / F.sum(F.bit_count("mask"))).alias("fraction")
+    )
 
 
 # --- geographies and their sources -----------------------------------------------

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from streetgrain.functions.rules import state_value
 from streetgrain.functions.text import duration_seconds, epoch_text
 from streetgrain.schema import RUN_STATE_KEYS, state_column
 
@@ -162,18 +161,30 @@ def merge_published(current: DataFrame, published: DataFrame) -> DataFrame:
 # --- run states ---------------------------------------------------------------
 
 
-def state_columns(runs: DataFrame, keys: list[str] | None = None, prefix: str = "") -> DataFrame:
+def parsed_state(df: DataFrame, keys: list[str], name: str = "_state") -> DataFrame:
+    """Adds the named values of the state document as one struct of texts.
+
+    The document is parsed once for all keys, in a projection of its own.
+    """
+    schema = T.StructType([T.StructField(k, T.StringType()) for k in keys])
+    return df.withColumn(name, F.from_json("state", schema))
+
+
+def state_columns(runs: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Run rows with one text column per state key."""
     keys = keys or RUN_STATE_KEYS
-    return runs.withColumns(
-        {prefix + state_column(k): state_value(F.col("state"), k) for k in keys}
-    )
+    made = {state_column(k): F.col(f"_state.`{k}`") for k in keys}
+    return parsed_state(runs, keys).withColumns(made).drop("_state")
 
 
 def dashboard_stats(runs: DataFrame, sets: DataFrame) -> DataFrame:
     """Typed statistics of every run in a finished batch."""
-    value = lambda key: state_value(F.col("state"), key)
-    return runs_with_set(runs, sets).select(
+    keys = [
+        "version", "process time", "cache time", "address count", "geometry type",
+        "processed", "cache", "sample", "output", "fingerprint",
+    ]
+    value = lambda key: F.col(f"_state.`{key}`")
+    return parsed_state(runs_with_set(runs, sets), keys).select(
         epoch_text(F.col("set_start")).alias("tsname"),
         F.col("source_path").alias("source"),
         value("version").alias("version"),
@@ -364,6 +375,3 @@ def top_sources(df: DataFrame, order: list, size: int = 20) -> DataFrame:
     """First rows of an order, each with the count of rows left out."""
     total = df.agg(F.count("*")).scalar()
     return df.orderBy(*order).limit(size).withColumn("more", F.greatest(total - size, F.lit(0)).cast("bigint"))
-
-
-STATE_SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in RUN_STATE_KEYS])

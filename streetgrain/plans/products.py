@@ -20,6 +20,7 @@ from streetgrain.operators import coverage as cov
 from streetgrain.operators import runs as ledger
 from streetgrain.operators import spatial, statistics
 from streetgrain.operators.filters import by_area, good_runs, on_earth, parseable_point
+from streetgrain.session import written
 
 
 def source_facts(latest: DataFrame) -> DataFrame:
@@ -119,13 +120,9 @@ def calculate_coverage(features: DataFrame, shapes: DataFrame, box_statistics: D
     land. Both are turned into fine cells, where overlapping coverage counts
     once; the covered share of the land of a box weighs its statistics.
     """
-    land = cov.cells_of_rings(shapes, [code, "name"], per_degree=per_degree)
-    covered = cov.cells_of_rings(features, [code], per_degree=per_degree).withColumn("_covered", F.lit(1))
-    box = lambda c: F.floor(F.col(c) / per_degree).cast("double")
-    both = land.join(covered, [code, "cell_x", "cell_y"], "left")
-    per_box = both.groupBy(code, "name", box("cell_x").alias("lon"), box("cell_y").alias("lat")).agg(
-        (F.sum("_covered") / F.count("*")).alias("fraction")
-    )
+    land = cov.cell_masks_of_rings(shapes, [code, "name"], per_degree=per_degree)
+    covered = cov.cell_masks_of_rings(features, [code], per_degree=per_degree)
+    per_box = cov.covered_share(land, covered, code, per_degree)
     placed = cov.assign_box_id(per_box.withColumn("size", F.lit(1.0)), boxes)
     weighed = placed.join(box_statistics, [code, "box_id"])
     summary = cov.with_band(cov.coverage_summary(weighed, code))
@@ -149,8 +146,13 @@ def feature_codes(features: DataFrame) -> DataFrame:
 
 
 def dashboard(runs: DataFrame, sets: DataFrame) -> dict[str, DataFrame]:
-    """Tables of the dashboard."""
-    stats = ledger.dashboard_stats(runs, sets)
+    """Tables of the dashboard.
+
+    The ledger with its state documents is read once: the few statistics columns
+    are written to the shared folder, and all tables start from there.
+    """
+    columns = ["tsname", "source", "address_count", "cache_time", "process_time"]
+    stats = written(ledger.dashboard_stats(runs, sets).select(*columns), "dashboard-stats")
     return {
         "timeseries": statistics.batch_timeseries(stats),
         "last_distributions": statistics.last_batch_distributions(stats),
