@@ -8,7 +8,7 @@ from streetgrain.functions import conform as C
 from streetgrain.functions import licenses, rules, text
 from streetgrain.functions.numbers import round_coordinates
 from streetgrain.plans.process import check_tests_of_sources, extract_and_reproject
-from streetgrain.schema import ADDRESS_COLUMNS, ATTRIBUTES
+from streetgrain.schema import ADDRESS_COLUMNS
 
 RAW = f"WITH raw AS ({view_sql('addr_raw')})"
 LINES = f"raw AS ({view_sql('addr_raw_lines')})"

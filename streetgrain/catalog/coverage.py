@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from streetgrain.catalog.base import query
 from streetgrain.catalog.spatial import GOOD, SHAPES_SQL, points, shapes
 from streetgrain.catalog.views import table
-from streetgrain.functions import geo
 from streetgrain.operators import coverage as cov
 
 # Boxes are the one-degree cells that hold points; their codes and figures

@@ -7,9 +7,9 @@ from streetgrain.catalog.conform import ADDRESS_SQL, HASH_SQL, LINES, SPEC
 from streetgrain.catalog.coverage import FEATURES, geographies, sources
 from streetgrain.catalog.ledger import LATEST, LOST, STATS, js, last_set, seconds_sql
 from streetgrain.catalog.spatial import (
-    AREA_SQL, DIAMETER, GOOD, HASH12, PARSED, SHAPES_SQL, STATS_SQL, bounds_sql, shapes,
+    AREA_SQL, DIAMETER, HASH12, PARSED, SHAPES_SQL, STATS_SQL, bounds_sql, shapes,
 )
-from streetgrain.catalog.views import SETS_SQL, ledger_sql, runs, sets, table, view, view_sql
+from streetgrain.catalog.views import ledger_sql, runs, sets, table, view, view_sql
 from streetgrain.functions import geo
 from streetgrain.operators import runs as ledger
 from streetgrain.plans import process, products

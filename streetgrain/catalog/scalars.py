@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from streetgrain.catalog.base import query
 from streetgrain.catalog.ledger import STATS, js, seconds_sql, stats
-from streetgrain.catalog.views import ledger_sql, runs, sets, table
+from streetgrain.catalog.views import ledger_sql, runs, table
 from streetgrain.functions import areas, rules, text
 from streetgrain.functions.rules import state_value
 from streetgrain.operators import runs as ledger

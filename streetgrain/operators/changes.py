@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from streetgrain.functions.rules import source_file_path
 from streetgrain.functions.text import file_extension

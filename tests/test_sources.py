@@ -1,7 +1,6 @@
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from streetgrain.session import scratch_path
 from streetgrain.sources import readers, writers

@@ -2,9 +2,6 @@
 
 from datetime import datetime, timedelta
 
-import pytest
-from pyspark.sql import functions as F
-
 from streetgrain.session import scratch_path
 from streetgrain.streaming import events as ev
 
