@@ -1,0 +1,53 @@
+"""One query per corpus operator over the whole tables, and check SQL where SQL can express it."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import substring_dedup
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+# Words of the SQL: runs without ASCII white space, in order.
+_WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+g AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d),
+k AS (SELECT doc_id, i, row_number() OVER (
+        PARTITION BY array_to_string(list_slice(ws, i, i + 19), ' ') ORDER BY doc_id, i) AS n FROM g),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM k WHERE n > 1),
+p AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS word FROM d),
+m AS (SELECT p.doc_id, p.p, p.word, r.p IS NOT NULL AS gone FROM p LEFT JOIN r ON p.doc_id = r.doc_id AND p.p = r.p),
+a AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS t
+      FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN a ON d.doc_id = a.doc_id
+""")
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), "doc_id", "text")
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+    return out.select(
+        F.col("id").alias("doc_id"), "n_words", lost.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
