@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substring_dedup
+from . import minhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +51,27 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         F.col("id").alias("doc_id"), "n_words", lost.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+_SHINGLES = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < WIDTH THEN array_to_string(ws, ' ')
+        ELSE array_to_string(list_slice(ws, i, i + WIDTH - 1), ' ') END AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - WIDTH + 2, 2))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS id, doc_id AS root FROM d UNION SELECT e.y, r.root FROM r JOIN e ON r.id = e.x),
+c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
+"""
+
+
+@query(_SHINGLES.replace("WIDTH", "2") + """
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN c ON d.doc_id = c.id LEFT JOIN n ON d.doc_id = n.doc_id
+""")
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(read(spark, sf_dir, "documents"), "doc_id", "text", width=2)
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
