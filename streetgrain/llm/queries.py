@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, substring_dedup
+from . import decontaminate, minhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,9 +47,8 @@ FROM d LEFT JOIN a ON d.doc_id = a.doc_id
 """)
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), "doc_id", "text")
-    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
     return out.select(
-        F.col("id").alias("doc_id"), "n_words", lost.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+        F.col("id").alias("doc_id"), "n_words", span_words("removed").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
@@ -75,3 +74,41 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(read(spark, sf_dir, "documents"), "doc_id", "text", width=2)
     kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+def span_words(spans: str):
+    """Words in the intervals of a column."""
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LETTERS = f"list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+CONTAMINATION = f"""
+d AS (SELECT doc_id, {_LETTERS} AS ws FROM DOCS),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_LETTERS} AS ws FROM benchmark),
+v AS (SELECT DISTINCT item, CAST(least(len(ws), 13) AS BIGINT) AS n, array_to_string(list_slice(ws, i, i + 12), ' ') AS g
+      FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 11, 2))) AS i FROM b WHERE len(ws) > 0)),
+z AS (SELECT DISTINCT n FROM v),
+o AS (SELECT doc_id, i, n, array_to_string(list_slice(ws, i, i + n - 1), ' ') AS g
+      FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, z)),
+m AS (SELECT o.doc_id, o.i, v.n, v.item FROM o JOIN v ON o.g = v.g AND o.n = v.n),
+h AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS s FROM m GROUP BY doc_id)
+"""
+
+
+@query("WITH " + CONTAMINATION.replace("DOCS", "documents") + """
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(t.n, 0) AS BIGINT) AS n_items, sha256(coalesce(t.s, '')) AS items_sha256,
+       coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+""")
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.find_contamination(docs, "text", read(spark, sf_dir, "benchmark"), "item_id", "text")
+    hit = span_words("hits")
+    return out.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
+    )
