@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, substring_dedup
+from ..session import written
+from . import decontaminate, minhash, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,3 +113,52 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+# Counts, sketches and limits of the quality rules over DOCS.
+QUALITY = f"""
+d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, {_WORDS} AS ws,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: length(translate(x, {_BLANKS}, '')) > 0) AS ls FROM DOCS),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(list_slice(ws, i, i + 7), ' ')) AS c
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM d)),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM g WHERE c > 1) GROUP BY doc_id),
+c AS (SELECT d.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
+        CAST(length(translate(text, {_BLANKS}, '')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+        CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines,
+        CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words FROM d LEFT JOIN rep ON d.doc_id = rep.doc_id),
+q AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        1000 * n_symbols // greatest(word_chars, 1) AS symbols, 1000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines,
+        1000 * n_repeat_words // greatest(n_words, 1) AS repeats, 100 * word_chars // greatest(n_words, 1) AS word_length FROM c),
+u AS (SELECT lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'word_length']) AS measure,
+        unnest([symbols, dup_lines, repeats, word_length]) AS x FROM q WHERE NOT base_failed),
+k AS (SELECT lang, source, measure, ((x >> s) + 1 << s) - 1 AS v FROM (SELECT *, CAST(greatest(length(bin(x)) - 6, 0) AS BIGINT) AS s FROM u)),
+k0 AS (SELECT lang, source, measure, count(*) AS n, quantile_disc(v, 0.25) AS low, quantile_disc(v, 0.75) AS high FROM k GROUP BY ALL),
+k1 AS (SELECT lang, measure, count(*) AS n, quantile_disc(v, 0.25) AS low, quantile_disc(v, 0.75) AS high FROM k GROUP BY ALL),
+k2 AS (SELECT measure, quantile_disc(v, 0.25) AS low, quantile_disc(v, 0.75) AS high FROM k GROUP BY ALL),
+f AS (SELECT k0.lang, k0.source, k0.measure,
+        CASE WHEN k0.n >= 100 THEN k0.low WHEN k1.n >= 100 THEN k1.low ELSE k2.low END AS low,
+        CASE WHEN k0.n >= 100 THEN k0.high WHEN k1.n >= 100 THEN k1.high ELSE k2.high END AS high
+      FROM k0 JOIN k1 ON k0.lang IS NOT DISTINCT FROM k1.lang AND k0.measure = k1.measure JOIN k2 ON k0.measure = k2.measure),
+w AS (SELECT lang, source, measure, low - reach AS least, high + reach AS most FROM (SELECT *, 3 * (high - low) +
+        CASE measure WHEN 'symbols' THEN 100 WHEN 'dup_lines' THEN 300 ELSE 200 END AS reach FROM f)),
+x AS (SELECT q.doc_id FROM q JOIN w ON q.lang IS NOT DISTINCT FROM w.lang AND q.source IS NOT DISTINCT FROM w.source
+      WHERE CASE measure WHEN 'symbols' THEN symbols WHEN 'dup_lines' THEN dup_lines WHEN 'repeats' THEN repeats ELSE word_length END
+            NOT BETWEEN least AND most),
+verdict AS (SELECT q.*, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM x) AS kept FROM q)
+"""
+
+
+@query("WITH " + QUALITY.replace("DOCS", "documents") + """
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM verdict
+""")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    # The counts are written once: the sketches and the verdicts both read them.
+    counts = written(quality_rules.measure(docs, "text", "m").drop("text"), "counts")
+    out = quality_rules.judge(counts, "m", "lang", "source", "kept")
+    return out.select(
+        "doc_id", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words",
+        quality_rules.base_failed("m").alias("base_failed"), "kept",
+    )
