@@ -21,7 +21,7 @@ REPEAT_PERCENT = 30
 # Per measure: how far beyond the outer quartile, in interquartile ranges, a
 # document may lie, and a width that is allowed in any case (same unit).
 FENCE = 3
-SLACK = {"symbols": 100, "dup_lines": 300, "repeats": 200, "word_length": 200}
+SLACK = {"symbols": 100, "dup_lines": 300, "repeats": 300, "word_length": 400}
 # A group of fewer documents takes the limits of its language, then of all.
 LEAST_GROUP = 100
 

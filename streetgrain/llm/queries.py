@@ -142,7 +142,7 @@ f AS (SELECT k0.lang, k0.source, k0.measure,
         CASE WHEN k0.n >= 100 THEN k0.high WHEN k1.n >= 100 THEN k1.high ELSE k2.high END AS high
       FROM k0 JOIN k1 ON k0.lang IS NOT DISTINCT FROM k1.lang AND k0.measure = k1.measure JOIN k2 ON k0.measure = k2.measure),
 w AS (SELECT lang, source, measure, low - reach AS least, high + reach AS most FROM (SELECT *, 3 * (high - low) +
-        CASE measure WHEN 'symbols' THEN 100 WHEN 'dup_lines' THEN 300 ELSE 200 END AS reach FROM f)),
+        CASE measure WHEN 'symbols' THEN 100 WHEN 'word_length' THEN 400 ELSE 300 END AS reach FROM f)),
 x AS (SELECT q.doc_id FROM q JOIN w ON q.lang IS NOT DISTINCT FROM w.lang AND q.source IS NOT DISTINCT FROM w.source
       WHERE CASE measure WHEN 'symbols' THEN symbols WHEN 'dup_lines' THEN dup_lines WHEN 'repeats' THEN repeats ELSE word_length END
             NOT BETWEEN least AND most),
