@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from . import decontaminate, minhash, quality_rules, substring_dedup
+from . import decontaminate, minhash, mixing, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,3 +162,30 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words",
         quality_rules.base_failed("m").alias("base_failed"), "kept",
     )
+
+
+MIX = f"""
+d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM DOCS),
+s AS (SELECT *, (CASE k % 3 WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE 2 END) AS weight, 2 * source_size AS most FROM (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source)),
+a AS (SELECT *, CAST(sum(source_size) OVER () AS BIGINT) AS every, CAST(sum(weight) OVER () AS BIGINT) AS weights,
+        CAST(sum(most) OVER w AS BIGINT) - most AS used, CAST(sum(weight) OVER w AS BIGINT) - weight AS passed
+      FROM s WINDOW w AS (ORDER BY most / weight, k ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT *, (3 * every - 2 * used) * weight >= 2 * most * (weights - passed) AS stops FROM a),
+e AS (SELECT *, CAST(sum(CASE WHEN stops THEN most ELSE 0 END) OVER () AS BIGINT) AS full_,
+        CAST(sum(CASE WHEN stops THEN 0 ELSE weight END) OVER () AS BIGINT) AS open_ FROM c),
+t AS (SELECT source, source_size, CASE WHEN stops THEN CAST(most AS DOUBLE)
+        ELSE CAST((3 * every - 2 * full_) * weight AS DOUBLE) / (2 * open_) END AS target FROM e),
+o AS (SELECT d.*, source_size, target, CAST(sum(size) OVER (PARTITION BY d.source
+        ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS begin_,
+        CAST(floor(target + 0.5) AS BIGINT) AS goal
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+mixed AS (SELECT doc_id, source, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
+        goal // source_size * size + greatest(0, least(size, goal % source_size - begin_)) END AS taken FROM o)
+"""
+
+
+@query("WITH " + MIX.replace("DOCS", "documents") + " SELECT doc_id, size, source_size, target, taken FROM mixed")
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mixed(read(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
