@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from . import decontaminate, minhash, mixing, quality_rules, substring_dedup
+from . import spans as sp
+from . import decontaminate, minhash, mixing, pii, quality_rules, secrets, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -189,3 +190,24 @@ mixed AS (SELECT doc_id, source, size, source_size, target, CASE WHEN size = 0 T
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mixed(read(spark, sf_dir, "documents"), "doc_id", "text", "source")
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def _spans_of(found: DataFrame, column: str, kinds: tuple[str, ...]) -> DataFrame:
+    spans = F.col(column)
+    base = sp.base_only(spans)
+    return found.select(
+        "doc_id", *[sp.count_of(base, k).alias(f"n_{k}") for k in kinds],
+        F.sha2(sp.joined(base), 256).alias("base_sha256"), sp.joined(spans).alias("spans"),
+    )
+
+
+@query()
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return _spans_of(pii.find_personal_data(docs, "text"), "personal", pii.KINDS)
+
+
+@query()
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return _spans_of(secrets.find_secrets(docs, "text"), "secrets", tuple(r.kind for r in secrets.BASE))
