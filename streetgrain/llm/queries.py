@@ -54,8 +54,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SHINGLES = f"""
-WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+# Near-duplicate components of DOCS by shingles of WIDTH words.
+SHINGLES = f"""
+d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM DOCS),
 s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < WIDTH THEN array_to_string(ws, ' ')
         ELSE array_to_string(list_slice(ws, i, i + WIDTH - 1), ' ') END AS g
       FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - WIDTH + 2, 2))) AS i FROM d WHERE len(ws) > 0)),
@@ -68,7 +69,7 @@ c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
 """
 
 
-@query(_SHINGLES.replace("WIDTH", "2") + """
+@query("WITH RECURSIVE " + SHINGLES.replace("DOCS", "documents").replace("WIDTH", "2") + """
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN c ON d.doc_id = c.id LEFT JOIN n ON d.doc_id = n.doc_id
 """)
