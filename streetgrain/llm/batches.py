@@ -9,6 +9,8 @@ each batch one entry, and neither side holds more than a batch or a shard.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -21,7 +23,7 @@ from . import words as w
 
 BATCH_BYTES = 4 << 20
 SHARD_VALUES = 8 << 20
-PACKED = "batch long, ids array<long>, sizes binary, text binary, n_words long"
+PACKED = "batch long, ids array<long>, sizes binary, text binary, n_words long, n_bytes long, digest long"
 LAST = np.iinfo(np.int64).max  # stands for a null id: null ids come last
 
 
@@ -31,11 +33,17 @@ def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     )
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, limit: int = BATCH_BYTES) -> DataFrame:
-    """One row per batch of documents, in id order within the batch, written to the shared folder.
+def pack(
+    docs: DataFrame, id_col: str, text_col: str, limit: int = BATCH_BYTES, keep: tuple[str, ...] = (), write: bool = True
+) -> DataFrame:
+    """One row per batch of documents, in id order within the batch.
 
     A document longer than ``limit`` bytes is a batch of its own. Null text is
-    empty text. Rows that are equal stay separate documents.
+    empty text. Rows that are equal stay separate documents. ``keep`` names
+    further string columns, kept as lists ``k0``, ``k1``, ... The result is
+    written to the shared folder, or else computed again by each reader: then
+    ``digest`` tells a reader whether it has seen the same batch, which holds
+    for files but not for every input.
     """
 
     def run(parts):
@@ -47,19 +55,26 @@ def pack(docs: DataFrame, id_col: str, text_col: str, limit: int = BATCH_BYTES)
                 order = np.argsort(ids.fill_null(int(LAST)).to_numpy(zero_copy_only=False), kind="stable")
                 part = part.take(pa.array(order))
                 data, offsets = w.text_bytes(part.column("text"))
+                sizes = np.diff(offsets).astype(np.int64).tobytes()
+                raw = data.tobytes()
+                digest = int.from_bytes(blake2b(raw + sizes, digest_size=8).digest(), "big", signed=True)
                 count = len(w.split(data, offsets).starts)
+                kept = [pa.array([part.column(f"k{i}").to_pylist()], pa.list_(pa.string())) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([n]), pa.array([part.column("id").to_pylist()], pa.list_(pa.int64())),
-                        pa.array([np.diff(offsets).astype(np.int64).tobytes()], pa.binary()),
-                        pa.array([codec.compress(data.tobytes())], pa.binary()), pa.array([count]),
+                        pa.array([n]), pa.array([part.column("id").to_pylist()], pa.list_(pa.int64())), pa.array([sizes], pa.binary()),
+                        pa.array([codec.compress(raw)], pa.binary()), pa.array([count]), pa.array([len(raw)]), pa.array([digest]), *kept,
                     ],
-                    ["batch", "ids", "sizes", "text", "n_words"],
+                    ["batch", "ids", "sizes", "text", "n_words", "n_bytes", "digest", *(f"k{i}" for i in range(len(keep)))],
                 )
                 n += 1
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return written(rows.mapInArrow(run, PACKED), "batches")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+        *[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(keep)],
+    )
+    packed = rows.mapInArrow(run, PACKED + "".join(f", k{i} array<string>" for i in range(len(keep))))
+    return written(packed, "batches") if write else packed
 
 
 class Batch:
@@ -67,13 +82,13 @@ class Batch:
 
     def __init__(self, table, i: int = 0) -> None:
         self.batch = table.column("batch")[i].as_py()
+        self.digest = table.column("digest")[i].as_py()
         ids = table.column("ids")[i].values
         self.id_column = ids
         self.ids = ids.fill_null(int(LAST)).to_numpy(zero_copy_only=False)
         sizes = np.frombuffer(table.column("sizes")[i].as_py(), np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(sizes)])
-        raw = zstandard.decompress(table.column("text")[i].as_py())
-        self.data = np.frombuffer(raw, np.uint8)
+        self.data = np.frombuffer(zstandard.decompress(table.column("text")[i].as_py()), np.uint8)
 
     def words(self, cls: np.ndarray = w.NOT_SPACE) -> w.Words:
         return w.split(self.data, self.offsets, cls)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from . import spans as sp
-from . import decontaminate, minhash, mixing, pii, quality_rules, secrets, substring_dedup
+from . import decontaminate, lm_score, minhash, mixing, pii, quality_lm, quality_rules, secrets, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -212,3 +212,26 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return _spans_of(secrets.find_secrets(docs, "text"), "secrets", tuple(r.kind for r in secrets.BASE))
+
+
+def _good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of trusted documents."""
+    return read(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+@query()
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_lm.classify(read(spark, sf_dir, "documents"), "doc_id", "text", "lang", _good(spark, sf_dir), "doc_id")
+    return out.select(
+        F.col("id").alias("doc_id"), "lang", F.col("n").alias("n_tokens"), F.round("perplexity", 4).alias("perplexity"),
+        F.round("threshold", 4).alias("threshold"), "kept",
+    )
+
+
+@query()
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm_score.cross_entropy_difference(read(spark, sf_dir, "documents"), "doc_id", "text", _good(spark, sf_dir), "doc_id")
+    return out.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_tokens"), F.round("target_loss", 4).alias("target_loss"),
+        F.round("background_loss", 4).alias("background_loss"), F.round("score", 4).alias("score"),
+    )
