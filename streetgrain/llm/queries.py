@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from . import spans as sp
-from . import decontaminate, lm_score, minhash, mixing, pii, quality_lm, quality_rules, secrets, substring_dedup
+from . import decontaminate, licenses, lm_score, minhash, mixing, pii, quality_lm, quality_rules, secrets, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,3 +235,17 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.col("n").alias("n_tokens"), F.round("target_loss", 4).alias("target_loss"),
         F.round("background_loss", 4).alias("background_loss"), F.round("score", 4).alias("score"),
     )
+
+
+@query()
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table has no paths, so documents stand in folders by source, language and number; short ones are licence files.
+    docs = read(spark, sf_dir, "documents")
+    name = F.when(F.octet_length("text") < 400, F.concat(F.lit("LICENSE-"), F.col("doc_id"))).otherwise(F.concat("doc_id", F.lit(".txt")))
+    folder = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 64).cast("string"))
+    files = docs.select("doc_id", F.concat_ws("/", folder, name).alias("path"), "text")
+    out = licenses.scan(files, "doc_id", "path", "text")
+    return out.select(
+        F.col("id").alias("doc_id"), "path", F.col("notice.license").alias("own_license"), F.round("notice.score", 6).alias("score"),
+        F.col("notice.line").alias("line"), "in_header", "license", F.col("from").alias("inherited_from"),
+    )
