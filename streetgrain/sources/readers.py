@@ -6,10 +6,13 @@ from __future__ import annotations
 import codecs
 import csv
 import io
+import itertools
+import re
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,31 +20,58 @@ from pyspark.sql import types as T
 from streetgrain.functions import geo
 from streetgrain.schema import GEOM_COLUMN, X_COLUMN, Y_COLUMN
 
-_CORRUPT = "_corrupt"
-# Charsets the CSV reader of Spark decodes by itself.
-_NATIVE = {"utf-8": "UTF-8", "ascii": "US-ASCII", "iso8859-1": "ISO-8859-1"}
-# Charsets whose characters may contain the bytes of a separator or a line end.
+# Charsets whose characters may contain the bytes of a line end; they are decoded as one stream.
 _WIDE = ("utf-16", "utf-32", "utf-7")
+_HEAD_LINES = 1000  # lines that the first records of a file may take
+_BATCH = 5000  # records sent on together
+csv.field_size_limit(2**31 - 1)
+
+
+def _texts(lines: Iterator[bytes], charset: str) -> Iterator[str]:
+    """Lines of text with universal line ends, from the bytes between line feeds."""
+    decode = codecs.getincrementaldecoder(charset)().decode if charset.startswith(_WIDE) else None
+    held = ""
+    for line in lines:
+        text = decode(line + b"\n") if decode else line.decode(charset) + "\n"
+        text = held + text
+        held = "\r" if text.endswith("\r") else ""
+        text = text.removesuffix("\r") if held else text
+        parts = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+        held = parts.pop() + held
+        yield from (p + "\n" for p in parts)
+    if held:
+        yield held
+
+
+def _records(lines: Iterator[bytes], charset: str, delimiter: str) -> Iterator[list[str]]:
+    """Records of a CSV file; quoted fields may hold line ends. Blank lines are no records."""
+    first = True
+    for record in csv.reader(_texts(lines, charset), delimiter=delimiter):
+        if first and record:
+            record[0] = record[0].lstrip("\ufeff")
+        first = False
+        if record:
+            yield record
+
+
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").cast("binary").alias("line"),
+    )
 
 
-def _decoder(charset: str):
-    @F.pandas_udf("string")
-    def decode(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else t.encode("latin-1").decode(charset))
-
-    return decode
+def _bytes(size: str) -> int:
+    """Bytes of a setting like 128m."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", size.lower()).groups()
+    return int(number) << (10 * " kmgt".index(unit or " "))
 
 
-def _head_lines(
-    spark: SparkSession, path: str, lines: int, encoding: str, delimiter: str, multi_line: bool
-) -> list[list[str]]:
-    """First records of the first file, for the header only."""
-    rows = (
-        spark.read.option("header", "false").option("sep", "\x01").option("quote", "")
-        .option("encoding", encoding).option("multiLine", str(multi_line).lower())
-        .schema("line string").csv(path).limit(lines).collect()
-    )
-    return list(csv.reader([r.line or "" for r in rows], delimiter=delimiter))
+def _files_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[bytes]]]:
+    """Files of a partition, each with its lines; a file's lines follow one another."""
+    pairs = ((f, line) for b in batches for f, line in zip(b.column("file").to_pylist(), b.column("line").to_pylist()))
+    for file, own in itertools.groupby(pairs, key=lambda x: x[0]):
+        yield file, (line or b"" for _, line in own)
 
 
 def read_source_csv(
@@ -51,77 +81,87 @@ def read_source_csv(
     encoding: str = "utf-8",
     headers: int | None = None,
     skiplines: int | None = None,
-    multi_line: bool = False,
+    by_line: bool = False,
 ) -> DataFrame:
     """CSV source table, every column as text.
 
     ``headers=-1``: there is no header, columns are COLUMN1, COLUMN2, ...
-    ``headers=n``: the header is line n and ``skiplines`` must be n too.
-    Rows with more fields than the header are dropped. Short rows stay: their
-    missing fields are null, while an empty field is the empty text.
-
-    The file is split over tasks. A charset that Spark does not know is read
-    byte by byte as Latin-1, which keeps the file splittable, and the fields
-    are then decoded in Arrow batches. ``multi_line`` allows line ends inside
-    quotes, at the price of one task per file.
+    ``headers=n``: the header is record n and ``skiplines`` must be n too. The
+    records up to the header are skipped by their place in each file. Files that
+    are read together must have the same header. Rows with more fields than the
+    header are dropped. Short rows stay: their missing fields are null, while an
+    empty field is the empty text.
+
+    Records are parsed whole: quoted fields may hold delimiters, quotes and line
+    ends, and quotes inside an unquoted field are plain characters. Files are
+    parsed in parallel, each by one task as a stream. Where the caller promises
+    with ``by_line`` that no field holds a line end, a file is cut over tasks;
+    a record with an odd number of quotes is then an error.
     """
     if headers is None and skiplines is not None:
         raise ValueError("skiplines needs headers")
     if headers is not None and headers != -1 and skiplines != headers:
         raise ValueError("skiplines must equal headers")
     charset = codecs.lookup(encoding).name
-    native = _NATIVE.get(charset) or (charset.upper() if charset.startswith(_WIDE) else None)
-    transport = native or "ISO-8859-1"
-    lines = 1 if headers in (None, -1) else headers
-    # Bytes of a wide charset may look like line ends: such a file is one task.
-    multi_line = multi_line or charset.startswith(_WIDE)
-    head = _head_lines(spark, path, lines, transport, delimiter, multi_line)
-    if len(head) < lines:
+    if by_line and (charset.startswith(_WIDE) or headers not in (None, -1)):
+        raise ValueError("by_line needs a charset with plain line ends, and one header line at most")
+    skipped = {None: 1, -1: 0}.get(headers, headers)
+    # Sizes and names only; the content isn't read.
+    files = spark.read.format("binaryFile").load(path).where("length > 0")
+    sizes = files.agg(F.min("path").alias("first"), F.max("length").alias("longest")).first()
+    if sizes.first is None:
         raise ValueError(f"no header in {path}")
-    plain = (lambda t: t) if native else (lambda t: t.encode("latin-1").decode(charset))
-    raw_names = head[lines - 1]
-    names = [f"COLUMN{i + 1}" for i in range(len(raw_names))] if headers == -1 else [
-        plain(n).lstrip("﻿") for n in raw_names
-    ]
+    raw = _raw_lines(spark, path)
+    head = spark.read.option("lineSep", "\n").text(sizes.first).select(F.col("value").cast("binary").alias("line"), F.col("_metadata.file_block_start").alias("block"))
+    begun = (bytes(r.line or b"") for r in head.where("block = 0").limit(_HEAD_LINES).collect())
+    top = list(itertools.islice(_records(begun, charset, delimiter), max(skipped, 1)))
+    if len(top) < max(skipped, 1):
+        raise ValueError(f"no header in {path}")
+    names = top[-1] if skipped else [f"COLUMN{i + 1}" for i in range(len(top[0]))]
     width = len(names)
     slots = [f"_f{i}" for i in range(width)]
-    schema = T.StructType([T.StructField(s, T.StringType()) for s in [*slots, _CORRUPT]])
-    reader = (
-        spark.read.schema(schema)
-        .option("sep", delimiter).option("quote", '"').option("escape", '"')
-        .option("encoding", transport).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("maxCharsPerColumn", -1).option("enforceSchema", "true")
-        # Every field is needed to tell the width of a record.
-        .option("columnPruning", "false")
-    )
-    if multi_line:
-        reader = reader.option("multiLine", "true")
-    if headers is None:
-        # The reader itself drops the first line of every file.
-        rows = reader.option("header", "true").csv(path)
+
+    def columns(found: Iterator[list[str]]) -> Iterator[pa.RecordBatch]:
+        while block := list(itertools.islice(found, _BATCH)):
+            rows = [r + [None] * (width - len(r)) for r in block if len(r) <= width]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows) if rows else [[]] * width)], slots)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file, lines in _files_of(batches):
+            found = _records(lines, charset, delimiter)
+            above = list(itertools.islice(found, skipped))
+            if above and above[-1] != names:
+                raise ValueError(f"{file} has another header than {sizes.first}")
+            yield from columns(found)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[list[str]]:
+            for b in batches:
+                for line in b.column("line").to_pylist():
+                    text = (line or b"").decode(charset).removesuffix("\r").lstrip("\ufeff")
+                    if text.count('"') % 2:
+                        raise ValueError(f"a field goes beyond its line: {text[:200]}")
+                    for record in csv.reader([text], delimiter=delimiter):
+                        if record:
+                            yield record
+
+        yield from columns(found())
+
+    schema = ", ".join(f"`{s}` string" for s in slots)
+    if by_line:
+        if skipped:
+            # Without the first line of each file, by its place.
+            numbered = raw.withColumn("n", F.monotonically_increasing_id())
+            first = numbered.where("block = 0").groupBy("file").agg(F.min("n").alias("n"))
+            raw = numbered.join(first, ["file", "n"], "left_anti")
+        rows = raw.select("line").mapInArrow(cut, schema)
     else:
-        rows = reader.option("header", "false").csv(path)
-    if headers is not None and headers > 0:
-        # Lines up to the header: equal to them, in the first block of a file.
-        first = F.col("_metadata.file_block_start") == 0
-        for line in head:
-            same = F.lit(True)
-            for slot, text in zip(slots, [*line, *[""] * width][:width]):
-                same = same & F.coalesce(F.col(slot), F.lit("")).eqNullSafe(F.lit(text))
-            rows = rows.filter(~(first & same))
-    # A record of the wrong width carries its raw text; count its separators
-    # outside quotes.
-    bare = F.regexp_replace(F.col(_CORRUPT), '"[^"]*"', "")
-    found = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
-    found = F.coalesce(found, F.lit(width))
-    rows = rows.filter(found <= width)
-    fields = [F.when(found > i, F.coalesce(F.col(s), F.lit(""))) for i, s in enumerate(slots)]
-    if native is None:
-        decode = _decoder(charset)
-        staged = rows.select(*[c.alias(s) for c, s in zip(fields, slots)])
-        return staged.select(*[decode(F.col(s)).alias(n) for s, n in zip(slots, names)])
-    return rows.select(*[c.alias(n) for c, n in zip(fields, names)])
+        if sizes.longest > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
+            # Spark reads such a file in pieces: its lines go to one task, in order.
+            raw = raw.withColumn("n", F.monotonically_increasing_id())
+            raw = raw.repartition("file").sortWithinPartitions("file", "block", "n").drop("n")
+        rows = raw.select("file", "line").mapInArrow(whole, schema)
+    return rows.select(*[F.col(s).alias(n) for s, n in zip(slots, names)])
 
 
 # --- JSON and XML features ----------------------------------------------------------

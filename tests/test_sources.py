@@ -127,3 +127,43 @@ def test_geojson_lines_round_trip(spark):
     writers.write_geojson_lines(df, path)
     back = readers.read_geojson(spark, path, lines=True)
     assert back.columns == ["NUMBER", "UNIT", "OA:x", "OA:y"] and tuple(back.first()) == ("a", None, "1.5", "2.5")
+
+
+def test_quoted_line_ends(spark, tmp_path):
+    data = b'NUM,STREET,CITY\n1,"MAIN\nSTREET",A\n2,"X\r\n\r\nY","Q ""Z"""\n\n3,5" x,6" y\n'
+    rows = [tuple(r) for r in read(spark, tmp_path, data).collect()]
+    assert rows == [("1", "MAIN\nSTREET", "A"), ("2", "X\n\nY", 'Q "Z"'), ("3", '5" x', '6" y')]
+
+
+def test_skipped_lines_go_by_place(spark, tmp_path):
+    data = b"t,t\na,b\nt,t\na,b\n1,2\n"
+    assert [tuple(r) for r in read(spark, tmp_path, data, headers=2, skiplines=2).collect()] == [("t", "t"), ("a", "b"), ("1", "2")]
+
+
+def test_headers_of_several_files(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,2\n")
+    (folder / "2.csv").write_text("a,b\na,b\n3,4\n")
+    rows = sorted(tuple(r) for r in readers.read_source_csv(spark, str(folder)).collect())
+    assert rows == [("1", "2"), ("3", "4"), ("a", "b")]
+    (folder / "3.csv").write_text("b,a\n5,6\n")
+    with pytest.raises(Exception, match="another header"):
+        readers.read_source_csv(spark, str(folder)).collect()
+
+
+def test_long_files_and_lines_apart(spark, tmp_path):
+    body = "".join(f'{i},"v\n{i}"\n' for i in range(3000))
+    (tmp_path / "long.csv").write_text("a,b\n" + body)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096b")
+    try:
+        rows = readers.read_source_csv(spark, str(tmp_path / "long.csv")).collect()
+        assert [tuple(r) for r in rows] == [(str(i), f"v\n{i}") for i in range(3000)]
+        (tmp_path / "flat.csv").write_text("a,b\n" + "".join(f'{i},"y,{i}"\n' for i in range(3000)))
+        flat = readers.read_source_csv(spark, str(tmp_path / "flat.csv"), by_line=True).collect()
+        assert sorted(tuple(r) for r in flat) == sorted((str(i), f"y,{i}") for i in range(3000))
+        with pytest.raises(Exception, match="beyond its line"):
+            readers.read_source_csv(spark, str(tmp_path / "long.csv"), by_line=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
