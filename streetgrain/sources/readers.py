@@ -24,6 +24,7 @@ from streetgrain.schema import GEOM_COLUMN, X_COLUMN, Y_COLUMN
 _WIDE = ("utf-16", "utf-32", "utf-7")
 _HEAD_LINES = 1000  # lines that the first records of a file may take
 _BATCH = 5000  # records sent on together
+_DEAL = 32 << 20  # bytes of a partition that records are dealt out to
 csv.field_size_limit(2**31 - 1)
 
 
@@ -108,7 +109,7 @@ def read_source_csv(
     skipped = {None: 1, -1: 0}.get(headers, headers)
     # Sizes and names only; the content isn't read.
     files = spark.read.format("binaryFile").load(path).where("length > 0")
-    sizes = files.agg(F.min("path").alias("first"), F.max("length").alias("longest")).first()
+    sizes = files.agg(F.min("path").alias("first"), F.max("length").alias("longest"), F.sum("length").alias("total")).first()
     if sizes.first is None:
         raise ValueError(f"no header in {path}")
     raw = _raw_lines(spark, path)
@@ -156,11 +157,16 @@ def read_source_csv(
             raw = numbered.join(first, ["file", "n"], "left_anti")
         rows = raw.select("line").mapInArrow(cut, schema)
     else:
-        if sizes.longest > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
-            # Spark reads such a file in pieces: its lines go to one task, in order.
+        # Spark may read a file beyond the smaller of these in pieces: its lines then go to
+        # one task, in order, and the records are dealt out again for what follows.
+        settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+        pieces = sizes.longest > min(_bytes(spark.conf.get(k)) for k in settings)
+        if pieces:
             raw = raw.withColumn("n", F.monotonically_increasing_id())
             raw = raw.repartition("file").sortWithinPartitions("file", "block", "n").drop("n")
         rows = raw.select("file", "line").mapInArrow(whole, schema)
+        if pieces:
+            rows = rows.repartition(max(spark.sparkContext.defaultParallelism, -(-sizes.total // _DEAL)))
     return rows.select(*[F.col(s).alias(n) for s, n in zip(slots, names)])
 
 

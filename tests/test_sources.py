@@ -159,7 +159,7 @@ def test_long_files_and_lines_apart(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096b")
     try:
         rows = readers.read_source_csv(spark, str(tmp_path / "long.csv")).collect()
-        assert [tuple(r) for r in rows] == [(str(i), f"v\n{i}") for i in range(3000)]
+        assert sorted(tuple(r) for r in rows) == sorted((str(i), f"v\n{i}") for i in range(3000))
         (tmp_path / "flat.csv").write_text("a,b\n" + "".join(f'{i},"y,{i}"\n' for i in range(3000)))
         flat = readers.read_source_csv(spark, str(tmp_path / "flat.csv"), by_line=True).collect()
         assert sorted(tuple(r) for r in flat) == sorted((str(i), f"y,{i}") for i in range(3000))
