@@ -148,18 +148,16 @@ def _(spark, sf_dir):
 
 
 FEATURES = (
-    f"{ATTACHED}, sized AS (SELECT *, count(*) OVER (PARTITION BY code) AS n FROM att), "
-    "parted AS (SELECT *, ('0x' || substr(md5(path), 1, 8))::BIGINT % CAST(ceil(n / CAST({limit} AS DOUBLE)) AS BIGINT) AS part, CAST(ceil(n / CAST({limit} AS DOUBLE)) AS BIGINT) AS parts FROM sized), "
-    "tot AS (SELECT code, CAST(sum(CASE WHEN good THEN coalesce(address_count, 0) ELSE 0 END) AS BIGINT) AS address_count FROM att GROUP BY 1), "
-    "feat AS (SELECT code, name, status, part, parts, min(n) AS source_count, string_agg(path, ', ' ORDER BY path) AS source_paths, "
-    "coalesce(string_agg(date, ', ' ORDER BY path) FILTER (good), '') AS source_dates FROM parted GROUP BY 1, 2, 3, 4, 5)"
+    f"{ATTACHED}, feat AS (SELECT code, name, status, count(*) AS source_count, "
+    "CAST(sum(CASE WHEN good THEN coalesce(address_count, 0) ELSE 0 END) AS BIGINT) AS address_count FROM att GROUP BY 1, 2, 3)"
 )
 
 
-@query(
-    "A16_coverage_features",
-    FEATURES.replace("{limit}", "20") + " SELECT feat.*, address_count FROM feat JOIN tot USING (code)",
-)
+@query("A16_coverage_features", FEATURES + " SELECT * FROM feat")
+def _(spark, sf_dir):
+    return cov.coverage_features(cov.attach_coverage_status(geographies(spark, sf_dir), sources(spark, sf_dir)))
+
+
+@query("A16_coverage_paths", f"{ATTACHED} SELECT code, path, CASE WHEN good THEN date END AS date FROM att")
 def _(spark, sf_dir):
-    attached = cov.attach_coverage_status(geographies(spark, sf_dir), sources(spark, sf_dir))
-    return cov.coverage_features(attached, limit=20)
+    return cov.coverage_paths(cov.attach_coverage_status(geographies(spark, sf_dir), sources(spark, sf_dir)))

@@ -333,36 +333,26 @@ def licensed(spark, sf_dir):
     )
 
 
-def part_sql(item: str, count: str, limit: int) -> str:
-    return f"('0x' || substr(md5({item}), 1, 8))::BIGINT % CAST(ceil({count} / CAST({limit} AS DOUBLE)) AS BIGINT)"
-
-
 @query(
     "A13_license_text",
     ledger_sql(
-        LICENSED + f", sized AS (SELECT *, count(*) OVER (PARTITION BY set_id) AS n FROM blocks), "
-        f"parted AS (SELECT *, {part_sql('source_base', 'n', 100)} AS part, CAST(ceil(n / CAST(100 AS DOUBLE)) AS BIGINT) AS parts FROM sized) "
-        "SELECT set_id, part, parts, 'Data.\n\n' || string_agg(block, '\n' ORDER BY source_base, block) AS text FROM parted GROUP BY 1, 2, 3"
+        LICENSED + " SELECT DISTINCT set_id, source_base, block AS text FROM blocks "
+        "UNION ALL SELECT DISTINCT set_id, NULL, 'Data.\n' FROM blocks"
     ),
 )
 def _(spark, sf_dir):
-    return statistics.license_text(licensed(spark, sf_dir), ["set_id"], "Data.", limit=100)
+    return statistics.license_text(licensed(spark, sf_dir), ["set_id"], "Data.")
 
 
 @query(
     "A14_license_groups",
     ledger_sql(
-        LICENSED + f", g AS (SELECT license, CASE WHEN required IS DISTINCT FROM 'false' THEN name END AS attribution, source_base AS source, website FROM facts), "
-        "sized AS (SELECT *, count(*) OVER (PARTITION BY license, attribution) AS n FROM g), "
-        f"parted AS (SELECT *, {part_sql('source', 'n', 50)} AS part, CAST(ceil(n / CAST(50 AS DOUBLE)) AS BIGINT) AS parts FROM sized) "
-        "SELECT license, attribution, part, parts, string_agg(source || ' ' || coalesce(website, '-'), ';' ORDER BY source, website NULLS FIRST) AS sources "
-        "FROM parted GROUP BY 1, 2, 3, 4"
+        LICENSED + " SELECT DISTINCT license, CASE WHEN required IS DISTINCT FROM 'false' THEN name END AS attribution, "
+        "source_base AS source, website FROM facts"
     ),
 )
 def _(spark, sf_dir):
-    groups = statistics.license_groups(licensed(spark, sf_dir).withColumnRenamed("source_base", "source"), limit=50)
-    pair = lambda s: F.concat(s["source"], F.lit(" "), F.coalesce(s["website"], F.lit("-")))
-    return groups.withColumn("sources", F.array_join(F.transform("sources", pair), ";"))
+    return statistics.license_groups(licensed(spark, sf_dir).withColumnRenamed("source_base", "source"))
 
 
 @query(
@@ -412,10 +402,6 @@ def summaries(spark, sf_dir):
     return states.select("id", F.col("source_path").alias("source"), "cache", "processed")
 
 
-def first_of(df, n=500):
-    """The head of an ordered result, as one row per position."""
-    return df.limit(n)
-
 
 @query(
     "L01_glass_half_full",

@@ -107,8 +107,8 @@ def _(spark, sf_dir):
         LEDGER_POINTS + ", t AS (SELECT DISTINCT CAST(floor(lon) AS BIGINT) AS tile_lon, CAST(floor(lat) AS BIGINT) AS tile_lat, source_base, website, license, flag, name "
         "FROM good JOIN facts ON path_base = source_base WHERE share_alike IS DISTINCT FROM 'true'), b AS (SELECT tile_lon, tile_lat, source_base, "
         "source_base || '\nWebsite: ' || coalesce(website, 'Unknown') || '\nLicense: ' || coalesce(license, 'Unknown') || '\nRequired attribution: ' || "
-        "CASE WHEN flag = 'false' THEN 'No' ELSE coalesce(name, 'Yes') END || '\n' AS block FROM t) SELECT tile_lon, tile_lat, CAST(0 AS BIGINT) AS part, CAST(1 AS BIGINT) AS parts, "
-        "'Data collected from public sources.\n\n' || string_agg(block, '\n' ORDER BY source_base) AS text FROM b GROUP BY 1, 2"
+        "CASE WHEN flag = 'false' THEN 'No' ELSE coalesce(name, 'Yes') END || '\n' AS block FROM t) SELECT tile_lon, tile_lat, source_base, block AS text FROM b "
+        "UNION ALL SELECT DISTINCT tile_lon, tile_lat, NULL, 'Data collected from public sources.\n' FROM b"
     ),
 )
 def _(spark, sf_dir):
@@ -208,19 +208,18 @@ def _(spark, sf_dir):
 
 @query(
     "E07_coverage_geojson",
-    FEATURES.replace("{limit}", "1000") + " SELECT feat.code, 'ISO 3166' AS kind, feat.name, feat.status, source_paths, source_count, source_dates, address_count, CAST(1 AS DOUBLE) AS x FROM feat JOIN tot USING (code)",
+    FEATURES + " SELECT code, 'ISO 3166' AS kind, name, status, source_count, address_count, CAST(1 AS DOUBLE) AS x FROM feat",
 )
 def _(spark, sf_dir):
     places = geographies(spark, sf_dir).withColumns(
         {"code_kind": F.lit("ISO 3166"), "geometry": F.lit('{"type":"Point","coordinates":[1.0,2.0]}')}
     )
-    lines = products.coverage_geojson(places, sources(spark, sf_dir))
+    lines = products.coverage_geojson(places, sources(spark, sf_dir))["features"]
     get = lambda key: F.get_json_object("value", f"$.properties['{key}']")
     kind = F.json_object_keys(F.get_json_object("value", "$.properties"))
     return lines.select(
         get("ISO 3166").alias("code"), F.element_at(kind, -1).alias("kind"), get("name").alias("name"), get("status").alias("status"),
-        get("source paths").alias("source_paths"), get("source count").cast("bigint").alias("source_count"),
-        get("source dates").alias("source_dates"), get("address count").cast("bigint").alias("address_count"),
+        get("source count").cast("bigint").alias("source_count"), get("address count").cast("bigint").alias("address_count"),
         F.get_json_object("value", "$.geometry.coordinates[0]").cast("double").alias("x"),
     )
 

@@ -184,30 +184,17 @@ def good_and_bad_sources(sources: DataFrame, good: DataFrame) -> DataFrame:
     return sources.join(marked, "path", "left").withColumn("good", F.col("_good").isNotNull()).drop("_good")
 
 
-def coverage_features(attached: DataFrame, limit: int = 1000) -> DataFrame:
-    """One feature per geography: status, paths, dates and address total.
-
-    Counts and totals cover the whole geography. The joined lists of a
-    geography with more than ``limit`` sources come in several parts.
-    """
-    from streetgrain.operators.statistics import in_parts
-
-    keys = ["code", "name", "status"]
-    totals = attached.groupBy(*keys).agg(
+def coverage_features(attached: DataFrame) -> DataFrame:
+    """One feature per geography: status, number of sources and address total."""
+    return attached.groupBy("code", "name", "status").agg(
         F.count("*").alias("source_count"),
         F.sum(F.when(F.col("good"), F.coalesce("address_count", F.lit(0))).otherwise(0)).alias("address_count"),
     )
-    rows = in_parts(attached.select(*keys, "path", "good", "date"), keys, "path", limit)
-    entries = F.array_sort(F.collect_list(F.struct("path", "good", "date")))
-    lists = rows.groupBy(*keys, "part", "parts").agg(entries.alias("_e"))
-    lists = lists.select(
-        *keys, "part", "parts",
-        F.array_join(F.transform("_e", lambda e: e["path"]), ", ").alias("source_paths"),
-        F.array_join(
-            F.transform(F.filter("_e", lambda e: e["good"]), lambda e: e["date"]), ", "
-        ).alias("source_dates"),
-    )
-    same = [totals[k].eqNullSafe(lists[k]) for k in keys]
-    return lists.join(totals, same).select(
-        *[lists[k] for k in keys], "part", "parts", "source_count", "source_paths", "source_dates", "address_count"
-    )
+
+
+def coverage_paths(attached: DataFrame) -> DataFrame:
+    """Sources of the features: ``code, path`` and, for good sources, ``date``.
+
+    The list of a feature is its rows in order of ``path``.
+    """
+    return attached.select("code", "path", F.when(F.col("good"), F.col("date")).alias("date"))

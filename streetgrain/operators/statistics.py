@@ -8,27 +8,6 @@ from pyspark.sql import functions as F
 from streetgrain.functions.rules import conform_type, coverage_complete, state_value
 from streetgrain.functions.text import relative_path, short_name
 
-# Longest list that is ever put into one row. Longer lists continue in further
-# rows of the same group, see ``in_parts``.
-LIST_LIMIT = 1000
-
-
-def in_parts(df: DataFrame, keys: list[str], item: str, limit: int = LIST_LIMIT) -> DataFrame:
-    """Add ``part`` and ``parts`` so that no group of (keys, part) is long.
-
-    A group of up to ``limit`` rows is one part. A longer one is spread by a
-    hash of ``item``, so every row is kept and no task gathers a whole group.
-    The sizes come from a combining count; Catalyst broadcasts them if they
-    are small, else the join is a shuffle that AQE splits where it is skewed.
-    """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
-    joined = df.alias("l").join(sizes.alias("r"), same)
-    parts = F.ceil(F.col("r._n") / limit).cast("bigint")
-    spread = F.conv(F.substring(F.md5(F.col(f"l.`{item}`")), 1, 8), 16, 10).cast("bigint")
-    return joined.select("l.*", (spread % parts).alias("part"), parts.alias("parts"))
-
-
 def run_counts(runs: DataFrame) -> DataFrame:
     """Sources, cached, processed and addresses, in one row.
 
@@ -129,35 +108,33 @@ def license_block(source: Column, website: Column, license: Column, flag: Column
     )
 
 
-def license_text(sources: DataFrame, keys: list[str], heading: str, limit: int = LIST_LIMIT) -> DataFrame:
-    """Licence document per group: a heading and the paragraphs by source.
+def license_text(sources: DataFrame, keys: list[str], heading: str) -> DataFrame:
+    """Licence documents by paragraph: the keys, ``source_base`` and ``text``.
 
     ``sources``: the keys, ``source_base, website, license, attribution_flag,
-    attribution_name``. A document of more than ``limit`` sources comes in
-    several parts.
+    attribution_name``; equal rows give one paragraph. A document is its rows in
+    order of ``source_base`` and ``text``, joined by a line end. The heading has
+    no source and comes first (nulls first). No row holds more than one source.
     """
-    block = license_block(*[F.col(c) for c in
-                            ("source_base", "website", "license", "attribution_flag", "attribution_name")])
-    rows = in_parts(sources, keys, "source_base", limit)
-    blocks = F.array_sort(F.collect_list(F.struct("source_base", block.alias("block"))))
-    body = F.array_join(F.transform(blocks, lambda b: b["block"]), "\n")
-    return rows.groupBy(*keys, "part", "parts").agg(F.concat(F.lit(heading + "\n\n"), body).alias("text"))
+    facts = ("source_base", "website", "license", "attribution_flag", "attribution_name")
+    rows = sources.select(*keys, *facts).distinct()
+    blocks = rows.select(*keys, "source_base", license_block(*[F.col(c) for c in facts]).alias("text"))
+    heads = rows.select(*keys).distinct().select(
+        *keys, F.lit(None).cast("string").alias("source_base"), F.lit(heading + "\n").alias("text")
+    )
+    return heads.unionByName(blocks)
 
 
-def license_groups(runs: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
-    """Sources by licence and required attribution, as sorted pairs.
+def license_groups(runs: DataFrame) -> DataFrame:
+    """Sources by licence and required attribution, one row per source.
 
     ``runs``: ``source, website, license, attribution_required,
-    attribution_name``.
+    attribution_name``; result ``license, attribution, source, website``.
     """
     required = ~F.col("attribution_required").eqNullSafe("false")
-    rows = runs.select(
+    return runs.select(
         "license", F.when(required, F.col("attribution_name")).alias("attribution"), "source", "website"
-    )
-    rows = in_parts(rows, ["license", "attribution"], "source", limit)
-    return rows.groupBy("license", "attribution", "part", "parts").agg(
-        F.array_sort(F.collect_list(F.struct("source", "website"))).alias("sources")
-    )
+    ).distinct()
 
 
 def collections_index(zips: DataFrame) -> DataFrame:

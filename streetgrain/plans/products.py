@@ -80,7 +80,9 @@ def index_tiles(addresses: DataFrame, facts: DataFrame, lon: str = "LON", lat: s
     free = facts.filter(~F.col("share_alike").eqNullSafe("true"))
     others = [c for c in addresses.columns if c not in facts.columns or c == "source_base"]
     points = on_earth(addresses.select(*others), lon, lat).join(free, "source_base")
-    per_source = spatial.tile_source_counts(points)
+    # The documents need the sources of a tile only: counts first, then the facts of the free sources.
+    bare = on_earth(addresses.select("source_base", lon, lat), lon, lat).withColumn("share_alike", F.lit(None).cast("string"))
+    per_source = spatial.tile_source_counts(bare)
     return {
         "addresses": points,
         "index": spatial.tile_index(points),
@@ -181,10 +183,12 @@ def dashboard_rows(runs: DataFrame, sets: DataFrame) -> DataFrame:
     return series.unionByName(spread).unionByName(lost)
 
 
-def coverage_geojson(geographies: DataFrame, sources: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """Coverage features as GeoJSON lines.
+def coverage_geojson(geographies: DataFrame, sources: DataFrame, geometry: str = "geometry") -> dict[str, DataFrame]:
+    """Coverage features as GeoJSON lines, and the sources of each.
 
     ``geographies``: ``code, name, code_kind`` and a geometry as JSON text.
+    ``features`` has one line per geography with the counts; ``sources`` has one
+    row per geography and source, so no line grows with the sources.
     """
     attached = cov.attach_coverage_status(geographies.select("code", "name"), sources)
     features = cov.coverage_features(attached)
@@ -192,12 +196,12 @@ def coverage_geojson(geographies: DataFrame, sources: DataFrame, geometry: str =
     quoted = lambda c: F.coalesce(F.to_json(F.struct(c.alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(c.alias("v")))) - 6), F.lit("null"))
     properties = F.concat(
         F.lit('{"name":'), quoted(F.col("name")), F.lit(',"status":"'), F.col("status"),
-        F.lit('","source paths":'), quoted(F.col("source_paths")), F.lit(',"source count":'), F.col("source_count").cast("string"),
-        F.lit(',"source dates":'), quoted(F.col("source_dates")), F.lit(',"address count":'), F.col("address_count").cast("string"),
+        F.lit('","source count":'), F.col("source_count").cast("string"),
+        F.lit(',"address count":'), F.col("address_count").cast("string"),
         F.lit(',"'), F.col("code_kind"), F.lit('":'), quoted(F.col("code")), F.lit("}"),
     )
     line = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), F.col("_g"), F.lit("}"))
-    return joined.select("code", "part", line.alias("value"))
+    return {"features": joined.select("code", line.alias("value")), "sources": cov.coverage_paths(attached)}
 
 
 def preview_extent(addresses: DataFrame, keys: list[str], lon: str = "LON", lat: str = "LAT",

@@ -36,7 +36,8 @@ def write_collections(addresses: DataFrame, licenses: DataFrame, path: str) -> N
     """Address files per collection, licence class and source, licence texts beside.
 
     ``addresses``: the address columns, ``collection, license_attr,
-    source_base``; ``licenses``: ``collection, license_attr, part, text``.
+    source_base``; ``licenses``: ``collection, license_attr, source_base, text``,
+    one row per paragraph. A document is the lines of its folder's files in order.
     """
     keys = ["collection", "license_attr"]
     rows = addresses.select(*keys, F.col("source_base").alias("source"), *_address_columns(addresses))
@@ -44,8 +45,14 @@ def write_collections(addresses: DataFrame, licenses: DataFrame, path: str) -> N
         _rebalanced(rows, *keys, "source").write.mode("overwrite").partitionBy(*keys)
         .options(**CSV_OPTIONS).csv(f"{path}/addresses")
     )
-    texts = licenses.select(*keys, "part", F.col("text").alias("value"))
-    texts.write.mode("overwrite").partitionBy(*keys, "part").text(f"{path}/licenses")
+    _write_documents(licenses, keys, f"{path}/licenses")
+
+
+def _write_documents(paragraphs: DataFrame, keys: list[str], path: str) -> None:
+    """Paragraphs in order of source, cut over files by range, so that a long document takes several."""
+    order = [*keys, F.col("source_base").asc_nulls_first(), "text"]
+    lines = paragraphs.repartitionByRange(*order).sortWithinPartitions(*order)
+    lines.select(*keys, F.col("text").alias("value")).write.mode("overwrite").partitionBy(*keys).text(path)
 
 
 def write_tiles(addresses: DataFrame, licenses: DataFrame, path: str, folders: tuple[str, ...] = ("tile_lon", "tile_lat")) -> None:
@@ -62,11 +69,10 @@ def write_tiles(addresses: DataFrame, licenses: DataFrame, path: str, folders: t
         _rebalanced(rows, *folders).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(*folders)
         .options(**CSV_OPTIONS).csv(f"{path}/addresses")
     )
-    texts = licenses.select(*keys, "part", F.col("text").alias("value"))
     if len(folders) == len(keys):
-        texts.write.mode("overwrite").partitionBy(*keys, "part").text(f"{path}/licenses")
+        _write_documents(licenses, keys, f"{path}/licenses")
     else:
-        texts.write.mode("overwrite").partitionBy(*folders).parquet(f"{path}/licenses")
+        licenses.write.mode("overwrite").partitionBy(*folders).parquet(f"{path}/licenses")
 
 
 def _address_columns(df: DataFrame) -> list[Column]:

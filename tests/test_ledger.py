@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from streetgrain.sources import writers
 from streetgrain.operators import changes, statistics
 from streetgrain.operators import runs as ledger
 
@@ -107,14 +108,16 @@ def test_run_counts(spark):
     assert tuple(statistics.run_counts(df).first()) == (11, 4, 4, 15)
 
 
-def test_license_text_in_parts(spark):
+def test_license_text(spark, tmp_path):
     rows = [("c", f"s{i:03d}", None, "L", "false" if i % 2 else "true", "N" if i % 4 else "") for i in range(50)]
-    df = spark.createDataFrame(rows, "c string, source_base string, website string, license string, attribution_flag string, attribution_name string")
-    whole = statistics.license_text(df, ["c"], "Head").first()
-    assert (whole.part, whole.parts) == (0, 1)
-    assert whole.text.startswith("Head\n\ns000\nWebsite: Unknown\nLicense: L\nRequired attribution: Yes\n\ns001\nWebsite: Unknown\nLicense: L\nRequired attribution: No\n")
-    parts = statistics.license_text(df, ["c"], "Head", limit=10).collect()
-    assert len(parts) > 1 and sum(p.text.count("Website:") for p in parts) == 50
+    df = spark.createDataFrame(rows + rows[:9], "c string, source_base string, website string, license string, attribution_flag string, attribution_name string")
+    text = statistics.license_text(df, ["c"], "Head").withColumn("d", F.lit("x"))
+    assert text.count() == 51
+    whole = "\n".join(r.text for r in text.orderBy(F.col("source_base").asc_nulls_first()).collect())
+    assert whole.startswith("Head\n\ns000\nWebsite: Unknown\nLicense: L\nRequired attribution: Yes\n\ns001\nWebsite: Unknown\nLicense: L\nRequired attribution: No\n")
+    writers._write_documents(text, ["c", "d"], str(tmp_path / "t"))
+    files = sorted((tmp_path / "t").rglob("part-*"))
+    assert "".join(f.read_text() for f in files) == whole + "\n"
 
 
 def test_orders(spark):
