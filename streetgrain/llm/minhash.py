@@ -13,13 +13,16 @@ from .components import connected_components
 
 SHINGLE = 5
 PERCENT = 80
-# 40 bands of 5 minima: a pair of similarity 0.8 shares no band with probability
-# (1 - 0.8 ** 5) ** 40 = 1.3e-7.
-BANDS, ROWS = 40, 5
-# A pair whose share of equal minima is lower is not looked at further. At 0.8 and
-# 200 minima the standard deviation is 0.028, so a true link fails with probability 1e-7.
-SLACK = 0.15
-SMALL = 32  # members up to which a bucket's open pairs are all tried at once
+# 60 bands of 7 minima: a pair of similarity 0.8 shares no band with probability
+# (1 - 0.8 ** 7) ** 60 = 7e-7, one of similarity 0.1 shares one with 6e-6.
+BANDS, ROWS = 60, 7
+# Minima that a pair's signatures are compared by. A pair whose share of equal ones
+# is lower than the similarity less the slack is not looked at further: at 0.8 the
+# standard deviation is 0.028, so a true link fails with probability 1e-7.
+MARKS, SLACK = 210, 0.15
+FAMILY = 8192  # nodes up to which a family is tried as a whole, not bucket by bucket
+BLOCK_NODES, BLOCK_BYTES = 512, 8 << 20
+WIDE = 8192  # columns of a 0/1 matrix
 PIECE = 2 << 20
 BLOCK = 1 << 15
 
@@ -100,14 +103,14 @@ def _sign(width: int):
                 edge = np.concatenate([[0], np.cumsum(size[full])])
                 low = minima(values, edge, BANDS * ROWS)
                 bands = np.zeros((len(size), BANDS), np.uint64)
-                marks = np.zeros((len(size), BANDS * ROWS), np.uint8)
+                marks = np.zeros((len(size), MARKS), np.uint8)
                 if full.any():
                     grouped = low.reshape(BANDS, ROWS, -1)
                     key = np.arange(1, BANDS + 1, dtype=np.uint64)[:, None] * np.ones(grouped.shape[2], np.uint64)
                     for r in range(ROWS):
                         key = w.mix(key * np.uint64(w.ODD[0]) + grouped[:, r])
                     bands[full] = key.T
-                    marks[full] = (low >> np.uint64(56)).astype(np.uint8).T
+                    marks[full] = (low[:MARKS] >> np.uint64(56)).astype(np.uint8).T
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(size), pa.array(a), pa.array(c), _fixed(bands), _fixed(marks)],
                     ["id", "n", "set_a", "set_b", "bands", "marks"],
@@ -120,8 +123,8 @@ def _buckets(parts):
     for part in parts:
         if part.num_rows:
             key = np.frombuffer(b"".join(part.column("bands").to_pylist()), np.int64)
-            node = np.repeat(part.column("id").to_numpy(zero_copy_only=False), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["key", "node"])
+            node, n = (np.repeat(part.column(c).to_numpy(zero_copy_only=False), BANDS) for c in ("id", "n"))
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(n)], ["key", "node", "n"])
 
 
 def _alike(least: float):
@@ -177,45 +180,118 @@ def _ordered_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def links(nodes: DataFrame, sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
-    """(node, component) from verified links; ``buckets`` has key, node and score, two nodes a key at least.
+def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    near = _pair_with(pairs, nodes, "marks", "marks").mapInArrow(_alike(percent / 100 - SLACK), "a long, b long")
+    near = _pair_with(near, sets, "shingles", "set").mapInArrow(_confirmed(percent), "a long, b long")
+    return written(near, "links")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set, by products of 0/1 matrices of bounded width."""
+    flat = np.concatenate([*left, *right])
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    column = np.cumsum(new) - 1
+    often = np.bincount(column) > 1  # a shingle of one set is in no intersection
+    keep = often[column]
+    column, owner = (np.cumsum(often) - 1)[column[keep]], owner[keep]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, WIDE):
+        low, high = np.searchsorted(column, [at, at + WIDE])
+        matrix = np.zeros((len(left) + len(right), WIDE), np.float32)
+        matrix[owner[low:high], column[low:high] - at] = 1
+        out += matrix[: len(left)] @ matrix[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _joining(percent: int):
+    """Of the similar pairs between two blocks, some that join all components that any of them joins."""
+
+    def run(table: pa.Table) -> pa.Table:
+        mine = table.column("own").to_numpy(zero_copy_only=False)
+        node, part = (table.column(c).to_numpy() for c in ("node", "component"))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        x, y = np.flatnonzero(mine), np.flatnonzero(~mine)
+        if table.column("i")[0].as_py() == table.column("j")[0].as_py():
+            y = x
+        a, b = [], []
+        if len(x) and len(y):
+            size = np.array([len(s) for s in sets])
+            common = common_counts([sets[k] for k in x], [sets[k] for k in y])
+            good = 100 * common >= percent * (size[x][:, None] + size[y] - common)
+            root: dict[int, int] = {}
+
+            def find(c: int) -> int:
+                while root.get(c, c) != c:
+                    c = root[c]
+                return c
+
+            for p, q in zip(*np.nonzero(good & (part[x][:, None] != part[y])), strict=True):
+                p, q = x[p], y[q]
+                s, t = sorted((find(part[p]), find(part[q])))
+                if s != t:
+                    root[t] = s
+                    a.append(node[p])
+                    b.append(node[q])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _between(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components, all pairs of a group tried, block by block.
 
-    All members of a bucket are compared with its most central member, then a
-    bucket is left alone once the rest of it is in one component. What stays open
-    is compared with further members, or pair by pair in a small bucket. So a
-    bucket of many alike documents costs one comparison per member, and no pair
-    of a shared bucket that could join two components goes untried.
+    ``groups`` has grp, node and component. A group is dealt into blocks of bounded
+    size, and each two blocks are one task's work, which returns fewer links than
+    the blocks have components.
     """
-    edges, part, live, pivots = None, None, buckets, 1
-    while True:
-        if part is None:
-            best = live.groupBy("key").agg(F.max(F.struct("score", -F.col("node"))).alias("m"))
-            chosen = best.select("key", (-F.col("m").getField("col2")).alias("pivot"))
-            pairs = _ordered_pairs(live.join(chosen, "key"), "node", "pivot")
-        else:
-            small = live.where(F.col("size") <= SMALL)
-            x = small.select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
-            y = small.select("key", F.col("node").alias("y"), F.col("component").alias("cy"))
-            inner = x.join(y, "key").where("x < y AND cx <> cy")
-            live = live.where(F.col("size") > SMALL)
-            slot = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots))
-            best = live.groupBy("key", slot.alias("slot")).agg(F.max(F.struct("score", -F.col("node"))).alias("m"))
-            chosen = best.select("key", (-F.col("m").getField("col2")).alias("pivot"))
-            outer = live.join(chosen, "key")
-            pairs = _ordered_pairs(inner, "x", "y").unionByName(_ordered_pairs(outer, "node", "pivot")).distinct()
-        near = _pair_with(pairs, nodes, "marks", "marks").mapInArrow(_alike(percent / 100 - SLACK), "a long, b long")
-        near = _pair_with(near, sets, "shingles", "set").mapInArrow(_confirmed(percent), "a long, b long")
-        found = written(near, "links")
-        edges = found if edges is None else written(edges.unionByName(found), "links")
-        part = connected_components(edges)
-        tested = chosen.select("key", F.col("pivot").alias("node"))
-        rest = live.select("key", "node", "score").join(tested, ["key", "node"], "left_anti").join(part, "node", "left")
-        rest = written(rest.withColumn("component", F.coalesce("component", "node")), "open")
-        span = rest.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y"))
-        live = written(rest.join(span.where("x <> y").select("key", "size"), "key"), "open")
-        if live.isEmpty():
-            return part
-        pivots *= 16
+    rows = groups.join(sets.withColumn("bytes", F.octet_length("shingles")), "node")
+    size = rows.groupBy("grp").agg(F.count("*").alias("many"), F.sum("bytes").alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("many") / BLOCK_NODES), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    placed = rows.drop("bytes").join(size.select("grp", blocks.alias("blocks")), "grp")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = placed.withColumn("at", own).select("grp", "node", "component", "shingles", "at", other)
+    dealt = dealt.withColumns({"i": F.least("at", "other"), "j": F.greatest("at", "other"), "own": F.col("at") <= F.col("other")})
+    return dealt.drop("at", "other").groupBy("grp", "i", "j").applyInArrow(_joining(percent), "a long, b long")
+
+
+def links(nodes: DataFrame, sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) from verified links; ``buckets`` has key, node, n and score, two nodes a key at least.
+
+    First each node is compared with the most central of its buckets' central
+    nodes; that settles most of a group of alike documents at one comparison per
+    member. Buckets that still hold several components are open. Components that
+    share open buckets form a family, and all pairs of a family's nodes, or of a
+    bucket's where a family is large, are tried across components, in blocks. So
+    no pair that shares a bucket and could join two components goes untried.
+    """
+    best = buckets.groupBy("key").agg(F.max_by(F.struct("node", "n", "score"), F.struct("score", -F.col("node"))).alias("p"))
+    best = best.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.score").alias("s"))
+    # Sets whose sizes differ by more can't be so similar.
+    fits = 100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")
+    first = buckets.join(best, "key").where((F.col("node") != F.col("pivot")) & fits)
+    first = first.groupBy("node").agg(F.max_by("pivot", F.struct("s", -F.col("pivot"))).alias("pivot"))
+    edges = _verified(_ordered_pairs(first, "node", "pivot"), nodes, sets, percent)
+    part = connected_components(edges)
+
+    rest = buckets.select("key", "node").join(part, "node", "left")
+    rest = written(rest.withColumn("component", F.coalesce("component", "node")), "open")
+    span = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    open_ = written(rest.join(span.select("key", F.col("x").alias("least")), "key"), "open")
+    family = connected_components(open_.select(F.col("component").alias("a"), F.col("least").alias("b")))
+    family = family.select(F.col("node").alias("component"), F.col("component").alias("family"))
+    members = open_.select("node", "component").distinct().join(family, "component", "left")
+    members = written(members.withColumn("family", F.coalesce("family", "component")), "members")
+    large = members.groupBy("family").agg(F.count("*").alias("many")).where(F.col("many") > FAMILY).select("family")
+    whole = members.join(large, "family", "left_anti").select(F.col("family").alias("grp"), "node", "component")
+    apart = open_.join(members.join(large, "family", "left_semi").select("node"), "node", "left_semi")
+    apart = apart.select(F.col("key").alias("grp"), "node", "component")
+    more = _between(whole, sets, percent).unionByName(_between(apart, sets, percent))
+    return connected_components(edges.unionByName(written(more, "links")))
 
 
 def near_duplicates(
@@ -238,14 +314,14 @@ def near_duplicates(
     same = ["n", "set_a", "set_b"]
     classes = written(own.where("n > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("node")), "classes")
     first = signed.where("n > 0").join(classes.select(F.col("node").alias("id"), *same), ["id", *same], "left_semi")
-    bands = written(first.select("id", "bands", "marks").dropDuplicates(["id", "bands"]), "nodes")
-    spread = bands.select("id", "bands").mapInArrow(_buckets, "key long, node long").distinct()
+    bands = written(first.select("id", "n", "bands", "marks"), "nodes")
+    spread = bands.select("id", "n", "bands").mapInArrow(_buckets, "key long, node long, n long")
     sizes = spread.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     shared = written(spread.join(sizes, "key"), "buckets")
     score = shared.groupBy("node").agg(F.sum("size").alias("score"))
-    buckets = written(shared.join(score, "node").select("key", "node", "score"), "buckets")
+    buckets = written(shared.join(score, "node").select("key", "node", "n", "score"), "buckets")
     wanted = buckets.select(F.col("node").alias("id")).distinct()
-    sets = written(rows.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "node long, shingles binary").distinct(), "sets")
+    sets = written(rows.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "node long, shingles binary"), "sets")
     nodes = bands.select(F.col("id").alias("node"), "marks")
     part = links(nodes, sets, buckets, percent)
     found = own.join(classes, same, "left").join(part, "node", "left")
