@@ -8,8 +8,12 @@ result in a written table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
 from streetgrain.operators.changes import incremental_changes
 from streetgrain.session import scratch_path
@@ -41,28 +45,84 @@ def count_active_workers(seen: DataFrame) -> DataFrame:
     return seen.groupBy("start").agg(F.count("*").alias("workers"))
 
 
+LIMIT_US = (JOB_TIMEOUT_HOURS * 60 + DUE_DELAY_MINUTES) * 60 * 1_000_000
+
+
+def _decide(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One run: its first report in time, once no earlier one can come, or nothing in time.
+
+    State: when the run was queued, the time and result of its first timely
+    report (before the run is known, all reports), and whether it is decided.
+    """
+    queued, times, results, decided = state.get if state.exists else (None, [], [], False)
+    reports = list(zip(times, results, strict=True))
+    for frame in frames:
+        for row in frame.itertuples():
+            if row.queued:
+                queued = row.at_us if queued is None else min(queued, row.at_us)
+            else:
+                reports.append((row.at_us, bool(row.ok)))
+    if queued is not None:
+        reports = sorted(r for r in reports if queued <= r[0] <= queued + LIMIT_US)[:1]
+    passed = state.getCurrentWatermarkMs()
+    wait = lambda us: max(-(-us // 1000), passed + 1)
+    due = queued is not None and (queued + LIMIT_US) // 1000 < passed
+    sure = queued is not None and reports and -(-reports[0][0] // 1000) < passed
+    if not decided and (sure or due):
+        at, ok = reports[0] if reports else (None, False)
+        yield pd.DataFrame({
+            "run_id": [key[0]], "enqueued_us": [queued], "done_us": pd.array([at], "Int64"), "status": [ok],
+            "decided_by": ["done" if reports else "due"],
+        })
+        decided = True
+    if due or queued is None and state.hasTimedOut:
+        state.remove()  # no report can count any more
+        return
+    state.update((queued, [t for t, _ in reports], [o for _, o in reports], decided))
+    if queued is None:
+        state.setTimeoutTimestamp(wait(max(t for t, _ in reports) + LIMIT_US))
+    elif reports and not decided:
+        state.setTimeoutTimestamp(wait(reports[0][0]))
+    else:
+        state.setTimeoutTimestamp(wait(queued + LIMIT_US + 1000))
+
+
 def done_or_due(tasks: DataFrame, done: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Outcome of every task: its first report in time, else failed as overdue.
+    """One outcome per task: its first report in time, else failed as overdue.
 
     ``tasks``: ``run_id, enqueued``; ``done``: ``run_id, done_at, ok``. A report
-    counts within the job timeout plus a grace period; a later one finds the
-    run decided. As a stream this is an outer join whose state lasts as long as
-    a report could still count, and overdue tasks appear when the watermark
-    passes their deadline.
+    counts within the job timeout plus a grace period; of several the first
+    decides, a failure before a success of the same time. As a stream, an outcome
+    appears when the watermark shows that no earlier report can come, or that the
+    deadline is over; a run's state is one report and goes with its deadline.
     """
-    limit = F.expr(f"INTERVAL {JOB_TIMEOUT_HOURS * 60 + DUE_DELAY_MINUTES} MINUTES")
-    left = tasks.withWatermark("enqueued", delay).select(F.col("run_id"), "enqueued")
-    right = done.withWatermark("done_at", delay).select(F.col("run_id").alias("done_run_id"), "done_at", "ok")
-    in_time = (
-        (F.col("run_id") == F.col("done_run_id"))
-        & (F.col("done_at") >= F.col("enqueued"))
-        & (F.col("done_at") <= F.col("enqueued") + limit)
+    if not (tasks.isStreaming or done.isStreaming):
+        limit = F.expr(f"INTERVAL {LIMIT_US} MICROSECONDS")
+        reports = done.select(F.col("run_id").alias("_id"), "done_at", F.coalesce("ok", F.lit(False)).alias("ok"))
+        in_time = (
+            (F.col("run_id") == F.col("_id")) & (F.col("done_at") >= F.col("enqueued"))
+            & (F.col("done_at") <= F.col("enqueued") + limit)
+        )
+        first = F.min(F.when(F.col("_id").isNotNull(), F.struct("done_at", "ok"))).alias("r")
+        decided = tasks.join(reports, in_time, "left").groupBy("run_id", "enqueued").agg(first)
+        return decided.select(
+            "run_id", "enqueued", F.col("r.done_at").alias("done_at"), F.coalesce("r.ok", F.lit(False)).alias("status"),
+            F.when(F.col("r").isNull(), "due").otherwise("done").alias("decided_by"),
+        )
+    us = lambda c: F.unix_micros(c).alias("at_us")
+    left = tasks.withWatermark("enqueued", delay).select(
+        "run_id", F.col("enqueued").alias("at"), us("enqueued"), F.lit(True).alias("queued"), F.lit(False).alias("ok")
     )
-    joined = left.join(right, in_time, "leftOuter")
-    return joined.select(
-        "run_id", "enqueued", "done_at",
-        F.coalesce("ok", F.lit(False)).alias("status"),
-        F.when(F.col("done_run_id").isNull(), F.lit("due")).otherwise(F.lit("done")).alias("decided_by"),
+    right = done.withWatermark("done_at", delay).select(
+        "run_id", F.col("done_at").alias("at"), us("done_at"), F.lit(False).alias("queued"), F.coalesce("ok", F.lit(False)).alias("ok")
+    )
+    decided = left.unionByName(right).groupBy("run_id").applyInPandasWithState(
+        _decide, "run_id long, enqueued_us long, done_us long, status boolean, decided_by string",
+        "queued long, times array<long>, results array<boolean>, decided boolean", "append", "EventTimeTimeout",
+    )
+    return decided.select(
+        "run_id", F.timestamp_micros("enqueued_us").alias("enqueued"), F.timestamp_micros("done_us").alias("done_at"),
+        "status", "decided_by",
     )
 
 
@@ -89,20 +149,68 @@ def dedupe_events(events: DataFrame, key: str = "run_id", delay: str = "1 day")
     return marked.dropDuplicatesWithinWatermark([key]) if marked.isStreaming else marked.dropDuplicates([key])
 
 
-def usage_windows(samples: DataFrame, delay: str = "1 minute", window: str = "30 seconds") -> DataFrame:
-    """Counter growth per process and half minute.
+COUNTERS = ("user_cpu", "total_cpu", "read_bytes")
+
+
+def _grow(width_us: int):
+    """Growth of one process per window, once the watermark has passed the window's end.
 
-    Counters only grow, so the growth within a window is maximum minus minimum.
+    State: the last sample that is settled and those that aren't.
     """
-    counters = ["user_cpu", "total_cpu", "read_bytes"]
-    grown = [(F.max(c) - F.min(c)).alias(c) for c in counters]
-    rates = (
-        samples.withWatermark("ts", delay)
-        .groupBy(F.window("ts", window).alias("w"), "process")
-        .agg(F.count("*").alias("samples"), *grown)
-    )
-    return rates.select(
-        F.col("w.start").alias("start"), "process", "samples",
+
+    def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, waiting = state.get if state.exists else (None, [])
+        last, rows = list(last) if last else None, [list(x) for x in waiting]
+        for frame in frames:
+            rows += frame[["at_us", *COUNTERS]].astype("int64").values.tolist()
+        rows.sort()
+        passed = state.getCurrentWatermarkMs() * 1000 // width_us * width_us
+        settled = [r for r in rows if r[0] < passed]
+        rows = rows[len(settled) :]
+        out: dict[int, list[int]] = {}
+        for r in settled:
+            window = out.setdefault(r[0] // width_us * width_us, [0, *[0] * len(COUNTERS)])
+            window[0] += 1
+            for i in range(1, len(COUNTERS) + 1) if last else ():
+                window[i] += r[i] - last[i]
+            last = r
+        if out:
+            columns = list(zip(*([start, *v] for start, v in out.items()), strict=True))
+            yield pd.DataFrame({"process": [key[0]] * len(out)} | dict(zip(("start_us", "samples", *COUNTERS), columns, strict=True)))
+        state.update((tuple(last) if last else None, [tuple(r) for r in rows]))
+        if rows:
+            end = (rows[0][0] // width_us + 1) * width_us // 1000
+            state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
+
+    return run
+
+
+def usage_windows(samples: DataFrame, delay: str = "1 minute", seconds: int = 30) -> DataFrame:
+    """Counter growth per process and half minute: ``start, process, samples, user_percent, read_kb``.
+
+    Counters only grow. A sample's growth is what was added since the process's
+    previous sample, in whatever window that lies; a first sample has none. A
+    stream keeps the last sample of each process, and a window appears when the
+    watermark has passed its end.
+    """
+    width = seconds * 1_000_000
+    if samples.isStreaming:
+        rows = samples.withWatermark("ts", delay).select("ts", "process", F.unix_micros("ts").alias("at_us"), *[F.col(c).cast("long").alias(c) for c in COUNTERS])
+        sample = "struct<at_us:bigint," + ",".join(f"{c}:bigint" for c in COUNTERS) + ">"
+        counted = rows.groupBy("process").applyInPandasWithState(
+            _grow(width), f"process {samples.schema['process'].dataType.simpleString()}, start_us long, samples long, " + ", ".join(f"{c} long" for c in COUNTERS),
+            f"last {sample}, waiting array<{sample}>", "append", "EventTimeTimeout",
+        )
+    else:
+        before = Window.partitionBy("process").orderBy("at_us", *COUNTERS)
+        rows = samples.select("process", F.unix_micros("ts").alias("at_us"), *COUNTERS)
+        rows = rows.select(
+            "process", (F.floor(F.col("at_us") / width) * width).alias("start_us"),
+            *[F.coalesce(F.col(c) - F.lag(c).over(before), F.lit(0)).alias(c) for c in COUNTERS],
+        )
+        counted = rows.groupBy("process", "start_us").agg(F.count("*").alias("samples"), *[F.sum(c).alias(c) for c in COUNTERS])
+    return counted.select(
+        F.timestamp_micros("start_us").alias("start"), "process", "samples",
         F.try_divide(F.col("user_cpu") * 100.0, F.col("total_cpu").cast("double")).alias("user_percent"),
         (F.col("read_bytes") / 1024.0).alias("read_kb"),
     )

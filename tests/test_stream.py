@@ -57,3 +57,30 @@ def test_changed_sources(spark):
     recorded = spark.createDataFrame([("u1", "a"), ("u2", "old")], "url string, fingerprint string")
     rows = ev.run_to_table(spark, ev.changed_sources(s, recorded), "fp-out").collect()
     assert sorted(r.url for r in rows) == ["u2", "u3"]
+
+
+def test_first_of_several_reports_decides(spark):
+    """Reports that come late, twice, before their task, and out of order over several files."""
+    tasks = [[(1, at(0)), (2, at(0))], [(3, at(1))], [(4, at(2))], [(99, at(5000))]]
+    done = [[(1, at(30), True), (4, at(3), True)], [(1, at(20), False), (2, at(700), True)], [(3, at(800), True), (2, at(690), False)], [(98, at(5000), True)]]
+    t = files(spark, tasks, "run_id long, enqueued timestamp", "tasks")
+    d = files(spark, done, "run_id long, done_at timestamp, ok boolean", "done")
+    rows = ev.run_to_table(spark, ev.done_or_due(t, d, delay="20 hours"), "decided").collect()
+    got = sorted((r.run_id, r.status, r.decided_by, r.done_at) for r in rows)
+    want = [(1, False, "done", at(20)), (2, False, "done", at(690)), (3, False, "due", None), (4, True, "done", at(3))]
+    assert got == want
+    flat = lambda parts, schema: spark.createDataFrame([r for p in parts for r in p], schema)
+    twin = ev.done_or_due(flat(tasks, "run_id long, enqueued timestamp"), flat(done, "run_id long, done_at timestamp, ok boolean")).collect()
+    assert sorted((r.run_id, r.status, r.decided_by, r.done_at) for r in twin if r.run_id != 99) == want
+
+
+def test_growth_across_windows(spark):
+    """Half-minute samples: each window's growth is that since the previous sample."""
+    schema = "ts timestamp, process string, user_cpu long, total_cpu long, read_bytes long"
+    rows = [(at(0.5 * i), "p", 10 * i, 100 * i, 2048 * i) for i in range(8)]
+    parts = [rows[0:2], [rows[3], rows[2]], rows[4:6], rows[6:], [(at(60), "q", 0, 0, 0)]]
+    out = ev.run_to_table(spark, ev.usage_windows(files(spark, parts, schema, "use")), "use-out").collect()
+    got = sorted((r.start, r.samples, r.user_percent, r.read_kb) for r in out if r.process == "p")
+    assert got == [(at(0), 1, None, 0.0)] + [(at(0.5 * i), 1, 10.0, 2.0) for i in range(1, 8)]
+    twin = ev.usage_windows(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.start, r.samples, r.user_percent, r.read_kb) for r in twin) == got
