@@ -7,7 +7,7 @@ from streetgrain.catalog.conform import ADDRESS_SQL, HASH_SQL, LINES, SPEC
 from streetgrain.catalog.coverage import FEATURES, geographies, sources
 from streetgrain.catalog.ledger import LATEST, LOST, STATS, js, last_set, seconds_sql
 from streetgrain.catalog.spatial import (
-    AREA_SQL, DIAMETER, HASH12, PARSED, SHAPES_SQL, STATS_SQL, bounds_sql, shapes,
+    AREA_SQL, DIAMETER, HASH12, PARSED, POLED, SHAPES_SQL, STATS_SQL, bounds_sql, shapes,
 )
 from streetgrain.catalog.views import ledger_sql, runs, sets, table, view, view_sql
 from streetgrain.functions import geo
@@ -120,8 +120,8 @@ CLAMP = lambda v: f"CAST(least(greatest(floor({v}), 0), pow(2.0, zoom) - 1) AS B
 
 @query(
     "E04_dot_map",
-    f"WITH {PARSED}, zooms AS (SELECT CAST(unnest(range(16)) AS INTEGER) AS zoom), m AS (SELECT pt_id, radians(lon) * 6378137.0 AS x, ln(tan(pi() / 4 + radians(lat) / 2)) * 6378137.0 AS y "
-    "FROM parsed WHERE lon IS NOT NULL AND NOT isnan(lon) AND abs(lat) < 90), "
+    f"WITH {PARSED}, zooms AS (SELECT CAST(unnest(range(16)) AS INTEGER) AS zoom), m AS (SELECT pt_id, radians(lon) * 6378137.0 AS x, {POLED} AS y "
+    "FROM parsed WHERE lon IS NOT NULL AND NOT isnan(lon) AND lat IS NOT NULL AND NOT isnan(lat)), "
     f"t AS (SELECT zoom, {CLAMP(f'(x + {DIAMETER} / 2) / {DIAMETER} * pow(2.0, zoom)')} AS col, CAST(pow(2, zoom) AS BIGINT) - 1 - {CLAMP(f'({DIAMETER} / 2 - y) / {DIAMETER} * pow(2.0, zoom)')} AS \"row\", "
     f"count(*) AS points FROM m, zooms WHERE {HASH12} % CAST(pow(2, 15 - zoom) AS BIGINT) = 0 GROUP BY ALL), q AS (SELECT unnest(['northwest', 'northeast', 'southeast', 'southwest']) AS quadrant) "
     "SELECT zoom, col, \"row\", points, quadrant FROM t, q WHERE zoom = 0 OR ((CASE WHEN \"row\" >= pow(2, zoom - 1) THEN 'north' ELSE 'south' END) || "

@@ -224,10 +224,13 @@ def _(spark, sf_dir):
 @query(
     "S08_in_archive_selection",
     f"WITH {FILES_SQL}, n AS (SELECT DISTINCT CASE WHEN grp % 9 = 0 THEN lower(path) ELSE 'd2' END AS name FROM files) "
-    "SELECT DISTINCT grp, position, path FROM files, n WHERE lower(path) = name OR starts_with(lower(path), name || '/')",
+    "SELECT grp, position, path FROM files WHERE EXISTS (SELECT 1 FROM n WHERE lower(path) = name OR starts_with(lower(path), name || '/')) "
+    "UNION ALL SELECT grp, position, path FROM files WHERE position = 1 AND EXISTS (SELECT 1 FROM n WHERE lower(path) = name OR starts_with(lower(path), name || '/'))",
 )
 def _(spark, sf_dir):
+    # Some members are listed twice; both stay.
     listed = files(spark, sf_dir)
+    listed = listed.unionByName(listed.where("position = 1"))
     names = listed.select(F.when(F.col("grp") % 9 == 0, F.col("path")).otherwise(F.lit("D2/")).alias("name")).distinct()
     return changes.in_archive_selection(listed, names)
 

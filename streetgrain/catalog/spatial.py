@@ -24,6 +24,8 @@ MERC = (
     "merc AS (SELECT *, radians(lon) * 6378137.0 AS x, ln(tan(pi() / 4 + radians(lat) / 2)) * 6378137.0 AS y "
     "FROM good WHERE abs(lat) < 90)"
 )
+# For tiles: latitudes at and beyond the poles count as just before them.
+POLED = "ln(tan(pi() / 4 + radians(least(greatest(lat, -89.9999999), 89.9999999)) / 2)) * 6378137.0"
 DIAMETER = "(2 * pi() * 6378137.0)"
 
 
@@ -207,7 +209,7 @@ def tile_sql(zoom: str) -> str:
 
 @query(
     "A17_tile_pyramid",
-    f"{GOOD}, {MERC}, zooms AS (SELECT CAST(unnest(range(16)) AS INTEGER) AS zoom) "
+    f"{GOOD}, merc AS (SELECT radians(lon) * 6378137.0 AS x, {POLED} AS y FROM good), zooms AS (SELECT CAST(unnest(range(16)) AS INTEGER) AS zoom) "
     f"SELECT zoom, {tile_sql('zoom')}, count(*) AS points FROM merc, zooms GROUP BY ALL",
 )
 def _(spark, sf_dir):
@@ -277,10 +279,10 @@ def _(spark, sf_dir):
 
 @query(
     "G03_reproject_web_mercator",
-    f"{GOOD} SELECT pt_id, source_base, round(lon, 6) AS lon, round(lat, 6) AS lat FROM good WHERE abs(lat) < 85",
+    f"{GOOD} SELECT pt_id, source_base, round(lon, 6) AS lon, round(lat, 6) AS lat FROM good WHERE abs(lat) < 90",
 )
 def _(spark, sf_dir):
-    good = points(spark, sf_dir).filter("abs(lat) < 85")
+    good = points(spark, sf_dir).filter("abs(lat) < 90")
     x, y = geo.mercator_x(F.col("lon")), geo.mercator_y(F.col("lat"))
     lon, lat = reproject(x, y, "EPSG:3857")
     return good.select("pt_id", "source_base", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
@@ -442,10 +444,10 @@ def _(spark, sf_dir):
 @query(
     "G10_buffer_point",
     f"{GOOD} SELECT pt_id, source_base, 33 AS corners, round(lon + degrees(10000 / 6378137.0) / cos(radians(lat)), 6) AS east, "
-    "round(lat + degrees(10000 / 6378137.0), 6) AS north, round(lon - degrees(10000 / 6378137.0) / cos(radians(lat)), 6) AS west FROM good WHERE abs(lat) < 80",
+    "round(lat + degrees(10000 / 6378137.0), 6) AS north, round(lon - degrees(10000 / 6378137.0) / cos(radians(lat)), 6) AS west FROM good WHERE abs(lat) < 90",
 )
 def _(spark, sf_dir):
-    near = points(spark, sf_dir).filter("abs(lat) < 80")
+    near = points(spark, sf_dir).filter("abs(lat) < 90")
     disc = near.select("pt_id", "source_base", geo.buffer_point(F.col("lon"), F.col("lat"), 10000.0).alias("r"))
     e = disc.select("pt_id", "source_base", F.size(F.col("r")[0]).alias("corners"), geo.envelope(F.col("r")).alias("e"))
     return e.select(

@@ -15,7 +15,8 @@ import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetgrain.functions.numbers import round_coordinates
@@ -101,9 +102,51 @@ _REFERENCE = re.compile(r"\$(?:(\d+)|\{(\d+)\})")
 _TEMPLATE_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "f": "\f", "v": "\x0b", "a": "\a", "b": "\b", "\\": "\\"}
 
 
+_PIECE = re.compile(
+    r"\\(?P<escape>.)|\(\?P<(?P<name>\w+)>|\(\?P=(?P<back>\w+)\)|(?P<condition>\(\?\()|(?P<open>\[\^?\]?)|(?P<other>.)", re.S
+)
+
+
 def java_pattern(pattern: str) -> str:
-    """The same pattern in the regex dialect of the JVM, with Unicode classes."""
-    return "(?U)" + pattern.replace("(?P<", "(?<").replace(r"\Z", r"\z")
+    """The same pattern in the regex dialect of the JVM.
+
+    Unicode classes, and only a line feed ends a line. Named groups go by
+    number, as JVM names have no underscore; inside a class an opening bracket
+    and ``&&`` are plain. A conditional group has no counterpart and is an error.
+    """
+    numbers = re.compile(pattern).groupindex
+    out, inside = ["(?dU)"], False
+    for m in _PIECE.finditer(pattern):
+        if m["escape"]:
+            out.append(r"\z" if m["escape"] == "Z" and not inside else m[0])
+        elif inside:
+            # In a class brackets and && are plain, and other pieces are only characters.
+            for c in m[0]:
+                out.append("\\" + c if inside and c in "[&" else c)
+                inside = inside and c != "]"
+        elif m["name"]:
+            out.append(f"(?<g{numbers[m['name']]}>")
+        elif m["back"]:
+            out.append(rf"\k<g{numbers[m['back']]}>")
+        elif m["condition"]:
+            raise ConformError(f"conditional group in pattern {pattern!r}")
+        elif m["open"]:
+            inside = True
+            # A bracket that closes at once is a member of the class.
+            out.append(m[0].replace("]", r"\]"))
+        else:
+            out.append(m[0])
+    return "".join(out)
+
+
+def _check_pattern(pattern: str, translated: str) -> None:
+    """An error now, not in a task, if the JVM can't read a pattern."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        try:
+            session._jvm.java.util.regex.Pattern.compile(translated)
+        except Py4JJavaError as error:
+            raise ConformError(f"bad pattern {pattern!r}: {error.java_exception.getMessage()}") from error
 
 
 def _literal(text: str) -> str:
@@ -147,6 +190,7 @@ def _regexp(spec: dict, scope: Scope, target: str) -> Compiled:
     except re.error as error:
         raise ConformError(f"bad pattern {spec['pattern']!r}: {error}") from error
     pattern = java_pattern(spec["pattern"])
+    _check_pattern(spec["pattern"], pattern)
     if spec.get("replace"):
         replacement = java_replacement(spec["replace"], groups)
         return Compiled(F.regexp_replace(source, F.lit(pattern), F.lit(replacement)), problems)
@@ -161,10 +205,10 @@ def _regexp(spec: dict, scope: Scope, target: str) -> Compiled:
 # Shapes of a leading house number and of a trailing unit.
 HOUSE_NUMBER = r"\d+(?:[ -]\d/\d)?|\d+-\d+|\d+-?[A-Z]"
 UNIT = r"(?:(?:UNIT|APARTMENT|APT\.?|SUITE|STE\.?|BUILDING|BLDG\.?|LOT)\s+|#).+"
-PREFIXED_NUMBER = rf"(?iU)^\s*({HOUSE_NUMBER})\s+"
-POSTFIXED_STREET = rf"(?iU)^(?:\s*(?:{HOUSE_NUMBER})\s+)?(.*)"
-POSTFIXED_STREET_WITH_UNITS = rf"(?iU)^(?:\s*(?:{HOUSE_NUMBER})\s+)?(.+?)(?:\s+{UNIT})?$"
-POSTFIXED_UNIT = rf"(?iU)\s({UNIT})$"
+PREFIXED_NUMBER = rf"(?idU)^\s*({HOUSE_NUMBER})\s+"
+POSTFIXED_STREET = rf"(?idU)^(?:\s*(?:{HOUSE_NUMBER})\s+)?(.*)"
+POSTFIXED_STREET_WITH_UNITS = rf"(?idU)^(?:\s*(?:{HOUSE_NUMBER})\s+)?(.+?)(?:\s+{UNIT})?$"
+POSTFIXED_UNIT = rf"(?idU)\s({UNIT})$"
 
 
 def _extract(pattern: str, spec: dict, scope: Scope) -> Compiled:

@@ -270,6 +270,12 @@ def mercator_y(lat: Column) -> Column:
     )
 
 
+def tile_y(lat: Column) -> Column:
+    """Mercator y for tiles: latitudes at and beyond the poles count as just before them."""
+    most = F.lit(89.9999999)
+    return mercator_y(F.greatest(F.least(lat, most), -most))
+
+
 def tile_column(x: Column, zoom: Column) -> Column:
     return F.floor((x + EARTH_DIAMETER / 2) / EARTH_DIAMETER * F.pow(F.lit(2.0), zoom)).cast("bigint")
 

@@ -79,9 +79,11 @@ def in_archive_selection(members: DataFrame, names: DataFrame, path: str = "path
         F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/")
     )
     wanted = names.select(F.regexp_replace(F.lower(name), "/+$", "").alias("_name"))
-    spread = members.select(F.struct("*").alias("_row"), F.explode(prefixes).alias("_name"))
+    # Equal members stay apart: each row has a number of its own.
+    numbered = members.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_id"), F.array_distinct(prefixes).alias("_names"))
+    spread = numbered.select("_row", "_id", F.explode("_names").alias("_name"))
     hits = spread.join(wanted, "_name", "left_semi")
-    return hits.select("_row").distinct().select("_row.*")
+    return hits.groupBy("_id").agg(F.first("_row").alias("_row")).select("_row.*")
 
 
 def select_source_file(files: DataFrame, keys: list[str], conform: dict, protocol: str | None = None) -> DataFrame:

@@ -125,13 +125,14 @@ def tile_pyramid(points: DataFrame, keys: list[str] = [], zmin: int = 0, zmax: i
 
     Only the finest level reads the points. A coarser tile holds whole finer
     tiles, so the other levels are sums over finest tiles with shifted indices.
-    The lone tile at zoom 0 is combined before the shuffle like any other.
+    The lone tile at zoom 0 is combined before the shuffle like any other. Points
+    at the poles lie in the border tiles.
     """
     z = F.lit(float(zmax))
     side = 2**zmax - 1
     clamp = lambda c: F.least(F.greatest(c, F.lit(0)), F.lit(side)).cast("bigint")
-    x, y = geo.mercator_x(F.col("lon")), geo.mercator_y(F.col("lat"))
-    placed = points.filter(geo.mercator_y(F.col("lat")).isNotNull())
+    x, y = geo.mercator_x(F.col("lon")), geo.tile_y(F.col("lat"))
+    placed = points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull() & ~F.isnan("lon") & ~F.isnan("lat"))
     finest = placed.groupBy(
         *keys, clamp(geo.tile_column(x, z)).alias("_c"), clamp(geo.tile_row(y, z)).alias("_r")
     ).agg(F.count("*").alias("_n"))

@@ -101,11 +101,11 @@ def dot_map(addresses: DataFrame, key: Column, lon: str = "LON", lat: str = "LAT
     points = parseable_point(addresses.withColumn("_key", key), lon, lat)
     drawn = spatial.drop_rate_thinning(points, F.col("_key"), rate=2, base=base)
     z = F.col("zoom").cast("double")
-    x, y = geo.mercator_x(F.col("lon")), geo.mercator_y(F.col("lat"))
+    x, y = geo.mercator_x(F.col("lon")), geo.tile_y(F.col("lat"))
     side = F.pow(F.lit(2.0), z) - 1
     clamp = lambda c: F.least(F.greatest(c.cast("double"), F.lit(0.0)), side).cast("bigint")
     tiles = (
-        drawn.filter(y.isNotNull() & ~F.isnan("lon") & ~F.isnan("lat"))
+        drawn.filter(~F.isnan("lon") & ~F.isnan("lat"))
         .groupBy("zoom", clamp(geo.tile_column(x, z)).alias("col"), clamp(geo.tile_row(y, z)).alias("_row"))
         .agg(F.count("*").alias("points"))
     )

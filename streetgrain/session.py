@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -31,7 +33,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """Session for tests and benchmarks on one machine."""
+    """Session for tests and benchmarks, local to one host."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("streetgrain")
@@ -49,16 +51,20 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests on one machine) a temporary folder is made and recorded.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a
+    temporary folder is made and recorded if the session is local, as in tests;
+    on a cluster it is an error, since executors couldn't see such a folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="streetgrain-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return root
 
 

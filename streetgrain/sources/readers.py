@@ -179,7 +179,7 @@ def _to_points(values: Column) -> Column:
 
 
 def geojson_centroid(geometry: Column) -> Column:
-    """Centroid of the JSON text of a geometry, by its type; null for none."""
+    """Centroid of the JSON text of a simple geometry, by its type; null for none."""
     kind = F.get_json_object(geometry, "$.type")
     coordinates = F.get_json_object(geometry, "$.coordinates")
     one = F.from_json(coordinates, "array<double>")
@@ -206,6 +206,48 @@ def geojson_centroid(geometry: Column) -> Column:
     )
 
 
+def _length(paths: Column) -> Column:
+    edges = F.flatten(F.transform(paths, geo.edges_of))
+    return F.aggregate(
+        edges, F.lit(0.0).cast("double"), lambda t, e: t + F.hypot(e["q"]["x"] - e["p"]["x"], e["q"]["y"] - e["p"]["y"])
+    )
+
+
+def _measure(geometry: Column) -> Column:
+    """struct(dimension, size) of a simple geometry: area, length or number of points."""
+    kind = F.get_json_object(geometry, "$.type")
+    coordinates = F.get_json_object(geometry, "$.coordinates")
+    many = F.from_json(coordinates, "array<array<double>>")
+    paths = F.transform(F.from_json(coordinates, "array<array<array<double>>>"), _to_points)
+    shapes = F.transform(F.from_json(coordinates, "array<array<array<array<double>>>>"), lambda s: F.transform(s, _to_points))
+    areas = F.aggregate(F.transform(shapes, geo.polygon_area), F.lit(0.0).cast("double"), lambda t, a: t + a)
+    of = lambda n, size: F.struct(F.lit(n).alias("d"), size.cast("double").alias("size"))
+    return (
+        F.when(kind == "MultiPolygon", of(2, areas)).when(kind == "Polygon", of(2, geo.polygon_area(paths)))
+        .when(kind == "MultiLineString", of(1, _length(paths)))
+        .when(kind == "LineString", of(1, _length(F.array(_to_points(many)))))
+        .when(kind == "MultiPoint", of(0, F.size(many))).when(kind == "Point", of(0, F.lit(1)))
+    )
+
+
+def _collections(features: DataFrame) -> DataFrame:
+    """Features of geometry collections with their centroids in ``_c``.
+
+    The members of the highest dimension count, by area, length or number;
+    members that are collections themselves are left out.
+    """
+    members = F.explode(F.from_json(F.get_json_object("geometry", "$.geometries"), "array<string>")).alias("g")
+    rows = features.withColumn("_id", F.monotonically_increasing_id()).select("_id", "properties", "geometry", members)
+    rows = rows.select("_id", "properties", "geometry", _measure(F.col("g")).alias("m"), geojson_centroid(F.col("g")).alias("c"))
+    weighed = lambda axis: F.sum(F.col(f"c.{axis}") * F.col("m.size"))
+    sums = rows.where("c.x IS NOT NULL AND m.size > 0").groupBy("_id", F.col("m.d").alias("d")).agg(
+        F.first("properties").alias("properties"), F.first("geometry").alias("geometry"), F.sum("m.size").alias("w"),
+        weighed("x").alias("x"), weighed("y").alias("y"),
+    )
+    best = sums.groupBy("_id").agg(F.max_by(F.struct("properties", "geometry", "w", "x", "y"), "d").alias("b"))
+    return best.select("b.properties", "b.geometry", geo.point(F.col("b.x") / F.col("b.w"), F.col("b.y") / F.col("b.w")).alias("_c"))
+
+
 def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Features of GeoJSON files: text properties and the centroid.
 
@@ -220,9 +262,19 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     else:
         whole = spark.read.schema(f"features array<{feature}>").option("multiLine", "true").json(path)
         features = whole.select(F.explode("features").alias("f")).select("f.*")
-    first = features.limit(1).collect()
-    names = list((first[0].properties or {}).keys()) if first else []
-    placed = features.withColumn("_c", geojson_centroid(F.col("geometry")))
+    # The first feature of the first file by name, whichever task reads it.
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
+    if lines:
+        first = features.select("properties", place.alias("at"))
+    else:
+        first = whole.select(F.element_at("features", 1)["properties"].alias("properties"), place.alias("at")).where("properties IS NOT NULL")
+    first = first.agg(F.min_by("properties", "at").alias("properties")).first()
+    names = list((first.properties or {}).keys())
+    # Collections take a branch of their own, member by member.
+    kind = F.get_json_object("geometry", "$.type") == "GeometryCollection"
+    simple = features.where(~F.coalesce(kind, F.lit(False))).withColumn("_c", geojson_centroid(F.col("geometry")))
+    collected = _collections(features.where(kind))
+    placed = simple.unionByName(collected)
     return placed.filter(F.col("_c.x").isNotNull()).select(
         *[F.try_element_at("properties", F.lit(n)).alias(n) for n in names],
         F.col("_c.x").cast("string").alias(X_COLUMN),
@@ -388,7 +440,8 @@ def excerpt(df: DataFrame, order: list, rows: int = 5, geometry: str | None = No
     An empty source is an error when the excerpt is read.
     """
     head = df.orderBy(*order).limit(rows)
-    count = df.limit(1).agg(F.count("*")).scalar()
-    guard = F.when(count < 1, F.raise_error(F.lit("not enough rows in data source")).cast("string"))
     kind = geo.geometry_type(F.col(f"`{geometry}`")) if geometry else F.lit(None).cast("string")
-    return head.withColumn("geometry_type", F.coalesce(guard, kind))
+    # One row, and with it the error, if there are no rows at all.
+    none = df.limit(1).agg(F.count("*").alias("_n")).where("_n < 1")
+    guard = none.select(F.raise_error(F.lit("not enough rows in data source")).cast("string").alias("geometry_type"))
+    return head.withColumn("geometry_type", kind).unionByName(guard, allowMissingColumns=True)

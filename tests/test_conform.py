@@ -158,7 +158,7 @@ def test_prefix_postfix_first_get(spark):
 def test_patterns_agree_with_python(spark, texts):
     rows = [{"t": t} for t in texts]
     for name, pattern in (("prefixed_number", C.PREFIXED_NUMBER), ("postfixed_unit", C.POSTFIXED_UNIT)):
-        search = re.compile(pattern.replace("(?iU)", ""), re.I).search
+        search = re.compile(pattern.replace("(?idU)", ""), re.I).search
         wanted = [m.group(1) if (m := search(t)) else "" for t in texts]
         assert run(spark, {"function": name, "field": "t"}, rows) == wanted
 
@@ -328,3 +328,27 @@ def test_process_source(spark, tmp_path):
     assert done.summary().first()["address_count"] == 1
     skipped = process.process_source(spark, definition | {"skip": True}, "/nowhere", "f")
     assert skipped.problem == "Source says to skip" and skipped.addresses.count() == 0
+
+
+@pytest.mark.parametrize(
+    "pattern",
+    [
+        r"^(\d+) (.*)$", r"(?P<house_no>\d+) (?P=house_no)x", r"(.)(.)$", r"([[&&a-z]+)", r"([]x]+)", r"([^]\n]+)\Z", r"(?i)(MAIN.+)",
+        r"(\[a\])", r"([a-c&&b]+)",
+    ],
+)
+def test_patterns_mean_the_same_in_both_dialects(spark, pattern):
+    texts = [
+        "12 MAIN\rST", "12 MAIN\x85ST", "12 MAIN ST", "12 MAIN\nST", "12 MAIN\n", "7 7x", "[[&&a", "]x]", "a b\r", "main[a]", "ab&c", "",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+
+
+    found = {t: "".join(m.groups(default="")) if (m := re.search(pattern, t)) else "" for t in texts}
+    jvm = rows.select("t", *[F.regexp_extract("t", C.java_pattern(pattern), i + 1).alias(f"g{i}") for i in range(re.compile(pattern).groups)])
+    assert {r.t: "".join(r[1:]) for r in jvm.collect()} == found
+
+
+def test_patterns_without_counterpart_are_errors(spark):
+    with pytest.raises(C.ConformError):
+        C.java_pattern(r"(a)?(?(1)b|c)")

@@ -2,6 +2,8 @@ import zipfile
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from streetgrain.session import scratch_path
 from streetgrain.sources import readers, writers
 
@@ -167,3 +169,16 @@ def test_long_files_and_lines_apart(spark, tmp_path):
             readers.read_source_csv(spark, str(tmp_path / "long.csv"), by_line=True).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_collections_and_empty_sources(spark, tmp_path):
+    point, line = '{"type":"Point","coordinates":[9,9]}', '{"type":"LineString","coordinates":[[0,0],[4,0]]}'
+    square = '{"type":"Polygon","coordinates":[[[0,0],[2,0],[2,2],[0,2],[0,0]]]}'
+    multi = '{"type":"MultiPolygon","coordinates":[[[[10,0],[12,0],[12,2],[10,2],[10,0]]]]}'
+    kinds = [[point, line], [point, line, square, multi], [point], []]
+    geometry = [f'{{"type":"GeometryCollection","geometries":[{",".join(k)}]}}' for k in kinds]
+    (tmp_path / "c.json").write_text("".join(f'{{"properties":{{"i":{i}}},"geometry":{g}}}\n' for i, g in enumerate(geometry)))
+    got = {r.i: (float(r["OA:x"]), float(r["OA:y"])) for r in readers.read_geojson(spark, str(tmp_path / "c.json"), lines=True).collect()}
+    assert got == {"0": (2.0, 0.0), "1": (6.0, 1.0), "2": (9.0, 9.0)}
+    with pytest.raises(Exception, match="not enough rows"):
+        readers.excerpt(spark.range(0), ["id"]).collect()
