@@ -254,7 +254,7 @@ def sums(packed: DataFrame, answers: DataFrame, order: int, bits: int, names: tu
         shard = _shard(unique, bits)
         for s, raw in zip(right.column("shard").to_pylist(), right.column("values").to_pylist(), strict=True):
             values[:, shard == s] = np.frombuffer(zstandard.decompress(raw), np.float32).reshape(len(names), -1)
-        total = [np.bincount(place, np.repeat(v, count), len(batch.ids)) for v in values]
+        total = [np.bincount(place, np.repeat(v, count), len(batch.ids)).astype(np.float64) for v in values]
         return pa.table(
             {"id": batch.id_column, "n": pa.array(np.diff(batch.offsets), pa.int64())}
             | {name: pa.array(t) for name, t in zip(names, total, strict=True)}
