@@ -281,16 +281,14 @@ def _format(spec: dict, scope: Scope, target: str) -> Compiled:
 
 @_function("chain")
 def _chain(spec: dict, scope: Scope, target: str) -> Compiled:
-    variable = spec.get("variable")
-    taken = variable and (
-        variable in ATTRIBUTES or variable.lstrip("OA:") in ATTRIBUTES or variable in scope
-    )
-    inner = target
-    value = scope.get(target) if target in scope else None
-    if variable and not taken:
-        inner = variable
-        value = F.lit("")
-        scope.put(inner, value)
+    # Steps hand their value on under the attribute's own name, or under a name that
+    # the specification gives and that nothing else has; that one begins as empty text.
+    name = spec.get("variable") or target
+    fresh = name != target and name.removeprefix("OA:") not in ATTRIBUTES and name not in scope
+    inner = name if fresh else target
+    if fresh:
+        scope.put(inner, F.lit(""))
+    value = scope.get(inner) if inner in scope else None
     problems: list[tuple[Column, str]] = []
     for step in spec["functions"]:
         done = compile_function(step, scope, inner)

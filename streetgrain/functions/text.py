@@ -71,38 +71,33 @@ def nice_integer(column: Column) -> Column:
     return F.format_number(column, 0)
 
 
+_SIZES = ("B", "KB", "MB", "GB", "TB")  # each 1024 of the one before
+# A unit, its seconds, and the age beyond which it is used.
+_AGES = (("minutes", 60, 90), ("hours", 3600, 5400), ("days", 86400, 129600))
+_WEEKS_FROM, _DATES_FROM = 13, 91  # whole days
+
+
 def nice_size(column: Column) -> Column:
     """Byte count with a unit; one decimal below ten."""
-    kb, mb, gb, tb = 1024.0, 1024.0**2, 1024.0**3, 1024.0**4
-    scaled = (
-        F.when(column < kb, F.struct(column.cast("double").alias("n"), F.lit("B").alias("u")))
-        .when(column < mb, F.struct((column / kb).alias("n"), F.lit("KB").alias("u")))
-        .when(column < gb, F.struct((column / mb).alias("n"), F.lit("MB").alias("u")))
-        .when(column < tb, F.struct((column / gb).alias("n"), F.lit("GB").alias("u")))
-        .otherwise(F.struct((column / tb).alias("n"), F.lit("TB").alias("u")))
-    )
-    number, unit = scaled["n"], scaled["u"]
-    digits = F.when(number < 10, F.format_string("%.1f", F.bround(number, 1))).otherwise(
-        F.format_string("%.0f", F.bround(number, 0))
-    )
-    return F.concat(digits, unit)
+    step = F.lit(0)
+    for power in range(1, len(_SIZES)):
+        step = F.when(column >= 1024.0**power, power).otherwise(step)
+    number = column / F.pow(F.lit(1024.0), step)
+    places = lambda n: F.format_string(f"%.{n}f", F.bround(number, n))
+    unit = F.element_at(F.array(*[F.lit(u) for u in _SIZES]), step + 1)
+    return F.concat(F.when(number < 10, places(1)).otherwise(places(0)), unit)
 
 
 def nice_age(seconds: Column, now: Column) -> Column:
     """Age in words; a calendar date once it is more than ninety days."""
+    words = lambda length, unit: F.concat(F.format_string("%.0f", F.bround(seconds / float(length), 0)), F.lit(f" {unit} ago"))
+    age = words(1, "seconds")
+    for unit, length, beyond in _AGES:
+        age = F.when(seconds > beyond, words(length, unit)).otherwise(age)
     days = F.floor(seconds / 86400)
-    words = lambda value, unit: F.concat(
-        F.format_string("%.0f", F.bround(value, 0)), F.lit(f" {unit} ago")
-    )
-    moment = F.timestamp_micros((F.unix_micros(now) - seconds.cast("bigint") * 1000000))
-    return (
-        F.when(days > 90, F.date_format(moment, "MMM dd, yyyy"))
-        .when(days > 12, words(seconds / 604800, "weeks"))
-        .when(seconds > 1.5 * 86400, words(seconds / 86400, "days"))
-        .when(seconds > 1.5 * 3600, words(seconds / 3600, "hours"))
-        .when(seconds > 1.5 * 60, words(seconds / 60, "minutes"))
-        .otherwise(words(seconds.cast("double"), "seconds"))
-    )
+    moment = F.timestamp_micros(F.unix_micros(now) - seconds.cast("bigint") * 1000000)
+    age = F.when(days >= _WEEKS_FROM, words(7 * 86400, "weeks")).otherwise(age)
+    return F.when(days >= _DATES_FROM, F.date_format(moment, "MMM dd, yyyy")).otherwise(age)
 
 
 def boolean_text(column: Column) -> Column:

@@ -135,13 +135,15 @@ def feature_codes(features: DataFrame) -> DataFrame:
     """Coverage features with country and state codes and their area.
 
     ``features``: ``iso, iso_sub, geoid, source_paths, count, kind, lon, lat,
-    rings``. Points stand for a disc of ten kilometres; other kinds than points
-    and polygons are left out.
+    rings``. Points stand for a disc of ten kilometres, polygons and
+    multi-polygons for the area that an odd number of their rings encloses. Other
+    kinds count with their addresses and cover nothing.
     """
     country = guess_country(F.col("iso"), F.col("iso_sub"), F.col("geoid"), F.col("source_paths"))
     state = guess_state(F.col("geoid"), F.col("source_paths"))
-    area = F.when(F.col("kind") == "Point", geo.buffer_point(F.col("lon"), F.col("lat"), 10000.0)).otherwise(F.col("rings"))
-    coded = features.filter(F.col("kind").isin("Point", "Polygon")).select(
+    disc = geo.buffer_point(F.col("lon"), F.col("lat"), 10000.0)
+    area = F.when(F.col("kind") == "Point", disc).when(F.col("kind").isin("Polygon", "MultiPolygon"), F.col("rings")).otherwise(F.slice("rings", 1, 0))
+    coded = features.select(
         country.alias("iso_a2"), state.alias("_state"), "count", area.alias("rings")
     )
     return coded.withColumn("usps_code", F.when(F.col("iso_a2") == "US", F.col("_state"))).drop("_state")
