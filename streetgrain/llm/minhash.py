@@ -23,6 +23,7 @@ MARKS, SLACK = 210, 0.15
 FAMILY = 8192  # nodes up to which a family is tried as a whole, not bucket by bucket
 BLOCK_NODES, BLOCK_BYTES = 512, 8 << 20
 WIDE = 8192  # columns of a 0/1 matrix
+BROADCAST_IDS = 500_000  # 4 MB of ids
 PIECE = 2 << 20
 BLOCK = 1 << 15
 
@@ -294,6 +295,12 @@ def links(nodes: DataFrame, sets: DataFrame, buckets: DataFrame, percent: int) -
     return connected_components(edges.unionByName(written(more, "links")))
 
 
+def small_side(ids: DataFrame) -> DataFrame:
+    """Ids as a join side: broadcast if they are counted to be few, so that texts needn't be shuffled."""
+    ids = written(ids, "ids")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
@@ -320,7 +327,7 @@ def near_duplicates(
     shared = written(spread.join(sizes, "key"), "buckets")
     score = shared.groupBy("node").agg(F.sum("size").alias("score"))
     buckets = written(shared.join(score, "node").select("key", "node", "n", "score"), "buckets")
-    wanted = buckets.select(F.col("node").alias("id")).distinct()
+    wanted = small_side(buckets.select(F.col("node").alias("id")).distinct())
     sets = written(rows.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "node long, shingles binary"), "sets")
     nodes = bands.select(F.col("id").alias("node"), "marks")
     part = links(nodes, sets, buckets, percent)
