@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = written(minhash.near_duplicates(docs, "doc_id", "text"), "groups").where("id IS NOT NULL")
     follows = found.where("id <> component").select("id")
     twice = found.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    gone = follows.unionByName(twice).distinct()
+    gone = minhash.small_side(follows.unionByName(twice).distinct())
     rest = docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
     # Rows that share an id: one of them, where the id leads its group.
     leads = twice.join(follows, "id", "left_anti")
