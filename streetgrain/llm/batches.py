@@ -48,7 +48,7 @@ def pack(
 
     def run(parts):
         n = TaskContext.get().partitionId() << 32
-        codec = zstandard.ZstdCompressor(level=3)
+        codec = zstandard.ZstdCompressor(level=7)
         for whole in parts:
             for part in w.pieces(whole, "text", limit):
                 ids = part.column("id")

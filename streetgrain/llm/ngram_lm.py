@@ -70,9 +70,11 @@ def _from_steps(raw: bytes) -> np.ndarray:
     return np.cumsum(_unzip(raw, np.uint64), dtype=np.uint64)
 
 
-def _parts(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None):
-    """Per shard: number, sorted n-grams of the batch, and counts (all, in chosen documents)."""
+def _parts(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None, only: bool):
+    """Per shard: number, sorted n-grams of the batch, and counts (all, in chosen documents); ``only`` of chosen documents."""
     key, row = grams(batch, order)
+    if only:
+        key, row = key[chosen[row]], row[chosen[row]]
     unique, count = _counted(key)
     own = np.zeros(len(unique), np.int64)
     if chosen is not None and chosen.any():
@@ -84,8 +86,8 @@ def _parts(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None):
         yield int(s), unique[at], np.stack([count[at], own[at]])
 
 
-def message(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None) -> pa.Table:
-    parts = list(_parts(batch, order, bits, chosen))
+def message(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None, only: bool = False) -> pa.Table:
+    parts = list(_parts(batch, order, bits, chosen, only))
     return pa.table({
         "shard": pa.array([s for s, _, _ in parts], pa.int32()),
         "batch": pa.array([batch.batch] * len(parts), pa.int64()), "digest": pa.array([batch.digest] * len(parts), pa.int64()),
