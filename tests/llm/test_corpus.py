@@ -510,6 +510,23 @@ def test_quality_classifier(spark, none, tmp_path):
     assert all(r.kept == (r.n > 0) for r in no_one)
 
 
+def test_quality_limits_of_all_unfitted_documents(spark, tmp_path):
+    texts = [(i, prose(i, 20 + i % 60, 400 if i % 5 else 5000), "en" if i % 5 else "fr") for i in range(400)]
+    spark.createDataFrame(texts, "i long, t string, lang string").write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    sample = 48
+    out = quality_lm.classify(df, "i", "t", "lang", df.select("i"), "i", sample=sample).collect()
+    order = df.select("i", F.xxhash64("i").alias("h")).orderBy("h", "i").collect()
+    fitted = {r.i for r in order[:sample] if r.h % quality_lm.HELD_OUT}
+    for lang in ("en", "fr"):
+        some = [r for r in out if r.lang == lang]
+        rest = [r.perplexity for r in some if r.id not in fitted]
+        assert len(rest) >= quality_lm.LEAST_GROUP
+        margin = 1 + (quality_lm.MARGIN - 1) * (quality_lm.LEAST_GROUP / len(rest)) ** 0.5
+        want = margin * np.quantile(rest, quality_lm.QUANTILE)
+        assert [r.threshold for r in some] == pytest.approx([want] * len(some))
+
+
 # Licences
 
 def test_licenses(spark):
