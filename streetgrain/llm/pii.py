@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -96,6 +96,19 @@ _BARE = re.compile(
 )
 _BARE_DOT = re.compile(r" (?:dot|DOT) (?=[A-Za-z0-9-])")
 
+# The loose form: each bare at, dot and spelled digit by itself, in any mix with the other forms.
+_DOT = r"(?:\.| (?i:dot) | ?[\[({<] ?(?i:dot) ?[\])}>] ?)"
+_LOOSE_AT = re.compile(
+    r"(?<=[A-Za-z0-9._%+-]) (?i:at) "
+    rf"(?=[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}})*{_DOT}(?i:{_TOP})(?![A-Za-z0-9-]))"
+)
+_LOOSE_DOT = re.compile(r"(?<=[A-Za-z0-9]) (?i:dot) (?=[A-Za-z0-9])")
+_LOOSE_DIGITS = re.compile(rf"(?i:(?<![A-Za-z0-9])(?:plus )?(?:{_NAME})(?:[ -](?:{_NAME}|[0-9](?![A-Za-z0-9])))*(?![A-Za-z0-9]))")
+# A spelled digit counts only beside another digit, as no identifier has one alone.
+_GAP = rf"(?:[ ().-]+|{_DOT})"
+_BESIDE = re.compile(rf"(?i:(?<![A-Za-z0-9])(?:{_NAME}){_GAP}(?:{_NAME}|[0-9])|[0-9]{_GAP}(?:{_NAME})(?![A-Za-z0-9]))")
+_KNOWN = frozenset(_TOP.split("|"))
+
 
 def edits(text: str) -> list[tuple[int, int, str]]:
     """Stretches of a text and what they stand for, in order and apart; the text has plain characters already."""
@@ -116,12 +129,37 @@ def edits(text: str) -> list[tuple[int, int, str]]:
                 out.append((dot.start(), dot.end(), "."))
                 at = dot.end()
     for m in _SPELLED.finditer(text):
-        for p in _SPELLED_PART.finditer(text, m.start(), m.end()):
-            word = p[0].lower()
-            if word not in " -" and not word.isdigit():
-                out.append((p.start(), p.end(), "+" if word == "plus " else DIGITS[word]))
-            elif word in " -":
-                out.append((p.start(), p.end(), ""))
+        out += _digits(text, m)
+    return _apart(out)
+
+
+def loose_edits(text: str) -> list[tuple[int, int, str]]:
+    """The same with every bare at, dot and spelled digit replaced; none if that can't add an identifier."""
+    low = text.lower()
+    spoken = any(name in low for name in DIGITS) and _BESIDE.search(text)
+    if "dot" not in low and not spoken:
+        return []
+    dots = [(m.start(), m.end(), ".") for m in _LOOSE_DOT.finditer(text)]
+    brackets = [(m.start(), m.end(), "@" if m[1].lower() == "at" else ".") for m in _BRACKET.finditer(text)]
+    spelled = [x for m in _LOOSE_DIGITS.finditer(text) for x in _digits(text, m)] if spoken else []
+    if not dots and not spelled and not any(new == "." for _, _, new in brackets):
+        return []
+    ats = [(m.start(), m.end(), "@") for m in _LOOSE_AT.finditer(text)]
+    return _apart(dots + ats + spelled + brackets) if dots or ats or spelled else []
+
+
+def _digits(text: str, run: re.Match) -> list[tuple[int, int, str]]:
+    out = []
+    for p in _SPELLED_PART.finditer(text, run.start(), run.end()):
+        word = p[0].lower()
+        if word not in " -" and not word.isdigit():
+            out.append((p.start(), p.end(), "+" if word == "plus " else DIGITS[word]))
+        elif word in " -":
+            out.append((p.start(), p.end(), ""))
+    return out
+
+
+def _apart(out: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     out.sort()
     apart, done = [], 0
     for s, e, new in out:
@@ -131,12 +169,18 @@ def edits(text: str) -> list[tuple[int, int, str]]:
     return apart
 
 
+def _plain(text: str) -> str:
+    return text.translate(TWINS) if _TWIN.search(text) else text
+
+
 def normalise(text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
     """(plain text, start and end in ``text`` of each plain character, whether it was changed); None if nothing changes."""
-    plain = text.translate(TWINS) if _TWIN.search(text) else text
+    plain = _plain(text)
     changes = edits(plain)
-    if plain is text and not changes:
-        return None
+    return _form(text, plain, changes) if plain is not text or changes else None
+
+
+def _form(text: str, plain: str, changes: list[tuple[int, int, str]]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
     parts, starts, ends, changed, at = [], [], [], [], 0
     for s, e, new in [*changes, (len(text), len(text), "")]:
         parts += [plain[at:s], new]
@@ -151,22 +195,63 @@ def normalise(text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | Non
     return "".join(parts), np.concatenate(starts), np.concatenate(ends), np.concatenate(changed)
 
 
+def _mapped(form: tuple, valid=None) -> list[tuple[int, int, int]]:
+    """Kind and place in the text of what a form shows and its own characters don't."""
+    plain, starts, ends, changed = form
+    total = np.concatenate([[0], np.cumsum(changed)])
+    out = []
+    for k, f in enumerate(FIND):
+        for s, e in f(plain):
+            e = valid(s, e) if valid and k == 0 else e
+            if e and total[e] > total[s]:
+                out.append((k, int(starts[s]), int(ends[e - 1])))
+    return out
+
+
+def _loose(text: str) -> list[tuple[int, int, int]]:
+    plain = _plain(text)
+    changes = loose_edits(plain)
+    if not changes:
+        return []
+    form = _form(text, plain, changes)
+    spoken = {s for s, e, new in changes if new in ("@", ".") and plain[s:e].strip().lower() in ("at", "dot")}
+    masked = {s for s, _, new in changes if new == "."}
+
+    def valid(s: int, e: int) -> int:
+        """End of an address, or 0. Bare words need a known last label, and a bare at needs a disguised dot too."""
+        new, starts = form[0], form[1]
+        at = new.index("@", s)
+        if not any(int(starts[i]) in spoken for i in range(s, e) if new[i] in "@."):
+            return e
+        while True:
+            last = new.rfind(".", at, e)
+            if last < 0:
+                return 0
+            if new[last + 1 : e].lower() in _KNOWN:
+                break
+            e = last
+        hidden = any(int(starts[i]) in masked for i in range(at, e) if new[i] == ".")
+        return e if hidden or int(starts[at]) not in spoken else 0
+
+    return _mapped(form, valid)
+
+
 def identifiers(text: str) -> list[sp.Span]:
-    """Base spans of a text, and those that only its normal form shows."""
+    """Base spans of a text, and those that only its normal forms show; of two that overlap the longer one."""
     base = [f(text) for f in FIND]
     out = [(s, k, e, True) for k, x in enumerate(base) for s, e in x]
     normal = normalise(text)
-    if normal:
-        plain, starts, ends, changed = normal
-        total = np.concatenate([[0], np.cumsum(changed)])
-        for k, f in enumerate(FIND):
-            taken = base[k]
-            for s, e in f(plain):
-                if total[e] > total[s]:
-                    low, high = int(starts[s]), int(ends[e - 1])
-                    before = bisect_left(taken, (high, 0)) - 1  # the last base span that begins before the end
-                    if before < 0 or taken[before][1] <= low:
-                        out.append((low, k, high, False))
+    loose = _loose(text)
+    taken = [list(x) for x in base]
+    more = (_mapped(normal) if normal else []) + loose
+    if loose:
+        more.sort(key=lambda x: (x[1] - x[2], x[1]))
+    for k, low, high in more:
+        before = bisect_left(taken[k], (high, 0)) - 1  # the last span that begins before the end
+        if before < 0 or taken[k][before][1] <= low:
+            if loose:
+                insort(taken[k], (low, high))
+            out.append((low, k, high, False))
     return [(KINDS[k], s, e, b) for s, k, e, b in sorted(out)]
 
 
@@ -179,7 +264,9 @@ def find_personal_data(docs: DataFrame, text_col: str, column: str = "personal")
 
     Base spans are those of the text as it is. A second pass reads the text with
     look-alike characters, spelled digits and disguised "at" and "dot" replaced,
-    and maps what it finds back to the text's own code points; it adds spans that
-    no base span of that kind touches. Null text is empty. Nothing is shuffled.
+    and maps what it finds back to the text's own code points. A third one, where
+    a text has bare words or single spelled digits, replaces each by itself; its
+    addresses need a known last label. Both add spans that no base span of that
+    kind touches. Null text is empty. Nothing is shuffled.
     """
     return sp.add_spans(docs, text_col, column, _find)

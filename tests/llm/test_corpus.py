@@ -312,6 +312,32 @@ def test_disguised_identifiers(text, want):
     assert [(k, text[s:e]) for k, s, e, _ in pii.identifiers(text)] == want
 
 
+@pytest.mark.parametrize(
+    "kind, text",
+    [
+        ("email", "bob [at] example dot com"), ("email", "bob@example dot com"), ("email", "bob at example [dot] com"),
+        ("email", "bob at example Dot com"), ("email", "bob dot smith (at) mail.example DOT org"), ("ip", "192 dot 168 dot 0 dot 1"),
+        ("ip", "one nine two dot one six eight dot zero dot one"), ("ip", "192.168 [dot] zero Dot 1"), ("ip", "one nine two.168.0.1"),
+        ("card", "four one one one-1111-1111-1111"), ("phone", "plus four four (two zero) seven nine four six zero nine five eight"),
+    ],
+)
+def test_mixed_disguises(kind, text):
+    for around in ("{}", "so {}, then", "x: {}\nend"):
+        whole = around.format(text)
+        assert [(k, whole[s:e]) for k, s, e, _ in pii.identifiers(whole)] == [(kind, text)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "look at the dot there", "meet me at example.com", "one or two dots at most", "300 dot 168 dot 0 dot 1", "bob@example dot nowhere",
+        "four one one one-1111-1111-1112", "see the Dot at one two", "pages one to 4 and 7",
+    ],
+)
+def test_speech_is_no_disguise(text):
+    assert pii.identifiers(text) == []
+
+
 def test_normal_form_maps_back():
     text = "x １ y [at] z"
     plain_text, starts, ends, changed = pii.normalise(text)
