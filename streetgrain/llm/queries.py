@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from . import spans as sp
-from . import decontaminate, licenses, lm_score, minhash, mixing, pii, quality_lm, quality_rules, secrets, substring_dedup
+from . import bpe, codebooks, decontaminate, licenses, lm_score, minhash, mixing, pii, quality_lm, quality_rules, secrets, substring_dedup, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -249,3 +249,61 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "path", F.col("notice.license").alias("own_license"), F.round("notice.score", 6).alias("score"),
         F.col("notice.line").alias("line"), "in_header", "license", F.col("from").alias("inherited_from"),
     )
+
+
+def vocabulary() -> str:
+    """Where the public vocabulary of op11 lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary()
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = bpe.encode(docs, "text", path, packed=True).select("doc_id", "ids")
+    return bpe.decode(tokens, "ids", path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def _codebook_sql() -> str:
+    """Rounds of nearest entries and floored means, one pair of CTEs each."""
+    part = "list_slice(x, 1 + p * len(x) // 4, (p + 1) * len(x) // 4)"
+    sql = f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS DOUBLE)) AS x FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+w AS (SELECT vec_id, label, p, {part} AS y FROM v, (SELECT unnest(range(0, 4)) AS p)),
+b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS j, y AS c FROM w
+       QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 256),"""
+    for k in range(5):
+        sql += f"""
+a{k} AS MATERIALIZED (SELECT vec_id, label, w.p, any_value(y) AS y,
+       min(CAST(list_dot_product(y, y) - 2 * list_dot_product(y, c) + list_dot_product(c, c) AS BIGINT) * 256 + j) AS best
+       FROM w JOIN b{k} b ON w.p = b.p GROUP BY vec_id, label, w.p),"""
+        if k < 4:
+            sql += f"""
+m{k} AS (SELECT p, j, list(f ORDER BY i) AS c FROM (SELECT p, best % 256 AS j, i, floor(sum(y[i]) / count(*)) AS f
+        FROM (SELECT p, best, y, unnest(range(1, len(y) + 1)) AS i FROM a{k}) GROUP BY ALL) GROUP BY p, j),
+b{k + 1} AS MATERIALIZED (SELECT b.p, b.j, coalesce(m.c, b.c) AS c FROM b{k} b LEFT JOIN m{k} m ON b.p = m.p AND b.j = m.j),"""
+    return sql + """
+r AS (SELECT vec_id, label, string_agg(printf('%02x', best % 256), '' ORDER BY p) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+      FROM a4 GROUP BY vec_id, label),
+h AS (SELECT sha256(string_agg(CAST(CAST(f AS BIGINT) AS VARCHAR), ',' ORDER BY p, j, i)) AS s
+      FROM (SELECT p, j, unnest(range(1, len(c) + 1)) AS i, unnest(c) AS f FROM b4))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, s AS codebooks_sha256 FROM r, h
+"""
+
+
+@query(_codebook_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = codebooks.compress(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codebooks.digest(books)).alias("codebooks_sha256"))
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return out.select(F.col("id").alias("vec_id"), "component", "n", "deviation", "whitened", "explained", "identity_error")
