@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
@@ -48,43 +49,86 @@ def count_active_workers(seen: DataFrame) -> DataFrame:
 LIMIT_US = (JOB_TIMEOUT_HOURS * 60 + DUE_DELAY_MINUTES) * 60 * 1_000_000
 
 
-def _decide(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One run: its first report in time, once no earlier one can come, or nothing in time.
+# State of slices of keys, as Arrow frames in one value: each call works on a slice's rows at once.
+SLICES = 128
 
-    State: when the run was queued, the time and result of its first timely
-    report (before the run is known, all reports), and whether it is decided.
+
+def _sliced(rows: DataFrame, key: str):
+    return rows.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(SLICES))).groupBy("_slice")
+
+
+def _packed(frame: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(frame, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(state: GroupState, *empty: pd.DataFrame) -> list[pd.DataFrame]:
+    if not state.exists:
+        return list(empty)
+    return [pa.ipc.open_stream(raw).read_all().to_pandas() for raw in state.get]
+
+
+def _typed(**columns: str) -> pd.DataFrame:
+    return pd.DataFrame({n: pd.Series(dtype=t) for n, t in columns.items()})
+
+
+def _stored(state: GroupState, wake_ms: float, *frames: pd.DataFrame) -> None:
+    """Keep the frames until ``wake_ms``; nothing if they are empty."""
+    if all(f.empty for f in frames):
+        if state.exists:
+            state.remove()
+        return
+    state.update(tuple(_packed(f) for f in frames))
+    if wake_ms < float("inf"):
+        state.setTimeoutTimestamp(max(int(wake_ms), state.getCurrentWatermarkMs() + 1))
+
+
+NEVER = 1 << 62
+RUNS = _typed(run_id="int64", queued="int64", at_us="int64", ok="bool", decided="bool")
+REPORTS = RUNS[["run_id", "at_us", "ok"]]
+
+
+def _decide(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The runs of a slice: of each its first report in time, once no earlier one can come, or nothing in time.
+
+    State: the known runs with the time and result of their first timely report,
+    and whether they are decided; the reports of runs that aren't known yet.
     """
-    queued, times, results, decided = state.get if state.exists else (None, [], [], False)
-    reports = list(zip(times, results, strict=True))
-    for frame in frames:
-        for row in frame.itertuples():
-            if row.queued:
-                queued = row.at_us if queued is None else min(queued, row.at_us)
-            else:
-                reports.append((row.at_us, bool(row.ok)))
-    if queued is not None:
-        reports = sorted(r for r in reports if queued <= r[0] <= queued + LIMIT_US)[:1]
     passed = state.getCurrentWatermarkMs()
-    wait = lambda us: max(-(-us // 1000), passed + 1)
-    due = queued is not None and (queued + LIMIT_US) // 1000 < passed
-    sure = queued is not None and reports and -(-reports[0][0] // 1000) < passed
-    if not decided and (sure or due):
-        at, ok = reports[0] if reports else (None, False)
+    runs, early = _unpacked(state, RUNS, REPORTS)
+    new = pd.concat([RUNS[["run_id", "at_us", "queued", "ok"]], *frames])
+    is_task = new["queued"].astype(bool)
+    tasks = new.loc[is_task, ["run_id", "at_us"]].rename(columns={"at_us": "queued"})
+    queued = pd.concat([runs[["run_id", "queued"]], tasks]).groupby("run_id")["queued"].min()
+    reports = pd.concat([runs.loc[runs["at_us"] < NEVER, REPORTS.columns], early, new.loc[~is_task, REPORTS.columns]], ignore_index=True).astype(REPORTS.dtypes)
+    start = pd.Series(queued.reindex(reports["run_id"], fill_value=NEVER).to_numpy("int64"), reports.index)
+    early = reports[(start == NEVER) & ((reports["at_us"] + LIMIT_US) // 1000 >= passed)]
+    timely = reports[(start <= reports["at_us"]) & (reports["at_us"] - start <= LIMIT_US)]
+    first = timely.sort_values(["at_us", "ok"]).drop_duplicates("run_id").set_index("run_id").reindex(queued.index)
+    done_before = runs.loc[runs["decided"], "run_id"]
+    runs = pd.DataFrame({
+        "run_id": queued.index, "queued": queued.to_numpy("int64"), "at_us": first["at_us"].fillna(NEVER).to_numpy("int64"),
+        "ok": first["ok"].eq(True).to_numpy(), "decided": queued.index.isin(done_before),
+    })
+    sure = -(-runs["at_us"] // 1000) < passed
+    due = (runs["queued"] + LIMIT_US) // 1000 < passed
+    out = runs[~runs["decided"] & (sure | due)]
+    if len(out):
+        reported = out["at_us"] < NEVER
         yield pd.DataFrame({
-            "run_id": [key[0]], "enqueued_us": [queued], "done_us": pd.array([at], "Int64"), "status": [ok],
-            "decided_by": ["done" if reports else "due"],
+            "run_id": out["run_id"], "enqueued_us": out["queued"], "done_us": out["at_us"].astype("Int64").where(reported),
+            "status": out["ok"], "decided_by": reported.map({True: "done", False: "due"}),
         })
-        decided = True
-    if due or queued is None and state.hasTimedOut:
-        state.remove()  # no report can count any more
-        return
-    state.update((queued, [t for t, _ in reports], [o for _, o in reports], decided))
-    if queued is None:
-        state.setTimeoutTimestamp(wait(max(t for t, _ in reports) + LIMIT_US))
-    elif reports and not decided:
-        state.setTimeoutTimestamp(wait(reports[0][0]))
-    else:
-        state.setTimeoutTimestamp(wait(queued + LIMIT_US + 1000))
+    runs["decided"] |= sure
+    runs = runs[~due]
+    open_ = -(-runs.loc[~runs["decided"], "at_us"] // 1000)
+    wake = min(open_.min(), (runs["queued"].min() + LIMIT_US) // 1000 + 1) if len(runs) else float("inf")
+    if len(early):
+        wake = min(wake, (early["at_us"].min() + LIMIT_US) // 1000 + 1)
+    _stored(state, wake, runs, early)
 
 
 def done_or_due(tasks: DataFrame, done: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -94,7 +138,8 @@ def done_or_due(tasks: DataFrame, done: DataFrame, delay: str = "1 hour") -> Dat
     counts within the job timeout plus a grace period; of several the first
     decides, a failure before a success of the same time. As a stream, an outcome
     appears when the watermark shows that no earlier report can come, or that the
-    deadline is over; a run's state is one report and goes with its deadline.
+    deadline is over; a run's state is one report and goes with its deadline. Runs
+    are kept in slices, whose rows are worked on together.
     """
     if not (tasks.isStreaming or done.isStreaming):
         limit = F.expr(f"INTERVAL {LIMIT_US} MICROSECONDS")
@@ -116,9 +161,9 @@ def done_or_due(tasks: DataFrame, done: DataFrame, delay: str = "1 hour") -> Dat
     right = done.withWatermark("done_at", delay).select(
         "run_id", F.col("done_at").alias("at"), us("done_at"), F.lit(False).alias("queued"), F.coalesce("ok", F.lit(False)).alias("ok")
     )
-    decided = left.unionByName(right).groupBy("run_id").applyInPandasWithState(
+    decided = _sliced(left.unionByName(right), "run_id").applyInPandasWithState(
         _decide, "run_id long, enqueued_us long, done_us long, status boolean, decided_by string",
-        "queued long, times array<long>, results array<boolean>, decided boolean", "append", "EventTimeTimeout",
+        "runs binary, early binary", "append", "EventTimeTimeout",
     )
     return decided.select(
         "run_id", F.timestamp_micros("enqueued_us").alias("enqueued"), F.timestamp_micros("done_us").alias("done_at"),
@@ -153,34 +198,34 @@ COUNTERS = ("user_cpu", "total_cpu", "read_bytes")
 
 
 def _grow(width_us: int):
-    """Growth of one process per window, once the watermark has passed the window's end.
+    """Growth of the processes of a slice per window, once the watermark has passed the window's end.
 
-    State: the last sample that is settled and those that aren't.
+    State: the last settled sample of each process (``seen``) and the samples that aren't settled.
     """
+    order = ["process", "at_us", *COUNTERS]
 
-    def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, waiting = state.get if state.exists else (None, [])
-        last, rows = list(last) if last else None, [list(x) for x in waiting]
-        for frame in frames:
-            rows += frame[["at_us", *COUNTERS]].astype("int64").values.tolist()
-        rows.sort()
+    def run(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([*_unpacked(state), *(f[order].assign(seen=False) for f in frames)])
+        rows = rows.sort_values(order, kind="stable").reset_index(drop=True)
         passed = state.getCurrentWatermarkMs() * 1000 // width_us * width_us
-        settled = [r for r in rows if r[0] < passed]
-        rows = rows[len(settled) :]
-        out: dict[int, list[int]] = {}
-        for r in settled:
-            window = out.setdefault(r[0] // width_us * width_us, [0, *[0] * len(COUNTERS)])
-            window[0] += 1
-            for i in range(1, len(COUNTERS) + 1) if last else ():
-                window[i] += r[i] - last[i]
-            last = r
-        if out:
-            columns = list(zip(*([start, *v] for start, v in out.items()), strict=True))
-            yield pd.DataFrame({"process": [key[0]] * len(out)} | dict(zip(("start_us", "samples", *COUNTERS), columns, strict=True)))
-        state.update((tuple(last) if last else None, [tuple(r) for r in rows]))
-        if rows:
-            end = (rows[0][0] // width_us + 1) * width_us // 1000
-            state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
+        settled = rows[rows["at_us"] < passed].copy()
+        rows = rows[rows["at_us"] >= passed]
+        if len(settled):
+            by = settled["process"]
+            first = ~by.duplicated()
+            for c in COUNTERS:
+                settled[c + "_up"] = settled[c].diff().mask(first, 0).astype("int64")
+            out = settled[~settled["seen"]]
+            start = (out["at_us"] // width_us * width_us).rename("start_us")
+            if len(out):
+                sums = {"samples": ("at_us", "count")} | {c: (c + "_up", "sum") for c in COUNTERS}
+                yield out.groupby(["process", start], sort=False).agg(**sums).reset_index()
+            last = settled[~by.duplicated(keep="last")][order].assign(seen=True)
+            waiting, rows = rows, pd.concat([last, rows])
+        else:
+            waiting = rows
+        end = (waiting["at_us"].min() // width_us + 1) * width_us // 1000 if len(waiting) else float("inf")
+        _stored(state, end, rows)
 
     return run
 
@@ -196,10 +241,9 @@ def usage_windows(samples: DataFrame, delay: str = "1 minute", seconds: int = 30
     width = seconds * 1_000_000
     if samples.isStreaming:
         rows = samples.withWatermark("ts", delay).select("ts", "process", F.unix_micros("ts").alias("at_us"), *[F.col(c).cast("long").alias(c) for c in COUNTERS])
-        sample = "struct<at_us:bigint," + ",".join(f"{c}:bigint" for c in COUNTERS) + ">"
-        counted = rows.groupBy("process").applyInPandasWithState(
+        counted = _sliced(rows, "process").applyInPandasWithState(
             _grow(width), f"process {samples.schema['process'].dataType.simpleString()}, start_us long, samples long, " + ", ".join(f"{c} long" for c in COUNTERS),
-            f"last {sample}, waiting array<{sample}>", "append", "EventTimeTimeout",
+            "rows binary", "append", "EventTimeTimeout",
         )
     else:
         before = Window.partitionBy("process").orderBy("at_us", *COUNTERS)

@@ -1,5 +1,6 @@
 """Streams over several small files, against the same operator on a table."""
 
+import random
 from datetime import datetime, timedelta
 
 from streetgrain.session import scratch_path
@@ -84,3 +85,43 @@ def test_growth_across_windows(spark):
     assert got == [(at(0), 1, None, 0.0)] + [(at(0.5 * i), 1, 10.0, 2.0) for i in range(1, 8)]
     twin = ev.usage_windows(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r.start, r.samples, r.user_percent, r.read_kb) for r in twin) == got
+
+
+def test_outcomes_of_many_runs_over_four_files(spark):
+    """Runs in several slices, tasks and reports in any file; as a table all but the open ones."""
+    rng = random.Random(5)
+    tasks = [(i, at(rng.randrange(3000))) for i in range(400)]
+    done = []
+    for i, start in tasks:
+        for _ in range(rng.randrange(4)):
+            done.append((i, start + timedelta(minutes=rng.randrange(-60, 900)), rng.random() < 0.5))
+    tasks.append((1000, at(9000)))
+    done.append((1001, at(9000), True))
+    tasks.sort(key=lambda r: r[1])
+    done.sort(key=lambda r: r[1])
+    cut = lambda rows: [rows[: len(rows) // 4], rows[len(rows) // 4 : len(rows) // 2], rows[len(rows) // 2 : -1], rows[-1:]]
+    t = files(spark, cut(tasks), "run_id long, enqueued timestamp", "tasks")
+    d = files(spark, cut(done), "run_id long, done_at timestamp, ok boolean", "done")
+    rows = ev.run_to_table(spark, ev.done_or_due(t, d, delay="60 hours"), "decided").collect()
+    twin = ev.done_or_due(spark.createDataFrame(tasks, "run_id long, enqueued timestamp"), spark.createDataFrame(done, "run_id long, done_at timestamp, ok boolean"))
+    want = sorted((r.run_id, r.status, r.decided_by, r.done_at) for r in twin.collect() if r.run_id < 1000)
+    key = lambda r: (r[0], r[1], r[2], str(r[3]))
+    assert sorted(((r.run_id, r.status, r.decided_by, r.done_at) for r in rows), key=key) == sorted(want, key=key)
+
+
+def test_growth_of_many_processes(spark):
+    schema = "ts timestamp, process long, user_cpu long, total_cpu long, read_bytes long"
+    rng = random.Random(6)
+    rows = []
+    for p in range(150):
+        t = c = 0
+        for _ in range(12):
+            t, c = t + rng.randrange(1, 60), c + rng.randrange(50)
+            rows.append((START + timedelta(seconds=t), p, c, 3 * c, 1024 * c))
+    rows.sort()
+    last = [(at(600), 9999, 0, 0, 0)]
+    parts = [rows[:500], rows[500:700] + rows[900:1100], rows[700:900] + rows[1100:], last]
+    out = ev.run_to_table(spark, ev.usage_windows(files(spark, parts, schema, "many"), delay="30 minutes"), "many-out").collect()
+    twin = ev.usage_windows(spark.createDataFrame(rows, schema)).collect()
+    key = lambda r: (r.start, r.process)
+    assert sorted(out, key=key) == sorted(twin, key=key)
