@@ -19,13 +19,13 @@ from pyspark.sql import types as T
 
 from streetgrain.functions import geo
 from streetgrain.schema import GEOM_COLUMN, X_COLUMN, Y_COLUMN
+from streetgrain.sources import csv_splits
 
 # Charsets whose characters may contain the bytes of a line end; they are decoded as one stream.
 _WIDE = ("utf-16", "utf-32", "utf-7")
 _HEAD_LINES = 1000  # lines that the first records of a file may take
 _BATCH = 5000  # records sent on together
 _DEAL = 32 << 20  # bytes of a partition that records are dealt out to
-csv.field_size_limit(2**31 - 1)
 
 
 def _texts(lines: Iterator[bytes], charset: str) -> Iterator[str]:
@@ -94,10 +94,11 @@ def read_source_csv(
     empty field is the empty text.
 
     Records are parsed whole: quoted fields may hold delimiters, quotes and line
-    ends, and quotes inside an unquoted field are plain characters. Files are
-    parsed in parallel, each by one task as a stream. Where the caller promises
-    with ``by_line`` that no field holds a line end, a file is cut over tasks;
-    a record with an odd number of quotes is then an error.
+    ends, and quotes inside an unquoted field are plain characters. Large files are
+    read in pieces; a first pass finds which of them start within a record. Where
+    the caller promises with ``by_line`` that no field holds a line end, there is
+    no first pass, and a record with an odd number of quotes is an error. In a
+    charset whose characters may hold the bytes of a line end, a file is one task.
     """
     if headers is None and skiplines is not None:
         raise ValueError("skiplines needs headers")
@@ -127,12 +128,18 @@ def read_source_csv(
             rows = [r + [None] * (width - len(r)) for r in block if len(r) <= width]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows) if rows else [[]] * width)], slots)
 
+    first_file = sizes.first
+
+    def same_header(file: str, found: list[str]) -> None:
+        if found != names:
+            raise ValueError(f"{file} has another header than {first_file}")
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for file, lines in _files_of(batches):
             found = _records(lines, charset, delimiter)
             above = list(itertools.islice(found, skipped))
-            if above and above[-1] != names:
-                raise ValueError(f"{file} has another header than {sizes.first}")
+            if above:
+                same_header(file, above[-1])
             yield from columns(found)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,16 +164,18 @@ def read_source_csv(
             raw = numbered.join(first, ["file", "n"], "left_anti")
         rows = raw.select("line").mapInArrow(cut, schema)
     else:
-        # Spark may read a file beyond the smaller of these in pieces: its lines then go to
-        # one task, in order, and the records are dealt out again for what follows.
+        # Spark may read a file beyond the smaller of these in pieces.
         settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
         pieces = sizes.longest > min(_bytes(spark.conf.get(k)) for k in settings)
-        if pieces:
-            raw = raw.withColumn("n", F.monotonically_increasing_id())
-            raw = raw.repartition("file").sortWithinPartitions("file", "block", "n").drop("n")
-        rows = raw.select("file", "line").mapInArrow(whole, schema)
-        if pieces:
-            rows = rows.repartition(max(spark.sparkContext.defaultParallelism, -(-sizes.total // _DEAL)))
+        if charset.startswith(_WIDE):
+            if pieces:  # its lines go to one task, in order, and the records are dealt out again for what follows
+                raw = raw.withColumn("n", F.monotonically_increasing_id())
+                raw = raw.repartition("file").sortWithinPartitions("file", "block", "n").drop("n")
+            rows = raw.select("file", "line").mapInArrow(whole, schema)
+            if pieces:
+                rows = rows.repartition(max(spark.sparkContext.defaultParallelism, -(-sizes.total // _DEAL)))
+        else:
+            rows = csv_splits.read_pieces(raw, pieces, charset, delimiter, skipped, same_header, columns, schema)
     return rows.select(*[F.col(s).alias(n) for s, n in zip(slots, names)])
 
 

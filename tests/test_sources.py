@@ -1,3 +1,6 @@
+import csv
+import io
+import random
 import zipfile
 
 import pytest
@@ -5,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetgrain.session import scratch_path
-from streetgrain.sources import readers, writers
+from streetgrain.sources import csv_splits, readers, writers
 
 
 def read(spark, tmp_path, data: bytes, **options):
@@ -182,3 +185,67 @@ def test_collections_and_empty_sources(spark, tmp_path):
     assert got == {"0": (2.0, 0.0), "1": (6.0, 1.0), "2": (9.0, 9.0)}
     with pytest.raises(Exception, match="not enough rows"):
         readers.excerpt(spark.range(0), ["id"]).collect()
+
+
+def odd_csv(seed: int, records: int) -> str:
+    """Records with quotes, delimiters and line ends where they may be and where they hardly should."""
+    pick = random.Random(seed)
+    bits = ['"', '""', ",", "\n", "\r\n", "\r", "a", "b c", " ", "é"] if seed % 2 else ["x", "yy", ",", "z\n", '""', "1"]
+    out = []
+    for i in range(records):
+        fields = []
+        for _ in range(3):
+            text = "".join(pick.choice(bits) for _ in range(pick.randrange(6)))
+            kind = pick.random()
+            if kind < 0.5:
+                fields.append('"' + text.replace('"', '""') + '"')
+            elif kind < 0.55:
+                fields.append('"' + "long\n" * pick.randrange(400) + '"')
+            else:
+                fields.append("".join(c for c in text if c not in ",\n\r").lstrip('"'))
+        out.append(",".join([str(i), *fields]) + pick.choice(["\n", "\n", "\r\n"]))
+    return "".join(out)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_csv_in_pieces(spark, tmp_path, seed):
+    text = "i,a,b,c\n" + odd_csv(seed, 400) + ('7,"never closed\n"",x' if seed == 3 else "")
+    (tmp_path / "odd.csv").write_bytes(text.encode())
+    (tmp_path / "two.csv").write_bytes(("i,a,b,c\n" + odd_csv(seed + 50, 100)).encode())
+    want = []
+    for name in ("odd.csv", "two.csv"):
+        lines = (tmp_path / name).read_bytes().decode().replace("\r\n", "\n").replace("\r", "\n")
+        lines += "" if lines.endswith("\n") else "\n"
+        want += [(*r, *[None] * (4 - len(r))) for r in csv.reader(io.StringIO(lines)) if r and len(r) <= 4 and r != ["i", "a", "b", "c"]]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "3000b", "700b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = readers.read_source_csv(spark, str(tmp_path)).collect()
+            assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_pieces_of_a_file_run_in_many_tasks(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("a,b\n" + "".join(f'{i},"v\n{i}"\n' for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096b")
+    try:
+        rows = readers.read_source_csv(spark, str(tmp_path / "long.csv"))
+        tasks = rows.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(tasks) > 5 and max(r["count"] for r in tasks) < 600
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_state_at_line_ends(seed):
+    text = odd_csv(seed, 60).replace("\r\n", "\n").replace("\r", "\n")
+    ends, reader = set(), csv.reader(io.StringIO(text))
+    for _ in reader:
+        ends.add(reader.line_num)
+    state = False
+    for n, line in enumerate(io.StringIO(text), 1):
+        state = csv_splits.stays_open(line, state, ",")
+        assert state == (n not in ends)
