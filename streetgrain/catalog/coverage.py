@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from streetgrain.catalog.base import query
-from streetgrain.catalog.spatial import GOOD, SHAPES_SQL, points, shapes
+from streetgrain.catalog.spatial import BLOTS_SQL, GOOD, SHAPES_SQL, blots, points, shapes, union_sql
 from streetgrain.catalog.views import table
+from streetgrain.functions import geo
 from streetgrain.operators import coverage as cov
+from streetgrain.operators import overlay
 
 # Boxes are the one-degree cells that hold points; their codes and figures
 # follow from place and count.
@@ -96,6 +98,34 @@ def _(spark, sf_dir):
     return cov.area_address_counts(rows, "code")
 
 
+BLOT_BOXES = (
+    "SELECT DISTINCT code, lx, lx + 1 AS rx, ly, ly + 1 AS ry FROM (SELECT *, CAST(unnest(range(CAST(floor(y0) AS BIGINT), CAST(ceil(y0 + h) AS BIGINT))) AS DOUBLE) AS ly FROM "
+    "(SELECT *, CAST(unnest(range(CAST(floor(x0) AS BIGINT), CAST(ceil(x0 + w * 1.5) AS BIGINT))) AS DOUBLE) AS lx FROM blots))"
+)
+
+
+@query(
+    "A09_union_area",
+    f"WITH {BLOTS_SQL}, {union_sql(BLOT_BOXES)} SELECT code, round(sum(area), 5) AS area FROM inked_area GROUP BY 1",
+)
+def _(spark, sf_dir):
+    return overlay.union_area(blots(spark, sf_dir), "code").withColumn("area", F.round("area", 5))
+
+
+@query(
+    "A10_shared_area",
+    f"WITH {BLOTS_SQL}, {union_sql('SELECT DISTINCT code, floor(x0) AS lx, floor(x0) + 0.75 AS rx, floor(y0) AS ly, floor(y0) + 1 AS ry FROM blots WHERE id % 2 = 0')} "
+    "SELECT code, lx AS lon, ly AS lat, CAST(0.75 AS DOUBLE) AS land_area, round(coalesce(area, 0), 11) AS covered_area FROM places LEFT JOIN inked_area USING (code, lx, rx, ly, ry)",
+)
+def _(spark, sf_dir):
+    """The land is three quarters of each box in which some source area begins."""
+    cover = blots(spark, sf_dir)
+    west, south = F.floor("x0").cast("double"), F.floor("y0").cast("double")
+    land = cover.where("id % 2 = 0").select("code", F.array(geo.box_ring(west, south, west + 0.75, south + 1)).alias("rings"))
+    out = overlay.shared_area(land, cover, "code")
+    return out.withColumns({c: F.round(c, 11) for c in ("land_area", "covered_area")})
+
+
 CELL_SQL = (
     f"WITH {SHAPES_SQL.replace('shapes AS', 'raw_shapes AS')}, shapes AS (SELECT id, x0 + 0.013 AS x0, y0 + 0.017 AS y0, w, h FROM raw_shapes), g AS (SELECT id, x0, y0, w, h, unnest(range(CAST(floor(x0 * 10) AS BIGINT), CAST(floor((x0 + w) * 10) AS BIGINT) + 1)) AS cell_x FROM shapes), "
     "c AS (SELECT *, unnest(range(CAST(floor(y0 * 10) AS BIGINT), CAST(floor((y0 + h) * 10) AS BIGINT) + 1)) AS cell_y FROM g), "

@@ -7,7 +7,7 @@ from streetgrain.catalog.views import ledger_sql, runs, sets, table
 from streetgrain.functions import rules
 from streetgrain.functions.rules import state_value
 from streetgrain.functions.text import short_name
-from streetgrain.operators import changes, filters, statistics
+from streetgrain.operators import changes, filters, places, statistics
 from streetgrain.operators import runs as ledger
 from streetgrain.schema import RUN_STATE_KEYS
 
@@ -236,15 +236,15 @@ def zips(spark, sf_dir):
 
 @query(
     "J13_merge_published",
-    f"WITH z AS ({ZIPS} FROM orders), old AS (SELECT url, max(content_length) AS content_length FROM z WHERE priority = '1-URGENT' GROUP BY 1), "
-    "new AS (SELECT url, max(content_length) AS content_length FROM z WHERE priority = '2-HIGH' AND license_attr = 'sa' GROUP BY 1) "
+    f"WITH z AS ({ZIPS} FROM orders), old AS (SELECT url, max(content_length) AS content_length FROM z WHERE priority <= '3' GROUP BY 1), "
+    "new AS (SELECT url, max(content_length) AS content_length FROM z WHERE priority > '3' GROUP BY 1) "
     "SELECT *, FALSE AS is_current FROM old WHERE url NOT IN (SELECT url FROM new) UNION ALL SELECT *, TRUE FROM new",
 )
 def _(spark, sf_dir):
     z = zips(spark, sf_dir)
     size = F.max("content_length").alias("content_length")
-    old = z.filter("priority = '1-URGENT'").groupBy("url").agg(size).withColumn("is_current", F.lit(True))
-    new = z.filter("priority = '2-HIGH' AND license_attr = 'sa'").groupBy("url").agg(size).withColumn("is_current", F.lit(False))
+    old = z.filter("priority <= '3'").groupBy("url").agg(size).withColumn("is_current", F.lit(True))
+    new = z.filter("priority > '3'").groupBy("url").agg(size).withColumn("is_current", F.lit(False))
     return ledger.merge_published(old, new)
 
 
@@ -464,6 +464,57 @@ def _(spark, sf_dir):
     return ledger.top_sources(runs(spark, sf_dir).select("id"), [F.col("id").desc()])
 
 
+# Places of the rows of each order: the span of each key, so that equal rows may change places.
+def span_sql(source: str, keys: str, order: str) -> str:
+    return (
+        f"SELECT {keys}, min(place) AS first_place, max(place) AS last_place, count(*) AS n FROM "
+        f"(SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM {source}) GROUP BY ALL"
+    )
+
+
+FILLED = "SELECT source, coalesce(processed <> '', FALSE) AS is_processed, coalesce(cache <> '', FALSE) AS is_cached FROM s"
+
+
+def filled(df):
+    some = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
+    return df.select("source", some("processed").alias("is_processed"), some("cache").alias("is_cached"))
+
+
+@query("L01_places", ledger_sql(f", {SUMMARY} " + span_sql(f"({FILLED})", "source, is_processed, is_cached", "NOT is_processed, NOT is_cached, source")))
+def _(spark, sf_dir):
+    return places.span_of_places(filled(ledger.glass_half_full(summaries(spark, sf_dir))), ["source", "is_processed", "is_cached"])
+
+
+@query("L02_places", ledger_sql(f", {SUMMARY} " + span_sql(f"({FILLED})", "source, is_processed, is_cached", "is_cached, is_processed, source")))
+def _(spark, sf_dir):
+    return places.span_of_places(filled(ledger.glass_half_empty(summaries(spark, sf_dir))), ["source", "is_processed", "is_cached"])
+
+
+@query(
+    "L04_places",
+    ledger_sql(TIMES + ", c AS (SELECT path, CASE WHEN run_time = 'NULL:NULL:NULL' THEN NULL ELSE run_time END AS run_time FROM o) "
+               + span_sql("c", "path, run_time", "coalesce(nullif(run_time, ''), '9999') DESC, path")),
+)
+def _(spark, sf_dir):
+    rows = runs(spark, sf_dir)
+    value = lambda key: state_value(F.col("state"), key)
+    timed = rows.select(F.col("source_path").alias("path"), ledger.run_time_text(value("cache time"), value("process time")).alias("run_time"))
+    return places.span_of_places(ledger.batch_order(timed), ["path", "run_time"])
+
+
+@query("L05_places", ledger_sql(span_sql("(SELECT ts_us FROM runs)", "ts_us", "coalesce(ts_us, 0) DESC")))
+def _(spark, sf_dir):
+    return places.span_of_places(ledger.newest_first(runs(spark, sf_dir)).select("ts_us"), ["ts_us"])
+
+
+@query(
+    "L06_places",
+    ledger_sql(span_sql("(SELECT source_path AS path, status FROM runs)", "path, status", "CASE WHEN NOT status THEN 0 WHEN status IS NULL THEN 1 ELSE 2 END, path")),
+)
+def _(spark, sf_dir):
+    return places.span_of_places(ledger.job_file_order(runs(spark, sf_dir).select(F.col("source_path").alias("path"), "status")), ["path", "status"])
+
+
 # --- set operations -----------------------------------------------------------------
 
 CHANGES = {

@@ -1,5 +1,8 @@
 """Check queries: whole jobs."""
 
+import json
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from streetgrain.catalog.base import query
@@ -7,12 +10,12 @@ from streetgrain.catalog.conform import ADDRESS_SQL, HASH_SQL, LINES, SPEC
 from streetgrain.catalog.coverage import FEATURES, geographies, sources
 from streetgrain.catalog.ledger import LATEST, LOST, STATS, js, last_set, seconds_sql
 from streetgrain.catalog.spatial import (
-    AREA_SQL, DIAMETER, HASH12, PARSED, POLED, SHAPES_SQL, STATS_SQL, bounds_sql, shapes,
+    AREA_SQL, DIAMETER, HASH12, PARSED, POLED, BLOTS_SQL, STATS_SQL, bounds_sql, blots, union_sql,
 )
 from streetgrain.catalog.views import ledger_sql, runs, sets, table, view, view_sql
 from streetgrain.functions import geo
 from streetgrain.operators import runs as ledger
-from streetgrain.plans import process, products
+from streetgrain.plans import process, products, publish
 from streetgrain.session import scratch_path
 
 
@@ -34,6 +37,42 @@ def _(spark, sf_dir):
     return done.addresses.drop("_error")
 
 
+# A source of eight files, each with the header, and the record of its state.
+SOURCE_COLUMNS = ["address", "city", "district", "region", "zip", "tags", "zlon", "zlat"]
+SOURCE_LINE = " || ',' || ".join(f"coalesce('\"' || replace({c}, '\"', '\"\"') || '\"', '')" for c in SOURCE_COLUMNS)
+CREDITED = {
+    "license": {"url": "http://license.example/by", "text": "Open with credit", "attribution name": "City of Example", "share-alike": "Yes"},
+    "website": "http://city.example/addresses",
+}
+
+
+@query(
+    "E01_source_state",
+    f"WITH {LINES}, files AS (SELECT rid % 8 AS b, md5('{','.join(SOURCE_COLUMNS)}' || chr(10) || string_agg({SOURCE_LINE}, chr(10) ORDER BY rid, {SOURCE_LINE}) || chr(10)) AS f FROM raw GROUP BY 1), "
+    "digest AS (SELECT CASE WHEN count(*) = 1 THEN min(f) ELSE md5(string_agg(f, '' ORDER BY b)) END AS f FROM files) "
+    "SELECT 'place.json' AS source, FALSE AS skipped, TRUE AS cache, 'sample.json' AS sample, 'http://city.example/addresses' AS website, 'Open with credit (http://license.example/by)' AS license, "
+    "CAST(NULL AS VARCHAR) AS geometry_type, (SELECT count(*) FROM raw) AS address_count, 'v7' AS version, f AS fingerprint, '0:01:05' AS cache_time, 'out.csv' AS processed, TRUE AS process_time, "
+    "'output.txt' AS output, CAST(NULL AS VARCHAR) AS preview, CAST(NULL AS VARCHAR) AS slippymap, 'true' AS attribution_required, 'City of Example' AS attribution_name, 'true' AS share_alike, "
+    "CAST(NULL AS VARCHAR) AS source_problem, 'c1' AS code_version, TRUE AS tests_passed FROM digest",
+)
+def _(spark, sf_dir):
+    lines = view(spark, sf_dir, "addr_raw_lines").selectExpr("rid % 8 AS b", "rid", f"{SOURCE_LINE} AS line")
+    heads = lines.select("b").distinct().select("b", F.lit(-1).alias("rid"), F.lit(",".join(SOURCE_COLUMNS)).alias("line"))
+    path = scratch_path(spark, "source")
+    dealt_out = lines.unionByName(heads).repartition(8, "b").sortWithinPartitions("b", "rid", "line")
+    dealt_out.select("b", "line").write.partitionBy("b").text(path)
+    definition = {
+        "coverage": {"US Census": {"geoid": "06"}}, "protocol": "http", "conform": SPEC, **CREDITED,
+        "test": {"acceptance-tests": [{"description": "plain", "inputs": {"address": "12 MAIN ST"}, "expected": {"number": "12", "street": "MAIN ST"}}]},
+    }
+    state = publish.publish_source(
+        spark, json.dumps(definition), path, scratch_path(spark, "published"), "sources/us/ca/place.json",
+        version="v7", cache_time=timedelta(seconds=65), code_version="c1",
+    )
+    # Where the data lay and how long it took is for each run to say.
+    return state.withColumns({"cache": F.col("cache") == path, "process_time": F.col("process_time").rlike(r"^\d+:\d\d:\d\d")})
+
+
 FACTS = (
     f", facts AS (SELECT substr(source_path, 9, length(source_path) - 13) AS path_base, {js('share-alike')} AS share_alike, {js('website')} AS website, "
     f"{js('license')} AS license, {js('attribution flag')} AS flag, {js('attribution name')} AS name FROM runs "
@@ -136,32 +175,25 @@ LAND = (
 )
 
 
-def cell_sql(source: str, keys: str, w: str, h: str) -> str:
-    return (
-        f"SELECT DISTINCT {keys}, cell_x, cell_y FROM (SELECT *, unnest(range(CAST(floor(y0 * 10) AS BIGINT), CAST(floor((y0 + {h}) * 10) AS BIGINT) + 1)) AS cell_y FROM "
-        f"(SELECT *, unnest(range(CAST(floor(x0 * 10) AS BIGINT), CAST(floor((x0 + {w}) * 10) AS BIGINT) + 1)) AS cell_x FROM {source})) "
-        f"WHERE (cell_x + CAST(0.5 AS DOUBLE)) / 10 > x0 AND (cell_x + CAST(0.5 AS DOUBLE)) / 10 < x0 + {w} AND (cell_y + CAST(0.5 AS DOUBLE)) / 10 > y0 AND (cell_y + CAST(0.5 AS DOUBLE)) / 10 < y0 + {h}"
-    )
+PARTS_OF_LAND = (
+    "SELECT iso_a2 AS code, bx, b_y, greatest(x0, bx) AS lx, least(x0 + 4.0, bx + 1) AS rx, greatest(y0, b_y) AS ly, least(y0 + 40.0, b_y + 1) AS ry "
+    "FROM (SELECT *, CAST(unnest(range(CAST(floor(y0) AS BIGINT), CAST(ceil(y0 + 40.0) AS BIGINT))) AS DOUBLE) AS b_y FROM "
+    "(SELECT *, CAST(unnest(range(CAST(floor(x0) AS BIGINT), CAST(ceil(x0 + 4.0) AS BIGINT))) AS DOUBLE) AS bx FROM land))"
+)
 
 
 @query(
     "E05_calculate_coverage",
-    f"WITH {SHAPES_SQL}, cut AS (SELECT split_part('FR,DE,JP', ',', CAST(id % 3 + 1 AS INT)) AS iso_a2, x0 + 0.02 AS x0, y0 + 0.02 AS y0, w, h, id AS count FROM shapes), {LAND}, "
-    f"lc AS ({cell_sql('land', 'iso_a2', '4.0', '40.0')}), cc AS ({cell_sql('cut', 'iso_a2', 'w', 'h')}), "
-    "per AS (SELECT lc.iso_a2, floor(cell_x / CAST(10 AS DOUBLE)) AS lon, floor(cell_y / CAST(10 AS DOUBLE)) AS lat, CASE WHEN count(cc.iso_a2) > 0 THEN count(cc.iso_a2) / CAST(count(*) AS DOUBLE) END AS fraction "
-    "FROM lc LEFT JOIN cc USING (iso_a2, cell_x, cell_y) GROUP BY 1, 2, 3), "
+    f"WITH {BLOTS_SQL}, {LAND}, {union_sql(PARTS_OF_LAND)}, "
+    "per AS (SELECT p.code AS iso_a2, bx AS lon, b_y AS lat, sum(coalesce(i.area, 0)) / sum((p.rx - p.lx) * (p.ry - p.ly)) AS fraction FROM places p LEFT JOIN inked_area i USING (code, lx, rx, ly, ry) GROUP BY 1, 2, 3), "
     "st AS (SELECT *, CAST(100 + (lon + 180) % 7 AS DOUBLE) AS area, CAST(1000 + (lat + 90) % 11 AS DOUBLE) AS population FROM per), "
     "s AS (SELECT iso_a2, sum(area * fraction) AS a_t, sum(population * fraction) AS p_t, sum(area * fraction) / sum(area) AS a_p, sum(population * fraction) / sum(population) AS p_p FROM st GROUP BY 1) "
     "SELECT s.iso_a2, 'Land ' || s.iso_a2 AS name, round(a_t, 4) AS area_total, round(p_t, 4) AS pop_total, round(a_p, 6) AS area_pct, round(p_p, 6) AS pop_pct, "
-    "CASE WHEN p_p > 0.98 THEN 'best' WHEN p_p > 0.15 THEN 'okay' ELSE 'empty' END AS band, CAST(c.n AS BIGINT) AS addr_count FROM s LEFT JOIN (SELECT iso_a2, sum(count) AS n FROM cut GROUP BY 1) c ON c.iso_a2 = s.iso_a2",
+    "CASE WHEN p_p > 0.98 THEN 'best' WHEN p_p > 0.15 THEN 'okay' ELSE 'empty' END AS band, CAST(c.n AS BIGINT) AS addr_count FROM s JOIN (SELECT code, sum(id) AS n FROM blots GROUP BY 1) c ON c.code = s.iso_a2",
 )
 def _(spark, sf_dir):
     code = lambda key: F.split_part(F.lit("FR,DE,JP"), F.lit(","), (key % 3 + 1).cast("int"))
-    moved = shapes(spark, sf_dir).withColumns({"x": F.col("x0") + 0.02, "y": F.col("y0") + 0.02})
-    features = moved.select(
-        code(F.col("id")).alias("iso_a2"), F.col("id").alias("count"),
-        F.array(geo.box_ring(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h"))).alias("rings"),
-    )
+    features = blots(spark, sf_dir).select(F.col("code").alias("iso_a2"), F.col("id").alias("count"), "rings")
     x0 = F.col("n_nationkey").cast("double") * 5 - 60.03
     nations = table(spark, sf_dir, "nation").select(
         code(F.col("n_nationkey")).alias("iso_a2"),

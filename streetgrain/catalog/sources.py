@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from streetgrain.catalog.base import query
 from streetgrain.catalog.ledger import js
 from streetgrain.catalog.conform import ADDRESS_SQL, HASH_SQL, LINES, NAMES, conformed
-from streetgrain.catalog.spatial import GOOD, TILES_SQL, SHAPES_SQL, points, shapes
+from streetgrain.catalog.spatial import AREA_SQL, GOOD, SHAPES_SQL, TILES_SQL, points, shapes
 from streetgrain.catalog.views import ledger_sql, runs, table, view, view_sql
-from streetgrain.operators import changes, spatial, statistics
+from streetgrain.operators import changes, filters, places, spatial, statistics
 from streetgrain.operators import runs as ledger
 from streetgrain.schema import ADDRESS_COLUMNS, RUN_STATE_KEYS, X_COLUMN, Y_COLUMN
 from streetgrain.session import scratch_path
@@ -254,14 +254,14 @@ def address_points(spark, sf_dir):
 
 @query(
     "S10_write_collections",
-    f"{GOOD} SELECT source_base AS source, 'global' AS collection, CASE WHEN share_alike = 'true' THEN 'sa' ELSE 'free' END AS license_attr, count(*) AS n, "
-    "CAST(sum(pt_id) AS BIGINT) AS ids FROM good GROUP BY ALL",
+    f"{GOOD}, placed AS (SELECT *, {AREA_SQL} AS collection FROM good) SELECT source_base AS source, collection, CASE WHEN share_alike = 'true' THEN 'sa' ELSE 'free' END AS license_attr, "
+    "count(*) AS n, CAST(sum(pt_id) AS BIGINT) AS ids FROM placed GROUP BY ALL",
 )
 def _(spark, sf_dir):
     from streetgrain.functions.licenses import license_class
 
     attr = F.when(license_class(F.col("share_alike")) == "sa", "sa").otherwise("free")
-    rows = address_points(spark, sf_dir).withColumns({"collection": F.lit("global"), "license_attr": attr})
+    rows = filters.by_area(address_points(spark, sf_dir)).withColumnRenamed("area", "collection").withColumn("license_attr", attr)
     facts = rows.groupBy("collection", "license_attr", "source_base").agg(F.count("*").alias("n"))
     texts = statistics.license_text(
         facts.withColumns({c: F.lit(None).cast("string") for c in ("website", "license", "attribution_flag", "attribution_name")}),
@@ -317,6 +317,15 @@ def _(spark, sf_dir):
     return writers.state_table(state_rows(spark, sf_dir), "data.example.org")
 
 
+@query(
+    "S12_places",
+    ledger_sql(", p AS (SELECT source_path, row_number() OVER (ORDER BY source_path) AS place FROM runs) "
+               "SELECT substr(source_path, 9) AS source, min(place) AS first_place, max(place) AS last_place, count(*) AS n FROM p GROUP BY 1"),
+)
+def _(spark, sf_dir):
+    return places.span_of_places(writers.state_table(state_rows(spark, sf_dir), "data.example.org").select("source"), ["source"])
+
+
 @query(
     "S18_read_state_tsv",
     ledger_sql(

@@ -6,7 +6,7 @@ from streetgrain.catalog.base import query
 from streetgrain.catalog.views import table, view, view_sql
 from streetgrain.functions import geo
 from streetgrain.functions.projection import reproject
-from streetgrain.operators import coverage, filters, spatial
+from streetgrain.operators import coverage, filters, places, spatial
 
 NUMBER = r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
 
@@ -145,6 +145,16 @@ def _(spark, sf_dir):
     return spatial.tile_blocks(points(spark, sf_dir)).select("pt_id", "lon", "lat", "tile_lon", "tile_lat")
 
 
+@query(
+    "L08_places",
+    f"{GOOD}, p AS (SELECT tile_lon, tile_lat, row_number() OVER (ORDER BY tile_lon, tile_lat) AS place FROM "
+    "(SELECT CAST(floor(lon) AS BIGINT) AS tile_lon, CAST(floor(lat) AS BIGINT) AS tile_lat FROM good)) "
+    "SELECT tile_lon, tile_lat, min(place) AS first_place, max(place) AS last_place, count(*) AS n FROM p GROUP BY ALL",
+)
+def _(spark, sf_dir):
+    return places.span_of_places(spatial.tile_blocks(points(spark, sf_dir)).select("tile_lon", "tile_lat"), ["tile_lon", "tile_lat"])
+
+
 @query(
     "A11_grid_coverage",
     f"{GOOD}, cells AS (SELECT source_base, floor(lon * 10) AS cx, floor(lat * 10) AS cy, count(*) AS n FROM good GROUP BY ALL) "
@@ -255,13 +265,13 @@ def _(spark, sf_dir):
 
 @query(
     "U05_join_tilesets",
-    f"{GOOD}, {MERC}, zooms AS (SELECT CAST(unnest(range(11)) AS INTEGER) AS zoom) "
+    f"{GOOD}, {MERC}, zooms AS (SELECT CAST(unnest(range(16)) AS INTEGER) AS zoom) "
     f"SELECT zoom, {tile_sql('zoom')}, count(*) AS points FROM merc, zooms GROUP BY ALL",
 )
 def _(spark, sf_dir):
     good = points(spark, sf_dir)
-    north = spatial.tile_pyramid(good.filter("lat >= 0"), zmax=10)
-    south = spatial.tile_pyramid(good.filter("lat < 0"), zmax=10)
+    north = spatial.tile_pyramid(good.filter("lat >= 0"), zmax=15)
+    south = spatial.tile_pyramid(good.filter("lat < 0"), zmax=15)
     return spatial.join_tilesets(north, south)
 
 
@@ -397,6 +407,38 @@ def shapes(spark, sf_dir, dx: float = 0.0, dy: float = 0.0):
     return s.withColumn("rings", F.array(outer, hole))
 
 
+# Areas of sources: a shape with its hole, each fifth with an island beside it, each fourth far smaller than a box.
+BLOTS = {
+    "id": "id", "code": "split_part('FR,DE,JP', ',', CAST(id % 3 + 1 AS INT))", "x0": "x0 + 0.02", "y0": "y0 + 0.02",
+    "w": "w / CASE WHEN id % 4 = 0 THEN 50 ELSE 1 END", "h": "h / CASE WHEN id % 4 = 0 THEN 50 ELSE 1 END", "more": "id % 5 = 0",
+}
+BLOTS_SQL = f"{SHAPES_SQL}, blots AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in BLOTS.items()) + " FROM shapes)"
+
+
+def blots(spark, sf_dir):
+    b = shapes(spark, sf_dir).selectExpr(*[f"{e} AS {n}" for n, e in BLOTS.items()])
+    x, y, w, h = (F.col(c) for c in ("x0", "y0", "w", "h"))
+    rings = [geo.box_ring(x, y, x + w, y + h), geo.box_ring(x + w / 4, y + h / 4, x + w / 2, y + h / 2)]
+    island = geo.box_ring(x + w * 1.25, y, x + w * 1.5, y + h / 2)
+    return b.withColumn("rings", F.when(F.col("more"), F.array(*rings, island)).otherwise(F.array(*rings)))
+
+
+def union_sql(places: str) -> str:
+    """Area per place (code, lx, rx, ly, ry, ...) and in blots: between neighbouring corners all is covered or nothing is."""
+    corners = lambda low, high, a, s: (
+        f"SELECT DISTINCT code, lx, rx, ly, ry, unnest([{low}, {high}] || list_transform([0.0, 0.25, 0.5, 1.0, 1.25, 1.5], lambda f: greatest({low}, least({high}, {a} + {s} * CAST(f AS DOUBLE))))) AS v FROM met"
+    )
+    return (
+        f"places AS ({places}), met AS (SELECT p.*, x0, y0, w, h, more FROM places p JOIN blots b ON p.code = b.code AND x0 < rx AND x0 + w * 1.5 > lx AND y0 < ry AND y0 + h > ly), "
+        f"xs AS (SELECT *, lead(v) OVER (PARTITION BY code, lx, rx, ly, ry ORDER BY v) AS u FROM ({corners('lx', 'rx', 'x0', 'w')})), "
+        f"ys AS (SELECT *, lead(v) OVER (PARTITION BY code, lx, rx, ly, ry ORDER BY v) AS u FROM ({corners('ly', 'ry', 'y0', 'h')})), "
+        "tiles AS (SELECT code, lx, rx, ly, ry, xs.v AS xa, xs.u AS xb, ys.v AS ya, ys.u AS yb, (xs.v + xs.u) / 2 AS x, (ys.v + ys.u) / 2 AS y FROM xs JOIN ys USING (code, lx, rx, ly, ry) WHERE xs.u IS NOT NULL AND ys.u IS NOT NULL), "
+        "inked AS (SELECT DISTINCT t.code, t.lx, t.rx, t.ly, t.ry, xa, xb, ya, yb FROM tiles t JOIN met m ON t.code = m.code AND t.lx = m.lx AND t.rx = m.rx AND t.ly = m.ly AND t.ry = m.ry AND y > y0 AND y < y0 + h "
+        "AND ((x > x0 AND x < x0 + w AND NOT (x > x0 + w / 4 AND x < x0 + w / 2 AND y > y0 + h / 4 AND y < y0 + h / 2)) OR (more AND x > x0 + w * 1.25 AND x < x0 + w * 1.5 AND y < y0 + h / 2))), "
+        "inked_area AS (SELECT code, lx, rx, ly, ry, sum((xb - xa) * (yb - ya)) AS area FROM inked GROUP BY ALL)"
+    )
+
+
 @query(
     "G01_centroid",
     f"WITH {SHAPES_SQL} SELECT id, round((x0 + w / 2 - (x0 + 3 * w / 8) / 16) / (CAST(15 AS DOUBLE) / 16), 6) AS x, "

@@ -17,6 +17,7 @@ from streetgrain.functions.licenses import license_class
 from streetgrain.functions.rules import state_value
 from streetgrain.functions.text import short_name
 from streetgrain.operators import coverage as cov
+from streetgrain.operators import overlay
 from streetgrain.operators import runs as ledger
 from streetgrain.operators import spatial, statistics
 from streetgrain.operators.filters import by_area, good_runs, on_earth, parseable_point
@@ -113,22 +114,23 @@ def dot_map(addresses: DataFrame, key: Column, lon: str = "LON", lat: str = "LAT
     return spatial.quadrant_split(flipped)
 
 
-def calculate_coverage(features: DataFrame, shapes: DataFrame, box_statistics: DataFrame, boxes: DataFrame,
-                       code: str, per_degree: int = 10) -> DataFrame:
+def calculate_coverage(features: DataFrame, shapes: DataFrame, box_statistics: DataFrame, boxes: DataFrame, code: str) -> DataFrame:
     """Address count, covered area and population per country or state.
 
     ``features``: code, ``count`` and the ``rings`` a source covers (see
     :func:`feature_codes`); ``shapes``: code, ``name`` and ``rings`` of the
-    land. Both are turned into fine cells, where overlapping coverage counts
-    once; the covered share of the land of a box weighs its statistics.
+    land. The share of a box's land that the union of the features covers weighs
+    its statistics. A code without features has no share, one without land or
+    statistics only its count.
     """
-    land = cov.cell_masks_of_rings(shapes, [code, "name"], per_degree=per_degree)
-    covered = cov.cell_masks_of_rings(features, [code], per_degree=per_degree)
-    per_box = cov.covered_share(land, covered, code, per_degree)
-    placed = cov.assign_box_id(per_box.withColumn("size", F.lit(1.0)), boxes)
+    per_box = overlay.shared_area(shapes, features, code)
+    seen = features.select(code).distinct().withColumn("_seen", F.lit(True))
+    share = F.when(F.col("_seen"), F.col("covered_area") / F.col("land_area")).alias("fraction")
+    per_box = per_box.join(seen, code, "left").select(code, "lon", "lat", F.lit(1.0).alias("size"), share)
+    placed = cov.assign_box_id(per_box, boxes).join(shapes.groupBy(code).agg(F.min("name").alias("name")), code)
     weighed = placed.join(box_statistics, [code, "box_id"])
     summary = cov.with_band(cov.coverage_summary(weighed, code))
-    return summary.join(cov.area_address_counts(features, code), code, "left")
+    return summary.join(cov.area_address_counts(features, code), code, "full")
 
 
 def feature_codes(features: DataFrame) -> DataFrame:
