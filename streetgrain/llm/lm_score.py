@@ -31,12 +31,10 @@ def cross_entropy_difference(
     sent = written(lm.send_marked(packed, marks, order, bits), "grams")
     counted = written(lm.counts(sent), "counts")
     symbols = max(1, counted.select(lm.suffix(F.col("gram"), 1).alias("s")).distinct().count())
-    near = lm.Model(counted.where("n_marked > 0").select("gram", F.col("n_marked").alias("c")), order, symbols)
-    far = lm.Model(counted.select("gram", F.col("n_all").alias("c")), order, symbols)
-    wanted = counted.select("shard", "gram")
-    scored = near.score(wanted, "target").join(far.score(wanted, "background").drop("shard"), "gram")
     names = ("target", "background")
-    total = lm.sums(packed, lm.answer(sent, written(scored, "scores"), names), order, bits, names)
+    # Every n-gram of the corpus is in the background's tables, so they hold all answers.
+    models = lm.Models(counted, ("n_marked", "n_all"), order, symbols)
+    total = lm.sums(packed, lm.answer(sent, models.seen_bits(names), names), order, bits, names)
 
     def mean(c):
         return F.when(F.col("n") > 0, c / F.col("n"))

@@ -53,6 +53,14 @@ def _shard(keys: np.ndarray, bits: int) -> np.ndarray:
     return (w.mix(keys) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
+def _by_shard(keys: np.ndarray, bits: int) -> list[tuple[int, np.ndarray]]:
+    """Each shard that has some of the keys, and their places in order."""
+    shard = _shard(keys, bits)
+    order = np.argsort(shard, kind="stable")
+    found, first = np.unique(shard[order], return_index=True)
+    return list(zip(found.tolist(), np.split(order, first[1:]), strict=True)) if len(keys) else []
+
+
 def _zip(values: np.ndarray) -> bytes:
     return zstandard.compress(b.planes(values), 1)
 
@@ -80,10 +88,8 @@ def _parts(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None, onl
     if chosen is not None and chosen.any():
         some, n = _counted(key[chosen[row]])
         own[np.searchsorted(unique, some)] = n
-    shard = _shard(unique, bits)
-    for s in np.unique(shard):
-        at = shard == s
-        yield int(s), unique[at], np.stack([count[at], own[at]])
+    for s, at in _by_shard(unique, bits):
+        yield s, unique[at], np.stack([count[at], own[at]])
 
 
 def message(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None, only: bool = False) -> pa.Table:
@@ -157,9 +163,8 @@ def _context(gram: Column) -> Column:
     return F.shiftright(gram, 8)
 
 
-def _discounts(level: DataFrame) -> tuple[float, float, float]:
+def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """Discounts of counts 1, 2 and more, from how many n-grams have counts 1 to 4."""
-    n1, n2, n3, n4 = level.agg(*[F.count(F.when(F.col("c") == i, 1)) for i in (1, 2, 3, 4)]).first()
     if not n1 or not n2:
         return 0.5, 0.75, 1.0  # too few n-grams to estimate
     y = n1 / (n1 + 2 * n2)
@@ -168,53 +173,68 @@ def _discounts(level: DataFrame) -> tuple[float, float, float]:
     return min(max(d1, 0.1), 1.0), min(max(d2, 0.1), 2.0), min(max(d3, 0.1), 3.0)
 
 
-class Model:
-    """Tables of a Kneser-Ney model, one pair per length: probabilities of seen n-grams, weights of seen contexts."""
+class Models:
+    """Tables of Kneser-Ney models that share them, by n-gram length: probabilities of n-grams, weights of contexts."""
+
+    def __init__(self, count: DataFrame, columns: tuple[str, ...], order: int, symbols: int) -> None:
+        """``count`` has gram, maybe further columns, and a count at the full length per model, one of them above 0.
 
-    def __init__(self, count: DataFrame, order: int, symbols: int) -> None:
-        """``count`` has gram and c > 0 at the full length; ``symbols`` is the size of the shared vocabulary."""
-        self.order, self.symbols = order, symbols
-        levels = {order: written(count.select("gram", "c"), "level")}
+        ``symbols`` is the size of the shared vocabulary. An n-gram that only another
+        model has seen gets its probability from the shorter one, so every n-gram of
+        the tables has one in each model.
+        """
+        self.order, self.symbols, self.many = order, symbols, len(columns)
+        each = range(self.many)
+        self.more = [c for c in count.columns if c != "gram" and c not in columns]
+        levels = {order: written(count.select("gram", *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], *self.more), "level")}
         for k in range(order - 1, 0, -1):
             # Below the full length a count is the number of tokens that precede.
-            longer = levels[k + 1].select(suffix(F.col("gram"), k).alias("gram"))
-            levels[k] = written(longer.groupBy("gram").agg(F.count("*").alias("c")), "level")
+            longer = levels[k + 1].select(suffix(F.col("gram"), k).alias("gram"), *[f"c{i}" for i in each])
+            levels[k] = written(longer.groupBy("gram").agg(*[F.count(F.when(F.col(f"c{i}") > 0, 1)).alias(f"c{i}") for i in each]), "level")
         self.seen: dict[int, DataFrame] = {}
         self.weight: dict[int, DataFrame] = {}
         for k in range(1, order + 1):
-            d1, d2, d3 = _discounts(levels[k])
-            cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-            rows = levels[k].select("gram", "c", _context(F.col("gram")).alias("context"), cut.alias("cut"))
-            sums = rows.groupBy("context").agg(F.sum("c").alias("total"), F.sum("cut").alias("freed"))
-            self.weight[k] = written(sums.select("context", "total", (F.col("freed") / F.col("total")).alias("weight")), "weights")
+            four = levels[k].agg(*[F.count(F.when(F.col(f"c{i}") == n, 1)) for i in each for n in (1, 2, 3, 4)]).first()
+            cuts, sums, weights, p = [], [], [], []
+            for i in each:
+                d1, d2, d3 = _discounts(*four[4 * i : 4 * i + 4])
+                c, lower = F.col(f"c{i}"), F.col(f"lower{i}") if k > 1 else F.lit(1.0 / symbols)
+                cuts.append(F.when(c == 0, 0.0).when(c == 1, d1).when(c == 2, d2).otherwise(d3).alias(f"cut{i}"))
+                sums += [F.sum(c).alias(f"total{i}"), F.sum(f"cut{i}").alias(f"freed{i}")]
+                # A context that this model hasn't seen leaves all to the shorter one.
+                weights.append(F.when(F.col(f"total{i}") > 0, F.col(f"freed{i}") / F.col(f"total{i}")).otherwise(1.0).alias(f"weight{i}"))
+                kept = F.when(c > 0, (c - F.col(f"cut{i}")) / F.col(f"total{i}")).otherwise(0.0)
+                p.append((kept + F.col(f"weight{i}") * lower).alias(f"p{i}"))
+            rows = levels[k].withColumn("context", _context(F.col("gram"))).select("*", *cuts)
+            self.weight[k] = written(rows.groupBy("context").agg(*sums).select("context", *[f"total{i}" for i in each], *weights), "weights")
             rows = rows.join(self.weight[k], "context")
-            kept = (F.col("c") - F.col("cut")) / F.col("total")
-            if k == 1:
-                p = kept + F.col("weight") / F.lit(float(symbols))
-            else:
-                rows = rows.withColumn("s", suffix(F.col("gram"), k - 1))
-                lower = self.seen[k - 1].select(F.col("gram").alias("s"), F.col("p").alias("lower"))
-                rows, p = rows.join(lower, "s"), kept + F.col("weight") * F.col("lower")
-            self.seen[k] = written(rows.select("gram", p.alias("p")), "seen")
-
-    def score(self, wanted: DataFrame, name: str) -> DataFrame:
+            if k > 1:
+                lower = self.seen[k - 1].select(F.col("gram").alias("s"), *[F.col(f"p{i}").alias(f"lower{i}") for i in each])
+                rows = rows.withColumn("s", suffix(F.col("gram"), k - 1)).join(lower, "s")
+            self.seen[k] = written(rows.select("gram", *p, *(self.more if k == order else [])), "seen")
+
+    def seen_bits(self, names: tuple[str, ...]) -> DataFrame:
+        """The n-grams that were counted, their further columns, and the negative log of each probability, in bits."""
+        return self.seen[self.order].select("gram", *self.more, *[(-F.log2(f"p{i}")).alias(n) for i, n in enumerate(names)])
+
+    def score(self, wanted: DataFrame, names: tuple[str, ...]) -> DataFrame:
         """``wanted`` (shard, gram) and the negative log of each gram's probability, in bits."""
+        each = range(self.many)
         asked = {self.order: wanted.select("gram")}
         for k in range(self.order - 1, 0, -1):
             asked[k] = asked[k + 1].select(suffix(F.col("gram"), k).alias("gram")).distinct()
         lower = None
         for k in range(1, self.order + 1):
             rows = asked[k].join(self.seen[k], "gram", "left").withColumn("context", _context(F.col("gram")))
-            rows = rows.join(self.weight[k].select("context", "weight"), "context", "left")
-            if lower is None:
-                rest = F.lit(1.0 / self.symbols)
-            else:
+            rows = rows.join(self.weight[k].select("context", *[f"weight{i}" for i in each]), "context", "left")
+            rest = [F.lit(1.0 / self.symbols) for _ in each]
+            if lower is not None:
                 rows = rows.withColumn("s", suffix(F.col("gram"), k - 1)).join(lower, "s")
-                rest = F.col("lower")
-            p = F.coalesce("p", F.coalesce("weight", F.lit(1.0)) * rest)
-            last = rows.select("gram", p.alias("f"))
-            lower = last.select(F.col("gram").alias("s"), F.col("f").alias("lower"))
-        return wanted.join(last.select("gram", (-F.log2("f")).alias(name)), "gram")
+                rest = [F.col(f"lower{i}") for i in each]
+            p = [F.coalesce(f"p{i}", F.coalesce(f"weight{i}", F.lit(1.0)) * rest[i]).alias(f"f{i}") for i in each]
+            last = rows.select("gram", *p)
+            lower = last.select(F.col("gram").alias("s"), *[F.col(f"f{i}").alias(f"lower{i}") for i in each])
+        return wanted.join(last.select("gram", *[(-F.log2(f"f{i}")).alias(n) for i, n in enumerate(names)]), "gram")
 
 
 def answer(sent: DataFrame, scored: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -253,9 +273,9 @@ def sums(packed: DataFrame, answers: DataFrame, order: int, bits: int, names: tu
             place = row[np.argsort(key, kind="stable")]
             unique, count = _counted(key)
         values = np.zeros((len(names), len(unique)))
-        shard = _shard(unique, bits)
-        for s, raw in zip(right.column("shard").to_pylist(), right.column("values").to_pylist(), strict=True):
-            values[:, shard == s] = np.frombuffer(zstandard.decompress(raw), np.float32).reshape(len(names), -1)
+        got = dict(zip(right.column("shard").to_pylist(), right.column("values").to_pylist(), strict=True))
+        for s, at in _by_shard(unique, bits):
+            values[:, at] = np.frombuffer(zstandard.decompress(got[s]), np.float32).reshape(len(names), -1)
         total = [np.bincount(place, np.repeat(v, count), len(batch.ids)).astype(np.float64) for v in values]
         return pa.table(
             {"id": batch.id_column, "n": pa.array(np.diff(batch.offsets), pa.int64())}
