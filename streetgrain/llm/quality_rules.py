@@ -18,10 +18,14 @@ RUN = 8  # words of a repeated window
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 
-# Per measure: how far beyond the outer quartile, in interquartile ranges, a
-# document may lie, and a width that is allowed in any case (same unit).
-FENCE = 3
-SLACK = {"symbols": 100, "dup_lines": 300, "repeats": 300, "word_length": 400}
+# Per measure: the upper quantile of a group, in hundredths, and how many times its distance
+# from the median a document may lie beyond it; below, the same with the lower quantile.
+# Junk can be a tenth of a group, so the quantile lies below it where sound documents hardly
+# differ; repeats are rare and uneven in sound documents, so theirs is taken far out.
+HIGH = {"symbols": 90, "dup_lines": 99, "repeats": 99, "word_length": 90}
+FENCE = {"symbols": 3, "dup_lines": 1, "repeats": 1, "word_length": 3}
+# Buckets of the sketch that are allowed beyond in any case: it knows no finer.
+BUCKETS = 8
 # A group of fewer documents takes the limits of its language, then of all.
 LEAST_GROUP = 100
 
@@ -54,7 +58,12 @@ def _repeat_words(words: Column, n: Column) -> Column:
 
 
 def measure(docs: DataFrame, text_col: str, name: str) -> DataFrame:
-    """All columns of ``docs`` and a struct ``name`` of counts of each text; null is an empty text."""
+    """All columns of ``docs`` and a struct ``name`` of counts of each text; null is an empty text.
+
+    Equal rows are counted alike, each for itself. ``name`` and the same with _words and
+    _lines must not be taken. A long text is one row's work, with some eight times its
+    size in windows where some repeat.
+    """
     work = docs
     text = F.coalesce(F.col(text_col), F.lit(""))
     words, lines = f"{name}_words", f"{name}_lines"
@@ -97,6 +106,11 @@ def bucket(x: Column) -> Column:
     return F.call_function("shiftleft", top + 1, shift) - 1
 
 
+def width(value: Column) -> Column:
+    """Width of the bucket that a value lies in."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.length(F.bin(value)) - 6, F.lit(0)))
+
+
 def sketches(measured: DataFrame, m: str, lang: Column, source: Column) -> DataFrame:
     """Counts by language, source, measure and bucket. Documents that fail the base rules don't count."""
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("measure"), bucket(v).alias("value")) for k, v in rates(m).items()]))
@@ -106,6 +120,9 @@ def sketches(measured: DataFrame, m: str, lang: Column, source: Column) -> DataF
 
 def limits(sketch: DataFrame) -> DataFrame:
     """One row per language and source with the least and greatest allowed value of each measure."""
+    def of(table: dict[str, int]) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), F.col("measure"))
+
     def merged(level: int, *keys: str) -> DataFrame:
         whole = sketch.groupBy(*keys, "measure", "value").agg(F.sum("n").alias("n"))
         w = Window.partitionBy(*keys, "measure")
@@ -113,10 +130,11 @@ def limits(sketch: DataFrame) -> DataFrame:
             *keys, "measure", "value", F.sum("n").over(w).alias("total"),
             F.sum("n").over(w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
         )
-        # Smallest bucket that a quarter, or three quarters, of the documents reach.
-        return sums.groupBy(*keys, "measure").agg(
-            F.max("total").alias(f"n{level}"), F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("value"))).alias(f"low{level}"),
-            F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("value"))).alias(f"high{level}"),
+        # Smallest bucket that so many hundredths of the documents reach.
+        at = lambda hundredths: F.min(F.when(100 * F.col("upto") >= hundredths * F.col("total"), F.col("value")))
+        return sums.withColumn("high", of(HIGH)).groupBy(*keys, "measure").agg(
+            F.max("total").alias(f"n{level}"), at(100 - F.col("high")).alias(f"low{level}"), at(F.lit(50)).alias(f"mid{level}"),
+            at(F.col("high")).alias(f"high{level}"),
         )
 
     own, by_lang, whole = merged(0, "lang", "source"), merged(1, "lang"), merged(2)
@@ -131,12 +149,14 @@ def limits(sketch: DataFrame) -> DataFrame:
             .otherwise(F.col(f"{name}2"))
         )
 
-    width = F.element_at(F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv]), F.col("measure"))
-    chosen = all_.select("lang", "source", "measure", pick("low").alias("low"), pick("high").alias("high"))
-    reach = FENCE * (F.col("high") - F.col("low")) + width
-    fences = chosen.select("lang", "source", "measure", (F.col("low") - reach).alias("least"), (F.col("high") + reach).alias("most"))
+    chosen = all_.select("lang", "source", "measure", of(FENCE).alias("fence"), *[pick(c).alias(c) for c in ("low", "mid", "high")])
+    fences = chosen.select(
+        "lang", "source", "measure",
+        (F.col("low") - F.col("fence") * (F.col("mid") - F.col("low")) - BUCKETS * width(F.col("low"))).alias("least"),
+        (F.col("high") + F.col("fence") * (F.col("high") - F.col("mid")) + BUCKETS * width(F.col("high"))).alias("most"),
+    )
     flat = [
-        F.max(F.when(F.col("measure") == k, F.col(side))).alias(f"{side}_{k}") for k in SLACK for side in ("least", "most")
+        F.max(F.when(F.col("measure") == k, F.col(side))).alias(f"{side}_{k}") for k in HIGH for side in ("least", "most")
     ]
     return fences.groupBy("lang", "source").agg(*flat)
 
@@ -145,12 +165,14 @@ def judge(measured: DataFrame, m: str, lang_col: str, source_col: str, kept: str
     """All columns of ``measured`` and the verdict: base rules hold and every measure lies within its group's limits.
 
     A null language or source is a group of its own. A group in which every
-    document fails the base rules has no limits and needs none.
+    document fails the base rules has no limits and needs none. Rows that are equal
+    count each time and are judged alike. ``kept`` and the same with _key and _limits
+    must not be taken.
     """
     lang, source = F.col(lang_col), F.col(source_col)
     table = limits(sketches(measured, m, lang, source)).select(
         F.struct(F.col("lang").alias("lang"), F.col("source").alias("source")).alias(f"{kept}_key"),
-        F.struct(*[f"{s}_{k}" for k in SLACK for s in ("least", "most")]).alias(f"{kept}_limits"),
+        F.struct(*[f"{s}_{k}" for k in HIGH for s in ("least", "most")]).alias(f"{kept}_limits"),
     )
     on = lang.eqNullSafe(F.col(f"{kept}_key.lang")) & source.eqNullSafe(F.col(f"{kept}_key.source"))
     joined = measured.join(table, on, "left")

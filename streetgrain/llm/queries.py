@@ -136,15 +136,26 @@ q AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 u AS (SELECT lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'word_length']) AS measure,
         unnest([symbols, dup_lines, repeats, word_length]) AS x FROM q WHERE NOT base_failed),
 k AS (SELECT lang, source, measure, ((x >> s) + 1 << s) - 1 AS v FROM (SELECT *, CAST(greatest(length(bin(x)) - 6, 0) AS BIGINT) AS s FROM u)),
-k0 AS (SELECT lang, source, measure, count(*) AS n, quantile_disc(v, 0.25) AS low, quantile_disc(v, 0.75) AS high FROM k GROUP BY ALL),
-k1 AS (SELECT lang, measure, count(*) AS n, quantile_disc(v, 0.25) AS low, quantile_disc(v, 0.75) AS high FROM k GROUP BY ALL),
-k2 AS (SELECT measure, quantile_disc(v, 0.25) AS low, quantile_disc(v, 0.75) AS high FROM k GROUP BY ALL),
+t(measure, h, fence) AS (VALUES ('symbols', 90, 3), ('dup_lines', 99, 1), ('repeats', 99, 1), ('word_length', 90, 3)),
+c0 AS (SELECT *, CAST(sum(n) OVER (PARTITION BY lang, source, measure) AS BIGINT) AS total, CAST(sum(n) OVER (PARTITION BY lang, source, measure ORDER BY v) AS BIGINT) AS upto
+      FROM (SELECT lang, source, measure, v, count(*) AS n FROM k GROUP BY ALL)),
+k0 AS (SELECT lang, source, measure, max(total) AS n, min(v) FILTER (100 * upto >= (100 - h) * total) AS low, min(v) FILTER (100 * upto >= 50 * total) AS mid,
+        min(v) FILTER (100 * upto >= h * total) AS high FROM c0 JOIN t USING (measure) GROUP BY lang, source, measure),
+c1 AS (SELECT *, CAST(sum(n) OVER (PARTITION BY lang, measure) AS BIGINT) AS total, CAST(sum(n) OVER (PARTITION BY lang, measure ORDER BY v) AS BIGINT) AS upto
+      FROM (SELECT lang, measure, v, count(*) AS n FROM k GROUP BY ALL)),
+k1 AS (SELECT lang, measure, max(total) AS n, min(v) FILTER (100 * upto >= (100 - h) * total) AS low, min(v) FILTER (100 * upto >= 50 * total) AS mid,
+        min(v) FILTER (100 * upto >= h * total) AS high FROM c1 JOIN t USING (measure) GROUP BY lang, measure),
+c2 AS (SELECT *, CAST(sum(n) OVER (PARTITION BY measure) AS BIGINT) AS total, CAST(sum(n) OVER (PARTITION BY measure ORDER BY v) AS BIGINT) AS upto
+      FROM (SELECT measure, v, count(*) AS n FROM k GROUP BY ALL)),
+k2 AS (SELECT measure, max(total) AS n, min(v) FILTER (100 * upto >= (100 - h) * total) AS low, min(v) FILTER (100 * upto >= 50 * total) AS mid,
+        min(v) FILTER (100 * upto >= h * total) AS high FROM c2 JOIN t USING (measure) GROUP BY measure),
 f AS (SELECT k0.lang, k0.source, k0.measure,
         CASE WHEN k0.n >= 100 THEN k0.low WHEN k1.n >= 100 THEN k1.low ELSE k2.low END AS low,
+        CASE WHEN k0.n >= 100 THEN k0.mid WHEN k1.n >= 100 THEN k1.mid ELSE k2.mid END AS mid,
         CASE WHEN k0.n >= 100 THEN k0.high WHEN k1.n >= 100 THEN k1.high ELSE k2.high END AS high
       FROM k0 JOIN k1 ON k0.lang IS NOT DISTINCT FROM k1.lang AND k0.measure = k1.measure JOIN k2 ON k0.measure = k2.measure),
-w AS (SELECT lang, source, measure, low - reach AS least, high + reach AS most FROM (SELECT *, 3 * (high - low) +
-        CASE measure WHEN 'symbols' THEN 100 WHEN 'word_length' THEN 400 ELSE 300 END AS reach FROM f)),
+w AS (SELECT lang, source, f.measure, low - fence * (mid - low) - 8 * (CAST(1 AS BIGINT) << CAST(greatest(length(bin(low)) - 6, 0) AS BIGINT)) AS least,
+        high + fence * (high - mid) + 8 * (CAST(1 AS BIGINT) << CAST(greatest(length(bin(high)) - 6, 0) AS BIGINT)) AS most FROM f JOIN t ON f.measure = t.measure),
 x AS (SELECT q.doc_id FROM q JOIN w ON q.lang IS NOT DISTINCT FROM w.lang AND q.source IS NOT DISTINCT FROM w.source
       WHERE CASE measure WHEN 'symbols' THEN symbols WHEN 'dup_lines' THEN dup_lines WHEN 'repeats' THEN repeats ELSE word_length END
             NOT BETWEEN least AND most),
