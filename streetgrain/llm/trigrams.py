@@ -122,7 +122,7 @@ class TrigramIndex:
         self.postings: dict[int, np.ndarray] = {}
         if not codes or len(data) < 3:
             return
-        number = np.zeros(1 << 24, np.uint8)
+        number = np.zeros(1 << 24, np.int32)
         number[codes] = np.arange(1, len(codes) + 1)
         low = w.LOWER[data].astype(np.uint32)
         code = (low[:-2] << 16) | (low[1:-1] << 8) | low[2:]
