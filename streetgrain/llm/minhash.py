@@ -111,7 +111,8 @@ def _sign(width: int):
                     for r in range(ROWS):
                         key = w.mix(key * np.uint64(w.ODD[0]) + grouped[:, r])
                     bands[full] = key.T
-                    marks[full] = (low[:MARKS] >> np.uint64(56)).astype(np.uint8).T
+                    # A byte of the mixed minimum: the minima themselves are all small.
+                    marks[full] = (w.mix(low[:MARKS]) & np.uint64(255)).astype(np.uint8).T
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(size), pa.array(a), pa.array(c), _fixed(bands), _fixed(marks)],
                     ["id", "n", "set_a", "set_b", "bands", "marks"],
@@ -257,7 +258,9 @@ def _between(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = placed.withColumn("at", own).select("grp", "node", "component", "shingles", "at", other)
     dealt = dealt.withColumns({"i": F.least("at", "other"), "j": F.greatest("at", "other"), "own": F.col("at") <= F.col("other")})
-    return dealt.drop("at", "other").groupBy("grp", "i", "j").applyInArrow(_joining(percent), "a long, b long")
+    # Rows that lie together by group would stay there: each two blocks need a task's turn of their own.
+    dealt = dealt.drop("at", "other").repartition("grp", "i", "j")
+    return dealt.groupBy("grp", "i", "j").applyInArrow(_joining(percent), "a long, b long")
 
 
 def links(nodes: DataFrame, sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
