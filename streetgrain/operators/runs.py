@@ -211,7 +211,7 @@ def reuse_previous_run(
 ) -> DataFrame:
     """Newest original completed run of the same file within an interval.
 
-    ``requests`` has ``request_id``, ``source_id``, ``ts_us``; the result adds
+    ``requests`` has ``request_id`` (of any type), ``source_id``, ``ts_us``; the result adds
     ``reused_run``, null where nothing can be reused. A run counts if it is
     older than the request by less than the interval; newest means highest id.
 
@@ -230,11 +230,12 @@ def reuse_previous_run(
         "source_id", "ts_us", "id"
     )
     nothing = F.lit(None).cast("bigint")
+    nobody = F.lit(None).cast(requests.schema["request_id"].dataType)
     # kind: 0 whole blocks before, 1 request at its own time, 2 run,
     #       3 request moved back by the interval
     run_rows = originals.select(
         "source_id", block(F.col("ts_us")).alias("block"), "ts_us", F.lit(2).alias("kind"), "id",
-        nothing.alias("request_id"),
+        nobody.alias("request_id"),
     )
     own = requests.select(
         "source_id", block(F.col("ts_us")).alias("block"), "ts_us", F.lit(1).alias("kind"),
@@ -252,7 +253,7 @@ def reuse_previous_run(
         .agg(F.max("id").alias("id"))
         .select(
             "source_id", "block", (F.col("block") * width - 1).alias("ts_us"), F.lit(0).alias("kind"), "id",
-            nothing.alias("request_id"),
+            nobody.alias("request_id"),
         )
     )
     rows = run_rows.unionByName(own).unionByName(moved).unionByName(whole)

@@ -233,8 +233,6 @@ def batch_plan(expected: DataFrame, runs: DataFrame, sets: DataFrame, set_id: in
         ).alias("run_time"),
     )
     requests = expected.select(F.col("source_path").alias("request_id"), "source_id", "ts_us")
-    numbered = requests.withColumn("_path", F.col("request_id")).withColumn("request_id", F.xxhash64("_path"))
-    reused = ledger.reuse_previous_run(numbered, runs)
-    with_reuse = numbered.join(reused, "request_id", "left").select(F.col("_path").alias("source_path"), "reused_run")
-    planned = expected.select("source_path").join(times, "source_path", "left").join(with_reuse, "source_path", "left")
+    reused = ledger.reuse_previous_run(requests, runs).withColumnRenamed("request_id", "source_path")
+    planned = expected.select("source_path").join(times, "source_path", "left").join(reused, "source_path", "left")
     return ledger.batch_order(planned, path="source_path")

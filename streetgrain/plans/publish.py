@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from streetgrain.functions import conform as C
 from streetgrain.functions import geo, licenses, rules
-from streetgrain.operators import changes
+from streetgrain.operators import changes, filters
 from streetgrain.plans import process
 from streetgrain.schema import GEOM_COLUMN, X_COLUMN, Y_COLUMN, state_column
 from streetgrain.sources import archives, readers
@@ -175,3 +175,29 @@ def publish_source(
 
 def _json(value: object) -> str | None:
     return None if value is None else json.dumps(value, ensure_ascii=False)
+
+
+# --- parcels -------------------------------------------------------------------------
+
+
+def publish_parcels(spark: SparkSession, states: str, spec: dict, destination: str) -> DataFrame:
+    """Parcel tables of all polygon sources in a published run table: ``source, parcels, problem``.
+
+    Each source's cached data, a CSV file or an archive with one, becomes a CSV below
+    ``destination`` at the place of the source. A source that can't be read names its
+    problem and the others go on. The list of sources is on the driver, as each is a job.
+    """
+    table = filters.polygon_sources(readers.read_state_tsv(spark, states), "geometry type")
+    done = []
+    for source, cache in sorted((r.source, r.cache) for r in table.select("source", "cache").collect()):
+        try:
+            definition = {"conform": {"format": "csv"}, "compression": "zip" if cache.endswith(".zip") else None}
+            rows = readers.read_source_csv(spark, choose_file(spark, cache, definition))
+            parcels = process.parcel_table(rows, spec, source)
+            seen = Observation("parcels")
+            counted = parcels.observe(seen, F.count("*").alias("n")).drop("_error")
+            counted.write.mode("overwrite").option("header", "true").option("escape", '"').csv(os.path.join(destination, source.rsplit(".", 1)[0] + ".csv"))
+            done.append((source, seen.get["n"], None))
+        except Exception as error:  # a fault of one source stops no other
+            done.append((source, 0, f"{type(error).__name__}: {str(error)[:2000]}"))
+    return spark.createDataFrame(done, "source string, parcels long, problem string")

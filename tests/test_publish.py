@@ -104,3 +104,23 @@ def test_sample_knows_the_geometry(spark):
 
 def test_state_fields_are_columns():
     assert len(publish.STATE_FIELDS) == 22 and len({state_column(f) for f in publish.STATE_FIELDS}) == 22
+
+
+def test_parcels_of_a_run_table(spark, tmp_path):
+    caches = tmp_path / "caches"
+    caches.mkdir()
+    parcels = 'num,st,OA:geom\n4,Elm,"POLYGON ((0 0, 1 0, 1 1, 0 0))"\n5,Oak,POINT (1 1)\n6,,"POLYGON ((2 2, 3 2, 3 3, 2 2))"\n'
+    (caches / "a.csv").write_text(parcels)
+    with zipfile.ZipFile(caches / "b.zip", "w") as z:
+        z.writestr("in/b.csv", parcels)
+    header = ["source", "cache", "geometry type", "processed"]
+    rows = [
+        ["xy/a.json", str(caches / "a.csv"), "Polygon", "p"], ["xy/b.json", str(caches / "b.zip"), "MultiPolygon", "p"],
+        ["xy/c.json", str(caches / "none.csv"), "Polygon 2.5D", "p"], ["xy/d.json", str(caches / "a.csv"), "Point", "p"], ["xy/e.json", str(caches / "a.csv"), "Polygon", ""],
+    ]
+    (tmp_path / "state.txt").write_text("".join("\t".join(r) + "\n" for r in [header, *rows]))
+    out = publish.publish_parcels(spark, str(tmp_path / "state.txt"), {"number": "num", "street": "st"}, str(tmp_path / "out")).collect()
+    assert [(r.source, r.parcels, r.problem is None) for r in out] == [("xy/a.json", 2, True), ("xy/b.json", 2, True), ("xy/c.json", 0, False)]
+    for name in "ab":
+        back = spark.read.option("header", "true").option("escape", '"').csv(str(tmp_path / "out" / "xy" / f"{name}.csv")).collect()
+        assert sorted((r.NUMBER, r.STREET, r.geom[:7]) for r in back) == [("4", "Elm", "POLYGON"), ("6", None, "POLYGON")]
