@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, St
 
 from . import words as w
 
-STRETCH = 4 << 20  # bytes of text encoded at a time
+STRETCH = 1 << 20  # bytes of text encoded at a time
 MOST_IDS = 1 << 20  # ids decoded at a time
 TOGETHER = 64  # failing words up to so many bytes are merged as rows of a table, longer ones with a queue
 ROWS = 1 << 14
