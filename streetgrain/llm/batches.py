@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import written, written_by
 from . import words as w
 
 BATCH_BYTES = 4 << 20
@@ -34,7 +34,7 @@ def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 def pack(
-    docs: DataFrame, id_col: str, text_col: str, limit: int = BATCH_BYTES, keep: tuple[str, ...] = (), write: bool = True
+    docs: DataFrame, id_col: str, text_col: str, limit: int = BATCH_BYTES, keep: tuple[str, ...] = (), write: bool = True, buckets: int = 0
 ) -> DataFrame:
     """One row per batch of documents, in id order within the batch.
 
@@ -74,6 +74,8 @@ def pack(
         *[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(keep)],
     )
     packed = rows.mapInArrow(run, PACKED + "".join(f", k{i} array<string>" for i in range(len(keep))))
+    if buckets:
+        return written_by(packed, "batches", "batch", buckets)
     return written(packed, "batches") if write else packed
 
 

@@ -25,10 +25,8 @@ def cross_entropy_difference(
     packed = b.pack(docs, id_col, text_col)
     size = packed.agg(F.sum("n_bytes")).first()[0] or 0
     bits = lm.shard_bits(size)
-    ids = packed.select("batch", F.posexplode("ids").alias("at", "id"))
     chosen = target.select(F.col(target_id).cast("long").alias("id")).distinct()
-    marks = ids.join(chosen, "id", "left_semi").groupBy(F.col("batch").alias("of")).agg(F.collect_list("at").alias("at"))
-    sent = written(lm.send_marked(packed, marks, order, bits), "grams")
+    sent = written(lm.send_marked(packed, lm.marks(packed, chosen), order, bits), "grams")
     counted = written(lm.counts(sent), "counts")
     symbols = max(1, counted.select(lm.suffix(F.col("gram"), 1).alias("s")).distinct().count())
     names = ("target", "background")

@@ -78,22 +78,20 @@ def _from_steps(raw: bytes) -> np.ndarray:
     return np.cumsum(_unzip(raw, np.uint64), dtype=np.uint64)
 
 
-def _parts(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None, only: bool):
-    """Per shard: number, sorted n-grams of the batch, and counts (all, in chosen documents); ``only`` of chosen documents."""
+def _parts(batch: b.Batch, order: int, bits: int, chosen: np.ndarray, total: bool):
+    """Per shard: number, sorted n-grams of the batch, and their counts: all if ``total``, and in chosen documents."""
     key, row = grams(batch, order)
-    if only:
-        key, row = key[chosen[row]], row[chosen[row]]
     unique, count = _counted(key)
     own = np.zeros(len(unique), np.int64)
-    if chosen is not None and chosen.any():
+    if chosen.any():
         some, n = _counted(key[chosen[row]])
         own[np.searchsorted(unique, some)] = n
     for s, at in _by_shard(unique, bits):
-        yield s, unique[at], np.stack([count[at], own[at]])
+        yield s, unique[at], np.stack([count[at], own[at]] if total else [own[at]])
 
 
-def message(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None, only: bool = False) -> pa.Table:
-    parts = list(_parts(batch, order, bits, chosen, only))
+def message(batch: b.Batch, order: int, bits: int, chosen: np.ndarray, total: bool) -> pa.Table:
+    parts = list(_parts(batch, order, bits, chosen, total))
     return pa.table({
         "shard": pa.array([s for s, _, _ in parts], pa.int32()),
         "batch": pa.array([batch.batch] * len(parts), pa.int64()), "digest": pa.array([batch.digest] * len(parts), pa.int64()),
@@ -102,19 +100,14 @@ def message(batch: b.Batch, order: int, bits: int, chosen: np.ndarray | None, on
     })
 
 
-def send(packed: DataFrame, order: int, bits: int) -> DataFrame:
-    """The distinct n-grams of each batch, by shard."""
+def marks(packed: DataFrame, chosen: DataFrame) -> DataFrame:
+    """of (a batch) and at, the places in the batch of the documents whose id is among ``chosen`` (id)."""
+    ids = packed.select("batch", F.posexplode("ids").alias("at", "id"))
+    return ids.join(chosen, "id", "left_semi").groupBy(F.col("batch").alias("of")).agg(F.collect_list("at").alias("at"))
 
-    def run(parts):
-        for part in parts:
-            for i in range(part.num_rows):
-                yield from message(b.Batch(part, i), order, bits, None).to_batches()
 
-    return packed.mapInArrow(run, SENT)
-
-
-def send_marked(packed: DataFrame, marks: DataFrame, order: int, bits: int) -> DataFrame:
-    """The same, with counts over marked documents beside counts over all.
+def send_marked(packed: DataFrame, marks: DataFrame, order: int, bits: int, total: bool = True) -> DataFrame:
+    """The distinct n-grams of each batch, by shard, with counts over all documents if ``total`` and over marked ones.
 
     ``marks`` has of (a batch) and at, the places of the marked documents in the batch.
     """
@@ -124,30 +117,25 @@ def send_marked(packed: DataFrame, marks: DataFrame, order: int, bits: int) -> D
         chosen = np.zeros(len(batch.ids), bool)
         for places in right.column("at").to_pylist():
             chosen[places] = True
-        return message(batch, order, bits, chosen)
+        return message(batch, order, bits, chosen, total)
 
     return packed.groupBy("batch").cogroup(marks.groupBy("of")).applyInArrow(run, SENT)
 
 
-def counts(sent: DataFrame) -> DataFrame:
-    """shard, gram, n_all, n_marked over all batches."""
+def counts(sent: DataFrame, names: tuple[str, ...] = ("n_all", "n_marked")) -> DataFrame:
+    """shard, gram and each count that was sent, over all batches."""
 
     def run(table: pa.Table) -> pa.Table:
         keys = [_from_steps(x) for x in table.column("keys").to_pylist()]
-        numbers = [_unzip(x, np.int64).reshape(2, -1) for x in table.column("counts").to_pylist()]
+        numbers = [_unzip(x, np.int64).reshape(len(names), -1) for x in table.column("counts").to_pylist()]
         unique, place = np.unique(np.concatenate(keys), return_inverse=True)
-        total = [np.bincount(place, np.concatenate([n[i] for n in numbers]), len(unique)).astype(np.int64) for i in (0, 1)]
+        total = [np.bincount(place, np.concatenate([n[i] for n in numbers]), len(unique)).astype(np.int64) for i in range(len(names))]
         return pa.table({
             "shard": pa.array(np.full(len(unique), table.column("shard")[0].as_py()), pa.int32()),
-            "gram": pa.array(unique.view(np.int64)), "n_all": pa.array(total[0]), "n_marked": pa.array(total[1]),
+            "gram": pa.array(unique.view(np.int64)), **{n: pa.array(t) for n, t in zip(names, total, strict=True)},
         })
 
-    return sent.groupBy("shard").applyInArrow(run, "shard int, gram long, n_all long, n_marked long")
-
-
-def distinct_grams(sent: DataFrame) -> DataFrame:
-    """shard and gram of every n-gram sent."""
-    return counts(sent).select("shard", "gram")
+    return sent.groupBy("shard").applyInArrow(run, "shard int, gram long" + "".join(f", {n} long" for n in names))
 
 
 def shard_bits(n_bytes: int) -> int:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,10 +10,10 @@ from ..session import written
 from . import batches as b
 from . import ngram_lm as lm
 
-# The model is fitted on so many trusted documents at most, those of smallest hash.
-SAMPLE = 16_000
-# One in so many of them is held out of the fit. These and all beyond the sample set the limits.
+# One in so many trusted documents is held out of the fit; these set the limits.
 HELD_OUT = 4
+# Batches in a bucket of the packed documents, at about BATCH_BYTES of text each.
+BATCHES = 8
 # A quantile is sought in a bucket of perplexities; so many buckets double the value.
 BUCKETS = 1024
 QUANTILE = 0.99
@@ -25,17 +24,16 @@ LEAST_GROUP = 50
 MARGIN = 1.5
 
 
-def _trusted(trusted: DataFrame, id_col: str, sample: int) -> tuple[np.ndarray, DataFrame]:
-    """Sorted ids to fit on, and the ids of all other trusted documents."""
-    rows = trusted.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct()
-    rows = rows.withColumn("h", F.xxhash64("id"))
-    first = rows.orderBy("h", "id").limit(sample).collect()
-    fit = np.sort(np.array([r.id for r in first if r.h % HELD_OUT], np.int64))
-    beyond = F.lit(True)
-    if first:
-        h, last = F.lit(first[-1].h), F.lit(first[-1].id)
-        beyond = (F.col("h") > h) | ((F.col("h") == h) & (F.col("id") > last))
-    return fit, rows.where(beyond | (F.col("h") % HELD_OUT == 0)).select("id")
+def _trusted(trusted: DataFrame, id_col: str, sample: int | None) -> tuple[DataFrame, DataFrame]:
+    """Ids to fit on, and the ids of all other trusted documents."""
+    rows = trusted.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct().withColumn("h", F.xxhash64("id"))
+    held = F.col("h") % HELD_OUT == 0
+    if sample is None:
+        rows = written(rows.select("id", (~held).alias("fit")), "trusted")
+    else:
+        first = written(rows.orderBy("h", "id").limit(sample).where(~held).select("id", F.lit(True).alias("fit")), "fit")
+        rows = written(rows.select("id").join(first, "id", "left").select("id", F.coalesce("fit", F.lit(False)).alias("fit")), "trusted")
+    return rows.where("fit").select("id"), rows.where("NOT fit").select("id")
 
 
 def _quantiles(sure: DataFrame, quantile: float) -> DataFrame:
@@ -70,47 +68,32 @@ def _margin(many: Column) -> Column:
     return 1 + (MARGIN - 1) * F.sqrt(F.lit(LEAST_GROUP) / F.greatest(many, F.lit(LEAST_GROUP)))
 
 
-def _marked(packed: DataFrame, ids: np.ndarray, order: int, bits: int) -> DataFrame:
-    """Distinct n-grams of each batch's chosen documents, with their counts."""
-
-    def run(parts):
-        for part in parts:
-            for i in range(part.num_rows):
-                batch = b.Batch(part, i)
-                place = np.minimum(np.searchsorted(ids, batch.ids), max(len(ids) - 1, 0))
-                chosen = ids[place] == batch.ids if len(ids) else np.zeros(len(batch.ids), bool)
-                if chosen.any():
-                    yield from lm.message(batch, order, bits, chosen, only=True).to_batches()
-
-    return packed.mapInArrow(run, lm.SENT)
-
-
 def classify(
     docs: DataFrame, id_col: str, text_col: str, lang_col: str, trusted: DataFrame, trusted_id: str,
-    order: int = lm.ORDER, sample: int = SAMPLE, quantile: float = QUANTILE,
+    order: int = lm.ORDER, sample: int | None = None, quantile: float = QUANTILE,
 ) -> DataFrame:
     """Per row: id, lang, n (tokens), perplexity, threshold, kept.
 
-    The model is fitted on up to ``sample`` trusted documents; every document is
-    scored on its whole text. A document is kept if its perplexity is at most
-    the ``quantile`` of the trusted documents in its language that the model was
-    not fitted on, those beyond the sample included, and a margin that vanishes
-    as they grow many. Texts without tokens have no perplexity and aren't kept;
-    without any such document there is no limit and all others are kept. Null
-    language is a language of its own. Rows of null id are never trusted. Each
-    row is judged for itself.
-
-    ``docs`` is read several times and must give the same rows in the same
-    partitions each time, as files do; else an error is raised.
+    The model counts all trusted documents but those held out, one in
+    ``HELD_OUT`` by hash of the id; every document is scored on its whole text. A
+    document is kept if its perplexity is at most the ``quantile`` of the trusted
+    documents in its language that the model was not fitted on, and a margin that
+    vanishes as they grow many. Texts without tokens have no perplexity and
+    aren't kept; without any such document there is no limit and all others are
+    kept. Null language is a language of its own. Rows of null id are never
+    trusted. Each row is judged for itself. A caller may fit on the ``sample``
+    trusted documents of smallest hash instead; all others then set the limits.
     """
     fit, held = _trusted(trusted, trusted_id, sample)
-    packed = b.pack(docs, id_col, text_col, keep=(lang_col,), write=False)
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     bits = lm.shard_bits(size)
-    known = lm.counts(_marked(packed, fit, order, bits)).where("n_marked > 0")
-    model = lm.Models(known.select("gram", "n_marked"), ("n_marked",), order, symbols=256)
-    sent = written(lm.send(packed, order, bits), "grams")
-    scored = written(model.score(lm.distinct_grams(sent), ("bits",)), "scores")
+    # No fewer than the partitions of a shuffle, or Spark shuffles the table for more of them.
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // (BATCHES * b.BATCH_BYTES))
+    packed = b.pack(docs, id_col, text_col, keep=(lang_col,), buckets=buckets)
+    sent = written(lm.send_marked(packed, lm.marks(packed, fit), order, bits, total=False), "grams")
+    counted = written(lm.counts(sent, ("n_marked",)), "counts")
+    model = lm.Models(counted.where("n_marked > 0").select("gram", "n_marked"), ("n_marked",), order, symbols=256)
+    scored = written(model.score(counted.select("shard", "gram"), ("bits",)), "scores")
     result = lm.sums(packed, lm.answer(sent, scored, ("bits",)), order, bits, ("bits",), keep=1)
     result = result.select("id", F.col("k0").alias("lang"), "n", F.when(F.col("n") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("n"))).alias("perplexity"))
     result = written(result, "perplexity")

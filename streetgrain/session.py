@@ -82,3 +82,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """The same for a result that is grouped by ``key`` more than once: a bucketed table, so no reader shuffles it."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", scratch_path(spark, name)).saveAsTable(table)
+    return spark.table(table)

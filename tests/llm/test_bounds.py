@@ -57,6 +57,16 @@ def test_perplexity_by_definition(spark, tmp_path):
             assert r.perplexity == pytest.approx(2 ** (-sum(np.log2(p(g)) for g in grams) / len(grams)), rel=1e-5)
 
 
+def test_quality_model_counts_all_trusted_documents(spark, tmp_path):
+    many = 18_000
+    last = spark.range(many).withColumn("h", F.xxhash64("id")).where(F.col("h") % quality_lm.HELD_OUT != 0).orderBy(F.desc("h")).first().id
+    rows = spark.range(many).select(F.col("id").alias("i"), F.when(F.col("id") == last, "qzqzqzqzqz").otherwise("a b").alias("t"), F.lit("en").alias("lang"))
+    rows.repartition(4).write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    perplexity = lambda **k: quality_lm.classify(df, "i", "t", "lang", df.select("i"), "i", **k).where(F.col("id") == last).first().perplexity
+    assert perplexity() < perplexity(sample=16_000) / 2
+
+
 def test_shards_cut_once_hold_every_key():
     keys = np.unique(w.mix(np.arange(5000, dtype=np.uint64)))
     parts = ngram_lm._by_shard(keys, 4)
