@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetgrain.functions import geo
 from streetgrain.functions.areas import coverage_band
 
+CROSSINGS = 1 << 20  # of edges and rows of cells, worked on at a time
+
 
 def assign_box_id(statistics: DataFrame, boxes: DataFrame) -> DataFrame:
     """Statistics rows with the id of the box at the same place and size."""
@@ -102,40 +109,81 @@ def cell_masks_of_rings(df: DataFrame, keys: list[str], rings: str = "rings", pe
     ``keys, box_x, cell_y, mask``: bit i stands for cell ``box_x * per_degree +
     i`` of the row ``cell_y``; overlapping polygons set a bit once.
 
-    A scan-line fill in relational form: every edge gives its crossing with
-    each row of cell centres it spans; the sorted crossings of a shape in a row
-    pair up to runs of cells. A large shape is thus spread over its rows, copies
-    of a shape fall together before the shuffle, and so do runs in one box.
+    A scan-line fill: every edge gives its crossing with each row of cell centres
+    it spans; the sorted crossings of a shape in a row pair up to runs of cells.
+    That takes the shape alone, so only masks are shuffled, as they come: shapes
+    seldom share a row of a box, so a task's table of them would only fill memory.
     """
     if not 1 <= per_degree <= 32:
         raise ValueError("between 1 and 32 cells per degree fit a mask")
-    ceil = lambda c: F.ceil(c).cast("bigint")
-    shape = [F.xxhash64(rings).alias("_shape"), F.hash(rings).alias("_shape2")]
-    edges = F.flatten(F.transform(F.col(rings), geo.edges_of))
-    rows = df.select(*keys, *shape, F.posexplode(edges).alias("_i", "_edge"))
-    p, q = F.col("_edge.p"), F.col("_edge.q")
-    low, high = F.least(p["y"], q["y"]), F.greatest(p["y"], q["y"])
-    first, last = ceil(low * per_degree - 0.5), ceil(high * per_degree - 0.5) - 1
-    rows = rows.filter(first <= last).withColumn("cell_y", F.explode(F.sequence(first, last)))
-    y = (F.col("cell_y") + 0.5) / per_degree
-    x = (q["x"] - p["x"]) * (y - p["y"]) / (q["y"] - p["y"]) + p["x"]
-    crossings = rows.groupBy(*keys, "_shape", "_shape2", "cell_y").agg(
-        F.array_sort(F.collect_set(F.struct(x.alias("x"), F.col("_i").alias("i")))).alias("_xs")
-    )
-    at = lambda k: ceil(F.try_element_at("_xs", k)["x"] * per_degree - 0.5)
-    pairs = F.sequence(F.lit(1), (F.size("_xs") / 2).cast("int"))
-    spans = F.transform(pairs, lambda k: F.struct(at(k * 2 - 1).alias("a"), (at(k * 2) - 1).alias("b")))
-    runs = crossings.filter(F.size("_xs") >= 2).select(*keys, "cell_y", F.explode(spans).alias("_s"))
-    runs = runs.filter(F.col("_s.a") <= F.col("_s.b"))
-    box = lambda c: F.floor(F.col(c) / per_degree).cast("bigint")
-    boxed = runs.withColumn("box_x", F.explode(F.sequence(box("_s.a"), box("_s.b"))))
-    start = F.col("box_x") * per_degree
-    left = (F.greatest(F.col("_s.a"), start) - start).cast("int")
-    width = (F.least(F.col("_s.b"), start + per_degree - 1) - start).cast("int") - left + 1
-    shift = lambda value, n: F.call_function("shiftleft", value, n)
-    one = F.lit(1).cast("bigint")
-    mask = shift(shift(one, width) - 1, left)
-    return boxed.groupBy(*keys, "box_x", "cell_y").agg(F.bit_or(mask).alias("mask"))
+    shapes = df.select(*keys, F.col(rings).cast(geo.RINGS_TYPE).alias("_rings"))
+    kinds = "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, box, cell_y, mask in _row_masks(batch.column("_rings"), per_degree):
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k).take(at) for k in keys], pa.array(box), pa.array(cell_y), pa.array(mask)],
+                    [*keys, "box_x", "cell_y", "mask"],
+                )
+
+    masks = shapes.mapInArrow(run, f"{kinds}box_x long, cell_y long, mask long")
+    return masks.repartition(*keys, "box_x", "cell_y").groupBy(*keys, "box_x", "cell_y").agg(F.bit_or("mask").alias("mask"))
+
+
+def _repeat(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of each repeated item, and the number of each repetition."""
+    item = np.repeat(np.arange(len(count)), count)
+    return item, np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _row_masks(rings: pa.Array, per_degree: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Shape, box, row and mask of the cells inside each shape, for some shapes at a time."""
+    per_row = pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False)
+    ring = rings.flatten()
+    of_row = np.repeat(np.arange(len(rings)), per_row)
+    lost = np.bincount(of_row, pc.is_null(ring).to_numpy(zero_copy_only=False), len(rings)) > 0  # a ring is unknown, and with it the shape
+    of_point = np.repeat(of_row, pc.fill_null(pc.list_value_length(ring), 0).to_numpy(zero_copy_only=False))
+    of_ring = np.repeat(np.arange(len(ring)), pc.fill_null(pc.list_value_length(ring), 0).to_numpy(zero_copy_only=False))
+    points = ring.flatten()
+    x, y = (pc.cast(pc.struct_field(points, c), pa.float64()).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+    edge = np.flatnonzero((of_ring[1:] == of_ring[:-1]) & ~lost[of_point[1:]] & np.isfinite(y[1:]) & np.isfinite(y[:-1]))
+    low, high = np.minimum(y[edge], y[edge + 1]), np.maximum(y[edge], y[edge + 1])
+    first = np.ceil(low * per_degree - 0.5).astype(np.int64)
+    many = np.maximum(np.ceil(high * per_degree - 0.5).astype(np.int64) - first, 0)
+    total = np.concatenate([[0], np.cumsum(np.bincount(of_point[edge], many, len(rings)).astype(np.int64))])
+    start = np.searchsorted(of_point[edge], np.arange(len(rings) + 1))
+    at = 0
+    while at < len(rings):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + CROSSINGS, "right")) - 1)
+        part = slice(start[at], start[to])
+        i, k = _repeat(many[part])
+        e, cell_y = edge[part][i], first[part][i] + k
+        at = to
+        middle = (cell_y + 0.5) / per_degree
+        with np.errstate(invalid="ignore"):
+            cross = (x[e + 1] - x[e]) * (middle - y[e]) / (y[e + 1] - y[e]) + x[e]
+        cross = np.where(np.isfinite(x[e]) & np.isfinite(x[e + 1]), cross, -np.inf)
+        row = of_point[e]
+        order = np.lexsort((e, cross, cell_y, row))
+        row, cell_y, cross = row[order], cell_y[order], cross[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (cell_y[1:] != cell_y[:-1])
+        place = np.arange(len(row)) - np.maximum.accumulate(np.where(new, np.arange(len(row)), 0))
+        left = np.flatnonzero(place[:-1] % 2 == 0)
+        left = left[~new[left + 1]]
+        left = left[np.isfinite(cross[left])]
+        a = np.ceil(cross[left] * per_degree - 0.5).astype(np.int64)
+        b = np.ceil(cross[left + 1] * per_degree - 0.5).astype(np.int64) - 1
+        left, a, b = left[a <= b], a[a <= b], b[a <= b]
+        s, k = _repeat(b // per_degree - a // per_degree + 1)
+        box = a[s] // per_degree + k
+        begin = np.maximum(a[s], box * per_degree) - box * per_degree
+        width = np.minimum(b[s], box * per_degree + per_degree - 1) - box * per_degree - begin + 1
+        mask = ((np.int64(1) << width) - 1) << begin
+        if len(box):
+            yield row[left][s], box, cell_y[left][s], mask
 
 
 def cells_of_rings(df: DataFrame, keys: list[str], rings: str = "rings", per_degree: int = 10) -> DataFrame:

@@ -174,3 +174,14 @@ def test_grid_and_pyramid(spark):
     pyramid = spatial.tile_pyramid(df)
     assert pyramid.filter("zoom = 0").first()["points"] == 3
     assert {r.zoom: r.n for r in pyramid.groupBy("zoom").agg(F.sum("points").alias("n")).collect()} == {z: 3 for z in range(16)}
+
+
+def test_cell_masks_are_the_only_rows_shuffled(spark):
+    box = "array(array({}))".format(", ".join(f"struct(double({x}) AS x, double({y}) AS y)" for x, y in [(0.2, 0.2), (2.6, 0.2), (2.6, 1.4), (0.2, 1.4), (0.2, 0.2)]))
+    hole = box.replace("double(0.2)", "double(0.5)").replace("double(2.6)", "double(1.5)").replace("double(1.4)", "double(0.9)")
+    rows = spark.range(1).selectExpr("'a' AS k", f"concat({box}, {hole}) AS rings").unionByName(spark.range(1).selectExpr("'a' AS k", f"{hole} AS rings"))
+    rows = rows.unionByName(spark.range(1).selectExpr("'b' AS k", f"concat({box}, array(CAST(NULL AS array<struct<x:double,y:double>>))) AS rings"))
+    masks = coverage.cell_masks_of_rings(rows, ["k"])
+    assert masks._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {r.k: r["count"] for r in coverage.cells_of_rings(rows, ["k"]).groupBy("k").count().collect()}
+    assert got == {"a": 24 * 12}  # the second shape fills the hole of the first; a shape with an unknown ring has no cells
