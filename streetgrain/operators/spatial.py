@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetgrain.functions import geo
 
 GRID_SIZES = (0.1, 0.2, 0.5, 1.0)
+PYRAMID_STEP = 3
 
 
 def grid_summary(points: DataFrame, keys: list[str], size: float = 0.1, ordered: bool = True) -> DataFrame:
@@ -124,7 +127,8 @@ def tile_pyramid(points: DataFrame, keys: list[str] = [], zmin: int = 0, zmax: i
     """Points per web tile at every zoom: ``keys, zoom, col, row, points``.
 
     Only the finest level reads the points. A coarser tile holds whole finer
-    tiles, so the other levels are sums over finest tiles with shifted indices.
+    tiles, so other levels are sums over those of the nearest base below, each
+    ``PYRAMID_STEP`` levels: a task then holds the tiles of few levels at once.
     The lone tile at zoom 0 is combined before the shuffle like any other. Points
     at the poles lie in the border tiles.
     """
@@ -133,14 +137,20 @@ def tile_pyramid(points: DataFrame, keys: list[str] = [], zmin: int = 0, zmax: i
     clamp = lambda c: F.least(F.greatest(c, F.lit(0)), F.lit(side)).cast("bigint")
     x, y = geo.mercator_x(F.col("lon")), geo.tile_y(F.col("lat"))
     placed = points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull() & ~F.isnan("lon") & ~F.isnan("lat"))
-    finest = placed.groupBy(
-        *keys, clamp(geo.tile_column(x, z)).alias("_c"), clamp(geo.tile_row(y, z)).alias("_r")
-    ).agg(F.count("*").alias("_n"))
-    levels = finest.select(*keys, "_c", "_r", "_n", F.explode(F.sequence(F.lit(zmin), F.lit(zmax))).alias("zoom"))
-    shift = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.lit(zmax) - F.col("zoom"))).cast("bigint")
-    return levels.groupBy(*keys, "zoom", shift("_c").alias("col"), shift("_r").alias("row")).agg(
-        F.sum("_n").alias("points")
-    )
+    base = placed.groupBy(
+        *keys, clamp(geo.tile_column(x, z)).alias("col"), clamp(geo.tile_row(y, z)).alias("row")
+    ).agg(F.count("*").alias("points"))
+    coarser = lambda n: [F.call_function("shiftright", F.col(c), n).alias(c) for c in ("col", "row")]
+    names = [*keys, "zoom", "col", "row", "points"]
+    levels = []
+    for zoom in range(zmax, zmin - 1, -PYRAMID_STEP):
+        levels.append(base.withColumn("zoom", F.lit(zoom)).select(*names))
+        low = max(zmin, zoom - PYRAMID_STEP + 1)
+        if low < zoom:
+            between = base.select("*", F.explode(F.sequence(F.lit(low), F.lit(zoom - 1))).alias("zoom"))
+            levels.append(between.groupBy(*keys, "zoom", *coarser(F.lit(zoom) - F.col("zoom"))).agg(F.sum("points").alias("points")).select(*names))
+        base = base.groupBy(*keys, *coarser(F.lit(PYRAMID_STEP))).agg(F.sum("points").alias("points"))
+    return reduce(DataFrame.unionByName, levels)
 
 
 def drop_rate_thinning(points: DataFrame, key: Column, rate: int = 2, base: int = 15, zmin: int = 0) -> DataFrame:

@@ -185,3 +185,20 @@ def test_cell_masks_are_the_only_rows_shuffled(spark):
     assert masks._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     got = {r.k: r["count"] for r in coverage.cells_of_rings(rows, ["k"]).groupBy("k").count().collect()}
     assert got == {"a": 24 * 12}  # the second shape fills the hole of the first; a shape with an unknown ring has no cells
+
+
+def test_tile_pyramid_by_bases(spark):
+    pick = random.Random(5)
+    places = [(pick.uniform(-180, 180), pick.uniform(-85, 85)) for _ in range(300)] * 2
+    df = spark.createDataFrame(places, "lon double, lat double")
+    out = spatial.tile_pyramid(df, zmin=1, zmax=12)
+    # Each base gives the levels up to the next one, so that no task holds the tiles of all of them.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 4
+    finest = {(r.col, r.row): r.points for r in out.where("zoom = 12").collect()}
+    want = {}
+    for zoom in range(1, 13):
+        for (c, r), n in finest.items():
+            at = (zoom, c >> (12 - zoom), r >> (12 - zoom))
+            want[at] = want.get(at, 0) + n
+    assert {(r.zoom, r.col, r.row): r.points for r in out.collect()} == want
+    assert sum(finest.values()) == len(places)
