@@ -26,6 +26,8 @@ _WIDE = ("utf-16", "utf-32", "utf-7")
 _HEAD_LINES = 1000  # lines that the first records of a file may take
 _BATCH = 5000  # records sent on together
 _DEAL = 32 << 20  # bytes of a partition that records are dealt out to
+_IN_MEMORY = 64 << 20  # bytes of a JSON file up to which it is parsed from memory
+_NO_LINE = "\0" * 8  # is in no JSON text of any charset
 
 
 def _texts(lines: Iterator[bytes], charset: str) -> Iterator[str]:
@@ -182,6 +184,20 @@ def read_source_csv(
 # --- JSON and XML features ----------------------------------------------------------
 
 
+def _json_documents(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame:
+    """JSON files as one document each.
+
+    Values of other types that become text are copied from the file as they stand there. While
+    Spark streams a document it opens the file again for each of these, so a file that fits
+    into memory is read as one long line instead; only larger ones are streamed. The name of
+    each document's file is ``file``.
+    """
+    read = lambda name, value: spark.read.schema(schema).options(**options).option(name, value).json(path)
+    kept, streamed = read("lineSep", _NO_LINE), read("multiLine", "true")
+    size, file = F.col("_metadata.file_size"), F.col("_metadata.file_path").alias("file")
+    return kept.where(size <= _IN_MEMORY).select("*", file).unionByName(streamed.where(size > _IN_MEMORY).select("*", file))
+
+
 def _to_points(values: Column) -> Column:
     """Arrays of two or more numbers as points."""
     return F.transform(values, lambda c: geo.point(c[0], c[1]))
@@ -305,9 +321,7 @@ def read_esri_features(spark: SparkSession, path: str, fields: list[str] | None
         "fields array<struct<name:string>>, "
         f"features array<struct<attributes:map<string,string>,geometry:{geometry}>>"
     )
-    pages = (
-        spark.read.schema(schema).option("multiLine", "true").option("allowNonNumericNumbers", "true").json(path)
-    )
+    pages = _json_documents(spark, path, schema, allowNonNumericNumbers="true")
     if fields is None:
         head = pages.select("fields").limit(1).collect()
         fields = [f.name for f in (head[0].fields or [])] if head else []

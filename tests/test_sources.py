@@ -249,3 +249,24 @@ def test_state_at_line_ends(seed):
     for n, line in enumerate(io.StringIO(text), 1):
         state = csv_splits.stays_open(line, state, ",")
         assert state == (n not in ends)
+
+
+def bytes_read(spark) -> int:
+    """Bytes that the files of this session's process were read for up to now."""
+    return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
+def test_esri_pages_are_read_once(spark, tmp_path, monkeypatch):
+    feature = '{"attributes": {"A": "%d", "B": %d.50}, "geometry": {"x": %d, "y": 1}}'
+    page = '{"fields": [{"name": "A"}, {"name": "B"}], "features": [%s]}'
+    for p in range(3):
+        (tmp_path / f"{p}.json").write_text(page % ", ".join(feature % (i, i, i % 90) for i in range(p * 300, p * 300 + 300)))
+    size = sum(f.stat().st_size for f in tmp_path.iterdir())
+    rows = readers.read_esri_features(spark, str(tmp_path))
+    before = bytes_read(spark)
+    kept = sorted(map(tuple, rows.collect()))
+    # Before, each number that became text was read from the file by itself.
+    assert bytes_read(spark) - before < 3 * size
+    assert kept[0] == ("0", "0.50", "0.0", "1.0", "POINT (0.0 1.0)") and len(kept) == 900
+    monkeypatch.setattr(readers, "_IN_MEMORY", 0)
+    assert sorted(map(tuple, readers.read_esri_features(spark, str(tmp_path)).collect())) == kept
