@@ -255,22 +255,33 @@ def _measure(geometry: Column) -> Column:
     )
 
 
-def _collections(features: DataFrame) -> DataFrame:
-    """Features of geometry collections with their centroids in ``_c``.
+def collection_centroid(geometry: Column) -> Column:
+    """Centroid of the JSON text of a geometry collection; null for none.
 
     The members of the highest dimension count, by area, length or number;
     members that are collections themselves are left out.
     """
-    members = F.explode(F.from_json(F.get_json_object("geometry", "$.geometries"), "array<string>")).alias("g")
-    rows = features.withColumn("_id", F.monotonically_increasing_id()).select("_id", "properties", "geometry", members)
-    rows = rows.select("_id", "properties", "geometry", _measure(F.col("g")).alias("m"), geojson_centroid(F.col("g")).alias("c"))
-    weighed = lambda axis: F.sum(F.col(f"c.{axis}") * F.col("m.size"))
-    sums = rows.where("c.x IS NOT NULL AND m.size > 0").groupBy("_id", F.col("m.d").alias("d")).agg(
-        F.first("properties").alias("properties"), F.first("geometry").alias("geometry"), F.sum("m.size").alias("w"),
-        weighed("x").alias("x"), weighed("y").alias("y"),
-    )
-    best = sums.groupBy("_id").agg(F.max_by(F.struct("properties", "geometry", "w", "x", "y"), "d").alias("b"))
-    return best.select("b.properties", "b.geometry", geo.point(F.col("b.x") / F.col("b.w"), F.col("b.y") / F.col("b.w")).alias("_c"))
+    members = F.from_json(F.get_json_object(geometry, "$.geometries"), "array<string>")
+    parts = F.transform(members, lambda g: F.struct(_measure(g).alias("m"), geojson_centroid(g).alias("c")))
+    sized = F.filter(parts, lambda p: p["c"]["x"].isNotNull() & (p["m"]["size"] > 0))
+    highest = F.transform(F.array(sized), lambda s: F.struct(s.alias("s"), F.array_max(F.transform(s, lambda p: p["m"]["d"])).alias("d")))
+    best = F.flatten(F.transform(highest, lambda h: F.filter(h["s"], lambda p: p["m"]["d"] == h["d"])))
+
+    def mean(parts: Column, axis: str) -> Column:
+        given = F.filter(parts, lambda p: p["c"][axis].isNotNull())
+        total = F.aggregate(given, F.lit(0.0).cast("double"), lambda t, p: t + p["c"][axis] * p["m"]["size"])
+        return F.when(F.size(given) > 0, F.try_divide(total, _sizes(parts)))
+
+    return F.transform(F.array(best), lambda b: geo.point(mean(b, "x"), mean(b, "y")))[0]
+
+
+def _sizes(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0.0).cast("double"), lambda t, p: t + p["m"]["size"])
+
+
+def _first_file(spark: SparkSession, path: str) -> str | None:
+    """The first file by name; only names are read."""
+    return spark.read.format("binaryFile").load(path).agg(F.min("_metadata.file_path").alias("f")).first().f
 
 
 def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -279,28 +290,31 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     The properties of the first feature decide the columns. Features without a
     geometry are skipped. ``lines`` reads one feature per line, which splits
     over tasks; a whole feature collection is one task per file, so convert
-    large ones once with :func:`write_geojson_lines`.
+    large ones once with :func:`write_geojson_lines`. The files are parsed once:
+    for the columns only the first by name is read, unless it has no features.
     """
     feature = "struct<properties:map<string,string>,geometry:string>"
     if lines:
-        features = spark.read.schema("properties map<string,string>, geometry string").json(path)
+        whole = spark.read.schema("properties map<string,string>, geometry string").json(path)
+        features, whole = whole, whole.select("properties", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     else:
-        whole = spark.read.schema(f"features array<{feature}>").option("multiLine", "true").json(path)
+        whole = _json_documents(spark, path, f"features array<{feature}>")
         features = whole.select(F.explode("features").alias("f")).select("f.*")
+        head = F.try_element_at("features", F.lit(1))["properties"].alias("properties")
+        whole = whole.select(head, "file", F.lit(0).alias("block")).where("properties IS NOT NULL")
     # The first feature of the first file by name, whichever task reads it.
-    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
-    if lines:
-        first = features.select("properties", place.alias("at"))
-    else:
-        first = whole.select(F.element_at("features", 1)["properties"].alias("properties"), place.alias("at")).where("properties IS NOT NULL")
-    first = first.agg(F.min_by("properties", "at").alias("properties")).first()
-    names = list((first.properties or {}).keys())
-    # Collections take a branch of their own, member by member.
-    kind = F.get_json_object("geometry", "$.type") == "GeometryCollection"
-    simple = features.where(~F.coalesce(kind, F.lit(False))).withColumn("_c", geojson_centroid(F.col("geometry")))
-    collected = _collections(features.where(kind))
-    placed = simple.unionByName(collected)
-    return placed.filter(F.col("_c.x").isNotNull()).select(
+    file = _first_file(spark, path)
+    for some in (whole.where(F.col("file") == file), whole) if file is not None else ():
+        numbered = some.withColumn("n", F.monotonically_increasing_id())
+        first = numbered.agg(F.min_by("properties", F.struct("file", "block", "n")).alias("properties"), F.count("*").alias("n")).first()
+        if first.n:
+            break
+    names = list((first.properties or {}).keys()) if file is not None else []
+    kind = F.coalesce(F.get_json_object("geometry", "$.type") == "GeometryCollection", F.lit(False))
+    center = F.when(kind, collection_centroid(F.col("geometry"))).otherwise(geojson_centroid(F.col("geometry")))
+    # As a generator, so that the centroid isn't worked out once for the rows to keep and again for their columns.
+    placed = features.select("properties", F.explode(F.filter(F.array(center), lambda c: c["x"].isNotNull())).alias("_c"))
+    return placed.select(
         *[F.try_element_at("properties", F.lit(n)).alias(n) for n in names],
         F.col("_c.x").cast("string").alias(X_COLUMN),
         F.col("_c.y").cast("string").alias(Y_COLUMN),

@@ -270,3 +270,25 @@ def test_esri_pages_are_read_once(spark, tmp_path, monkeypatch):
     assert kept[0] == ("0", "0.50", "0.0", "1.0", "POINT (0.0 1.0)") and len(kept) == 900
     monkeypatch.setattr(readers, "_IN_MEMORY", 0)
     assert sorted(map(tuple, readers.read_esri_features(spark, str(tmp_path)).collect())) == kept
+
+
+def test_geojson_is_parsed_once(spark, tmp_path):
+    feature = '{"properties": {"a": "%d", "n": %d.50}, "geometry": %s}'
+    point, line = '{"type": "Point", "coordinates": [9, 9]}', '{"type": "LineString", "coordinates": [[0, 0], [4, 0]]}'
+    both = '{"type": "GeometryCollection", "geometries": [%s, %s]}' % (point, line)
+    pick = [point, line, both, "null"]
+    (tmp_path / "0.json").write_text('{"features": []}')
+    for p in range(1, 4):
+        features = ", ".join(feature % (i, i, pick[i % 4]) for i in range(p * 400, p * 400 + 400))
+        (tmp_path / f"{p}.json").write_text('{"type": "FeatureCollection", "features": [%s]}' % features)
+    size = sum(f.stat().st_size for f in tmp_path.iterdir())
+    before = bytes_read(spark)
+    rows = readers.read_geojson(spark, str(tmp_path))
+    got = {int(r.a): (r.n, r["OA:x"], r["OA:y"]) for r in rows.collect()}
+    # All of it once for the columns, since the first file is empty, and once for the rows.
+    assert bytes_read(spark) - before < 3 * size
+    assert len(got) == 900 and got[400] == ("400.50", "9.0", "9.0") and got[401] == ("401.50", "2.0", "0.0") and got[402] == ("402.50", "2.0", "0.0")
+    (tmp_path / "0.json").write_text('{"features": [%s]}' % (feature % (1, 1, point)))
+    before = bytes_read(spark)
+    assert readers.read_geojson(spark, str(tmp_path)).count() == 901
+    assert bytes_read(spark) - before < 1.5 * size
