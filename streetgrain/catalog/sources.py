@@ -384,7 +384,9 @@ def _(spark, sf_dir):
     )
     path = scratch_path(spark, "packages")
     writers.package_outputs(rows, sources, path)
-    counts = spark.read.option("header", "true").csv(f"{path}/data").groupBy("source").agg(F.count("*").alias("n"))
+    # With a schema, as Spark lists all files once more to infer one.
+    schema = ", ".join(f"`{c}` string" for c in [*ADDRESS_COLUMNS, "source"])
+    counts = spark.read.schema(schema).option("header", "true").csv(f"{path}/data").groupBy("source").agg(F.count("*").alias("n"))
     notes = spark.read.option("lineSep", "\x00").text(f"{path}/readme")
     readme = notes.select("source", F.trim(F.regexp_replace("value", r"\n+", " ")).alias("readme"))
     return counts.join(readme, "source")

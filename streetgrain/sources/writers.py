@@ -32,6 +32,16 @@ def _rebalanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
+def _dealt_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows by key over a fixed number of tasks, which AQE doesn't merge however small they are.
+
+    By a hash of the key: Spark drops a repartition by the key itself after an aggregate by it.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(parts, F.xxhash64(*keys))
+
+
 def write_collections(addresses: DataFrame, licenses: DataFrame, path: str) -> None:
     """Address files per collection, licence class and source, licence texts beside.
 
@@ -139,6 +149,6 @@ def package_outputs(addresses: DataFrame, sources: DataFrame, path: str) -> None
         _rebalanced(rows, "source").write.mode("overwrite").partitionBy("source")
         .options(**CSV_OPTIONS).csv(f"{path}/data")
     )
-    package_readme(sources).select("source", F.col("text").alias("value")).write.mode(
-        "overwrite"
-    ).partitionBy("source").text(f"{path}/readme")
+    # Small rows, but a file each: dealt out by number, as by size all would go to one task.
+    notes = package_readme(sources).select("source", F.col("text").alias("value"))
+    _dealt_out(notes, "source").write.mode("overwrite").partitionBy("source").text(f"{path}/readme")

@@ -292,3 +292,15 @@ def test_geojson_is_parsed_once(spark, tmp_path):
     before = bytes_read(spark)
     assert readers.read_geojson(spark, str(tmp_path)).count() == 901
     assert bytes_read(spark) - before < 1.5 * size
+
+
+def test_readmes_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    # As many as the shuffle before has, so that Spark could do without the second.
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 4)
+    sources = spark.range(40).selectExpr("concat('us/s', id) AS source", "CAST(NULL AS STRING) AS website", "'Free' AS license", "'d' AS date").distinct()
+    empty = {c: F.lit("x") for c in writers.ADDRESS_COLUMNS}
+    writers.package_outputs(sources.select("source").withColumns(empty), sources, str(tmp_path))
+    notes = list((tmp_path / "readme").glob("source=*/part-*"))
+    assert len(notes) == 40 and len({n.name.split("-")[1] for n in notes}) > 1
+    assert notes[0].read_text().startswith("Website: Unknown\nLicense: Free\nDate: d\n")
+    assert len(list((tmp_path / "data").glob("source=*"))) == 40
