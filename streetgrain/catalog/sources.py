@@ -20,7 +20,7 @@ from streetgrain.catalog.views import ledger_sql, runs, table, view, view_sql
 from streetgrain.operators import changes, filters, places, spatial, statistics
 from streetgrain.operators import runs as ledger
 from streetgrain.schema import ADDRESS_COLUMNS, RUN_STATE_KEYS, X_COLUMN, Y_COLUMN
-from streetgrain.session import scratch_path
+from streetgrain.session import scratch_path, written
 from streetgrain.sources import readers, writers
 
 RAW = f"WITH raw AS ({view_sql('addr_raw')})"
@@ -261,15 +261,19 @@ def _(spark, sf_dir):
     from streetgrain.functions.licenses import license_class
 
     attr = F.when(license_class(F.col("share_alike")) == "sa", "sa").otherwise("free")
-    rows = filters.by_area(address_points(spark, sf_dir)).withColumnRenamed("area", "collection").withColumn("license_attr", attr)
-    facts = rows.groupBy("collection", "license_attr", "source_base").agg(F.count("*").alias("n"))
+    placed = lambda rows: filters.by_area(rows).withColumnRenamed("area", "collection").withColumn("license_attr", attr)
+    addresses = address_points(spark, sf_dir)
+    rows = placed(addresses)
+    # Few rows a source, from one pass over the points; the texts read them several times.
+    facts = written(placed(addresses.groupBy("source_base", "share_alike").agg(F.count("*").alias("n"))), "facts")
     texts = statistics.license_text(
         facts.withColumns({c: F.lit(None).cast("string") for c in ("website", "license", "attribution_flag", "attribution_name")}),
         ["collection", "license_attr"], "Data.",
     )
     path = scratch_path(spark, "collections")
     writers.write_collections(rows, texts, path)
-    back = spark.read.option("header", "true").csv(f"{path}/addresses")
+    schema = ", ".join(f"`{c}` string" for c in ["source", *ADDRESS_COLUMNS, "collection", "license_attr"])
+    back = spark.read.schema(schema).option("header", "true").csv(f"{path}/addresses")
     return back.groupBy("source", "collection", "license_attr").agg(
         F.count("*").alias("n"), F.sum(F.col("ID").cast("bigint")).alias("ids")
     )

@@ -304,3 +304,16 @@ def test_readmes_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert len(notes) == 40 and len({n.name.split("-")[1] for n in notes}) > 1
     assert notes[0].read_text().startswith("Website: Unknown\nLicense: Free\nDate: d\n")
     assert len(list((tmp_path / "data").glob("source=*"))) == 40
+
+
+def test_licence_texts_of_collections_do_not_read_the_points_again(spark, tmp_path, monkeypatch):
+    from streetgrain import catalog
+
+    keys = "id AS l_orderkey, id % 5 AS l_partkey, id % 30 AS l_suppkey, CAST(id % 7 + 1 AS INT) AS l_linenumber, 'N' AS l_returnflag"
+    spark.range(300).selectExpr(*keys.split(", ")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    seen, write = [], writers.write_collections
+    monkeypatch.setattr(writers, "write_collections", lambda rows, texts, path: (seen.append(texts), write(rows, texts, path)))
+    found = catalog.queries()["S10_write_collections"](spark, str(tmp_path)).collect()
+    assert sum(r.n for r in found if r.collection == "global") == 300 and len({r.source for r in found}) == 30
+    assert not any("lineitem" in f for f in seen[0].inputFiles())
+    assert seen[0].where("source_base IS NOT NULL").select("source_base").distinct().count() == 30
