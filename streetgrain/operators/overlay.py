@@ -49,18 +49,30 @@ def _at(e: np.ndarray, x: np.ndarray) -> np.ndarray:
     return e[1] + (e[3] - e[1]) * ((x - e[0]) / (e[2] - e[0]))
 
 
+def _near(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges in order of ``low``; of each in this order, how many of the next ones begin before its ``high``."""
+    order = np.argsort(low, kind="stable")
+    count = np.searchsorted(low[order], high[order], "left") - np.arange(len(low)) - 1
+    return order, np.maximum(count, 0)
+
+
 def crossings(e: np.ndarray) -> np.ndarray:
-    """x of all places where two edges cross."""
-    n = e.shape[1]
+    """x of all places where two edges cross.
+
+    Edges can cross where both their x and their y overlap; the pairs of the axis with fewer are tried.
+    """
+    low_y, high_y = np.minimum(e[1], e[3]), np.maximum(e[1], e[3])
+    order, count = min(_near(e[0], e[2]), _near(low_y, high_y), key=lambda n: n[1].sum())
+    total = np.concatenate([[0], np.cumsum(count)])
     out = [np.zeros(0)]
-    step = max(1, SLAB_ROWS // max(n, 1))
-    for at in range(0, n, step):
-        i, j = np.meshgrid(np.arange(at, min(at + step, n)), np.arange(n), indexing="ij")
-        later = i < j
-        i, j = i[later], j[later]
+    at = 0
+    while at < len(count):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + SLAB_ROWS, "right")) - 1)
+        i, k = _repeat(count[at:to])
+        i, j = order[i + at], order[i + at + 1 + k]
+        at = to
         low, high = np.maximum(e[0, i], e[0, j]), np.minimum(e[2, i], e[2, j])
-        meet = (low < high) & (np.minimum(e[1, i], e[3, i]) <= np.maximum(e[1, j], e[3, j]))
-        meet &= np.minimum(e[1, j], e[3, j]) <= np.maximum(e[1, i], e[3, i])
+        meet = np.flatnonzero((low < high) & (low_y[i] < high_y[j]) & (low_y[j] < high_y[i]))
         i, j, low, high = i[meet], j[meet], low[meet], high[meet]
         a, b = _at(e[:, i], low) - _at(e[:, j], low), _at(e[:, i], high) - _at(e[:, j], high)
         cross = a * b < 0

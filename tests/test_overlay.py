@@ -152,3 +152,27 @@ def test_coverage_of_a_tiny_island_and_a_state(spark):
     got = {r.code: (r.addr_count, r.area_total, r.area_pct, r.pop_total, r.pop_pct) for r in out.collect()}
     assert got.pop("ZZ") == (4, None, None, None, None)
     assert got == {k: pytest.approx(v, rel=1e-12) for k, v in wanted.items()}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_crossings_try_few_pairs(seed, monkeypatch):
+    """As by all pairs; of edges that are short or flat, few pairs are tried."""
+    rng = np.random.default_rng(seed)
+    n = 400
+    x, y = rng.integers(0, 40, (2, n)) / 4
+    dx, dy = rng.integers(1, 8, n) / 4, rng.integers(-8, 9, n) / 4 * (rng.random(n) < [0.0, 0.05, 0.5, 1.0, 1.0, 1.0][seed])
+    e = np.stack([x, y, x + dx, y + dy])
+    want = []
+    for i in range(n):
+        for j in range(i):
+            low, high = max(e[0, i], e[0, j]), min(e[2, i], e[2, j])
+            if low < high:
+                a, b = (overlay._at(e[:, i], v) - overlay._at(e[:, j], v) for v in (low, high))
+                if a * b < 0:
+                    want.append(low + (high - low) * (a / (a - b)))
+    repeat = overlay._repeat
+    pairs = []
+    monkeypatch.setattr(overlay, "_repeat", lambda c: (pairs.append(int(np.sum(c))), repeat(c))[1])
+    monkeypatch.setattr(overlay, "SLAB_ROWS", 1 << (20 if seed % 2 else 8))
+    np.testing.assert_allclose(np.sort(overlay.crossings(e)), np.sort(want), rtol=1e-12)
+    assert 0 < sum(pairs) < n * (n - 1) / 2 / 4 or seed == 0 and not want
