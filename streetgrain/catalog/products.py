@@ -12,7 +12,7 @@ from streetgrain.catalog.ledger import LATEST, LOST, STATS, js, last_set, second
 from streetgrain.catalog.spatial import (
     AREA_SQL, DIAMETER, HASH12, PARSED, POLED, BLOTS_SQL, STATS_SQL, bounds_sql, blots, union_sql,
 )
-from streetgrain.catalog.views import ledger_sql, runs, sets, table, view, view_sql
+from streetgrain.catalog.views import ADDR_RAW_LINES, ledger_sql, runs, sets, table, view, view_sql
 from streetgrain.functions import geo
 from streetgrain.operators import runs as ledger
 from streetgrain.plans import process, products, publish
@@ -38,6 +38,7 @@ def _(spark, sf_dir):
 
 
 # A source of eight files, each with the header, and the record of its state.
+FILES = 8
 SOURCE_COLUMNS = ["address", "city", "district", "region", "zip", "tags", "zlon", "zlat"]
 SOURCE_LINE = " || ',' || ".join(f"coalesce('\"' || replace({c}, '\"', '\"\"') || '\"', '')" for c in SOURCE_COLUMNS)
 CREDITED = {
@@ -56,11 +57,15 @@ CREDITED = {
     "CAST(NULL AS VARCHAR) AS source_problem, 'c1' AS code_version, TRUE AS tests_passed FROM digest",
 )
 def _(spark, sf_dir):
-    lines = view(spark, sf_dir, "addr_raw_lines").selectExpr("rid % 8 AS b", "rid", f"{SOURCE_LINE} AS line")
-    heads = lines.select("b").distinct().select("b", F.lit(-1).alias("rid"), F.lit(",".join(SOURCE_COLUMNS)).alias("line"))
+    # The keys are dealt out, not the lines: those are made and sorted in the task that writes them.
+    keys = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % FILES).alias("b"), "l_orderkey", "l_partkey", F.lit(False).alias("head"))
+    heads = keys.select("b", F.col("b").alias("l_orderkey"), F.lit(None).cast(keys.schema["l_partkey"].dataType).alias("l_partkey"), F.lit(True).alias("head"))
+    dealt_keys = keys.unionByName(heads.distinct()).repartition(FILES * FILES, "b")
+    rows = dealt_keys.selectExpr("b", "head", *[f"{e} AS `{n}`" for n, e in ADDR_RAW_LINES.items()])
+    line = f"CASE WHEN head THEN '{','.join(SOURCE_COLUMNS)}' ELSE {SOURCE_LINE} END AS line"
     path = scratch_path(spark, "source")
-    dealt_out = lines.unionByName(heads).repartition(8, "b").sortWithinPartitions("b", "rid", "line")
-    dealt_out.select("b", "line").write.partitionBy("b").text(path)
+    ordered = rows.selectExpr("b", "CASE WHEN head THEN -1 ELSE rid END AS rid", line).sortWithinPartitions("b", "rid", "line")
+    ordered.select("b", "line").write.partitionBy("b").text(path)
     definition = {
         "coverage": {"US Census": {"geoid": "06"}}, "protocol": "http", "conform": SPEC, **CREDITED,
         "test": {"acceptance-tests": [{"description": "plain", "inputs": {"address": "12 MAIN ST"}, "expected": {"number": "12", "street": "MAIN ST"}}]},

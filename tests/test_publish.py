@@ -124,3 +124,20 @@ def test_parcels_of_a_run_table(spark, tmp_path):
     for name in "ab":
         back = spark.read.option("header", "true").option("escape", '"').csv(str(tmp_path / "out" / "xy" / f"{name}.csv")).collect()
         assert sorted((r.NUMBER, r.STREET, r.geom[:7]) for r in back) == [("4", "Elm", "POLYGON"), ("6", None, "POLYGON")]
+
+
+def test_files_of_a_source_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    from streetgrain import catalog
+    from streetgrain.catalog import products
+
+    spark.range(400).selectExpr("id AS l_orderkey", "id % 50 AS l_partkey").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(products, "scratch_path", lambda spark, name: str(tmp_path / name))
+    state = catalog.queries()["E01_source_state"](spark, str(tmp_path)).first()
+    files = sorted((tmp_path / "source").glob("b=*/part-*"))
+    assert len(files) == 8 and state.address_count == 400
+    # By number and key alone, three files fell to one task, and no task but four had any.
+    assert len({f.name.split("-")[1] for f in files}) >= 7
+    lines = files[0].read_text().splitlines()
+    assert lines[0] == ",".join(products.SOURCE_COLUMNS) and len(lines) == 51
+    digests = "".join(hashlib.md5(f.read_bytes()).hexdigest() for f in files)
+    assert state.fingerprint == hashlib.md5(digests.encode()).hexdigest()
