@@ -386,14 +386,19 @@ def _(spark, sf_dir):
         "source", F.concat(F.lit("http://"), "source").alias("website"), F.lit(None).cast("string").alias("license"),
         F.lit("2024-01-01").alias("date"),
     )
-    path = scratch_path(spark, "packages")
+    # From one pass over the points; the readmes and the lists of folders read it.
+    sources = written(sources, "sources")
+    path, out = scratch_path(spark, "packages"), scratch_path(spark, "packaged")
     writers.package_outputs(rows, sources, path)
-    # With a schema, as Spark lists all files once more to infer one.
     schema = ", ".join(f"`{c}` string" for c in [*ADDRESS_COLUMNS, "source"])
-    counts = spark.read.schema(schema).option("header", "true").csv(f"{path}/data").groupBy("source").agg(F.count("*").alias("n"))
-    notes = spark.read.option("lineSep", "\x00").text(f"{path}/readme")
-    readme = notes.select("source", F.trim(F.regexp_replace("value", r"\n+", " ")).alias("readme"))
-    return counts.join(readme, "source")
+    found = "source string, n bigint, readme string"
+    spark.createDataFrame([], found).write.parquet(out)
+    for folders in readers.folder_names(sources.select("source")):
+        counts = readers.read_folders(spark, f"{path}/data", folders, "csv", schema, header="true").groupBy("source").agg(F.count("*").alias("n"))
+        notes = readers.read_folders(spark, f"{path}/readme", folders, "text", "value string, source string", lineSep="\x00")
+        readme = notes.select("source", F.trim(F.regexp_replace("value", r"\n+", " ")).alias("readme"))
+        counts.join(readme, "source").write.mode("append").parquet(out)
+    return spark.read.schema(found).parquet(out)
 
 
 @query("S16_excerpt", f"{RAW}, w AS (SELECT rid, 'POLYGON ((' || num || ' 1))' AS wkt FROM raw) SELECT rid, wkt, 'Polygon' AS geometry_type FROM w ORDER BY rid LIMIT 5")

@@ -22,6 +22,11 @@ RUNTIME_CONF = {
     # never compiled by the JVM; below the limit Spark generates the operator by
     # itself instead, split into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Many folders are listed by so many tasks instead of one each: the driver
+    # keeps a record of every task.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
+    # A read holds the list of its files; Spark would keep those of earlier reads too.
+    "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
 }
 
 

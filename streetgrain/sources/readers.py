@@ -28,6 +28,9 @@ _BATCH = 5000  # records sent on together
 _DEAL = 32 << 20  # bytes of a partition that records are dealt out to
 _IN_MEMORY = 64 << 20  # bytes of a JSON file up to which it is parsed from memory
 _NO_LINE = "\0" * 8  # is in no JSON text of any charset
+_FOLDERS = 10_000  # folders of a partitioned table whose files the driver holds at once
+_A_TASK = 64  # of them, for a task to read
+_AS_FOLDER = re.compile(r"""[\x01-\x1f"#%'*/:=?\[\\\]^{\x7f]""")  # written as hexadecimal numbers by Spark
 
 
 def _texts(lines: Iterator[bytes], charset: str) -> Iterator[str]:
@@ -471,6 +474,26 @@ def read_state_tsv(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter(F.col("cache").isNotNull() & F.col("processed").isNotNull())
 
 
+def folder_names(values: DataFrame) -> Iterator[list[str]]:
+    """Names ``key=value`` of the folders that a write partitioned by the only column of ``values`` makes, some thousand at a time."""
+    key, = values.columns
+    # Null and empty text share a folder.
+    found = values.select(F.nullif(F.col(key), F.lit("")).alias(key)).distinct().toLocalIterator()
+    while rows := list(itertools.islice(found, _FOLDERS)):
+        yield [f"{key}=__HIVE_DEFAULT_PARTITION__" if v is None else f"{key}={_AS_FOLDER.sub(lambda c: f'%{ord(c[0]):02X}', v)}" for v, in rows]
+
+
+def read_folders(spark: SparkSession, path: str, folders: list[str], form: str, schema: str, **options: str) -> DataFrame:
+    """Rows of some folders of a partitioned table; no others are listed.
+
+    Spark's driver holds a record of each file and each task of a read, so a
+    table with a folder per source is read by ``folder_names``.
+    """
+    reader = spark.read.format(form).schema(schema).options(basePath=path, **options)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, len(folders) // _A_TASK)
+    return reader.load([f"{path}/{f}" for f in folders]).coalesce(tasks)
+
+
 def excerpt(df: DataFrame, order: list, rows: int = 5, geometry: str | None = None) -> DataFrame:
     """First rows of a source in a given order, with its geometry type.
 

@@ -28,18 +28,25 @@ def write_addresses(df: DataFrame, path: str, form: str = "csv") -> None:
         rows.write.mode("overwrite").format(form).save(path)
 
 
-def _rebalanced(df: DataFrame, *keys: str) -> DataFrame:
+# Sources to a partition that Spark may cut by rows.
+_SOURCES = 100
+
+
+def _rebalanced(df: DataFrame, *keys: str | int) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
+def _partitions(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def _dealt_out(df: DataFrame, *keys: str) -> DataFrame:
     """Rows by key over a fixed number of tasks, which AQE doesn't merge however small they are.
 
     By a hash of the key: Spark drops a repartition by the key itself after an aggregate by it.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(parts, F.xxhash64(*keys))
+    return df.repartition(_partitions(df), F.xxhash64(*keys))
 
 
 def write_collections(addresses: DataFrame, licenses: DataFrame, path: str) -> None:
@@ -143,10 +150,15 @@ def package_readme(sources: DataFrame) -> DataFrame:
 
 
 def package_outputs(addresses: DataFrame, sources: DataFrame, path: str) -> None:
-    """Address data and a README per source."""
+    """Address data and a README per source.
+
+    The driver is told of each file. A partition that is cut by rows gives each
+    of its sources several files, so there is one for some hundred sources.
+    """
     rows = addresses.select("source", *ADDRESS_COLUMNS)
+    parts = max(_partitions(rows), -(-sources.count() // _SOURCES))
     (
-        _rebalanced(rows, "source").write.mode("overwrite").partitionBy("source")
+        _rebalanced(rows, parts, "source").write.mode("overwrite").partitionBy("source")
         .options(**CSV_OPTIONS).csv(f"{path}/data")
     )
     # Small rows, but a file each: dealt out by number, as by size all would go to one task.

@@ -317,3 +317,73 @@ def test_licence_texts_of_collections_do_not_read_the_points_again(spark, tmp_pa
     assert sum(r.n for r in found if r.collection == "global") == 300 and len({r.source for r in found}) == 30
     assert not any("lineitem" in f for f in seen[0].inputFiles())
     assert seen[0].where("source_base IS NOT NULL").select("source_base").distinct().count() == 30
+
+
+def test_packages_are_read_back_some_folders_at_a_time(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    from streetgrain import catalog
+
+    keys = "id AS l_orderkey; id % 5 AS l_partkey; nullif(id % 31, 30) AS l_suppkey; CAST(id % 7 + 1 AS INT) AS l_linenumber; 'N' AS l_returnflag"
+    spark.range(310).selectExpr(*keys.split("; ")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(readers, "_FOLDERS", 7, raising=False)
+    files = []
+    for name in ("load", "csv", "text"):
+        def read(self, *a, f=getattr(DataFrameReader, name), **b):
+            df = f(self, *a, **b)
+            files.append({x for x in df.inputFiles() if "source=" in x})
+            return df
+
+        monkeypatch.setattr(DataFrameReader, name, read)
+    found = catalog.queries()["S15_package_outputs"](spark, str(tmp_path)).collect()
+    # Rows without a latitude aren't on earth, so no source is null.
+    assert sorted(r.n for r in found) == [10] * 30 and len({r.source for r in found}) == 30
+    assert all(r.readme == f"Website: http://{r.source} License: Unknown Date: 2024-01-01" for r in found)
+    # Before, the driver listed the files of all sources at once.
+    assert len(set().union(*files)) == 60 and max(map(len, files)) <= 7
+
+
+def test_folders_are_found_by_their_values(spark, tmp_path, monkeypatch):
+    names = ["a/b=c%", "a:b", "{x}", "}", "[y]*?^", "é ü", " ", "'\"#\\", "x\ny\t\x7f", "%41", "", "1", "1", None, "a,b"]
+    rows = spark.createDataFrame([(n, str(i)) for i, n in enumerate(names)], "source string, value string")
+    rows.write.mode("overwrite").partitionBy("source").text(str(tmp_path))
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    marks = spark.createDataFrame([(chr(c),) for c in range(1, 256)], "v string")
+    assert sorted(f for part in readers.folder_names(marks) for f in part) == sorted(f"v={escaped(chr(c))}" for c in range(1, 256))
+    monkeypatch.setattr(readers, "_FOLDERS", 4)
+    parts = [readers.read_folders(spark, str(tmp_path), f, "text", "value string, source string").collect() for f in readers.folder_names(rows.select("source"))]
+    assert len(parts) == 4 and all(len({r.source for r in p}) <= 4 for p in parts)
+    assert sorted((r.source or "", r.value) for p in parts for r in p) == sorted((n or "", str(i)) for i, n in enumerate(names))
+    assert list(readers.folder_names(rows.select("source").limit(0))) == []
+
+
+def test_many_folders_are_listed_by_fewer_tasks(spark, tmp_path):
+    for i in range(260):
+        (tmp_path / f"source={i}").mkdir()
+        (tmp_path / f"source={i}" / "part-0").write_text("x\n")
+    context = spark.sparkContext
+    context.setJobGroup("listing", "listing")
+    try:
+        assert spark.read.schema("value string, source int").text(str(tmp_path)).select("source").distinct().count() == 260
+        status = context.statusTracker()
+        stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("listing") for s in status.getJobInfo(j).stageIds]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    # Before, a task for each.
+    assert 100 < max(s.numTasks for s in stages if s) <= 200
+
+
+def test_small_sources_take_one_file(spark, tmp_path, monkeypatch):
+    # Each source has rows in all parts of the input, and four partitions of all sources are too large.
+    monkeypatch.setattr(writers, "_SOURCES", 2, raising=False)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        rows = spark.range(0, 24000, 1, 8).selectExpr("concat('us/s', id % 40) AS source", *[f"sha2(CAST(id AS STRING), 256) AS `{c}`" for c in writers.ADDRESS_COLUMNS[:2]], *[f"'x' AS `{c}`" for c in writers.ADDRESS_COLUMNS[2:]])
+        sources = spark.range(40).selectExpr("concat('us/s', id) AS source", "'w' AS website", "'l' AS license", "'d' AS date")
+        writers.package_outputs(rows, sources, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = list((tmp_path / "data").glob("source=*/part-*"))
+    assert len({f.parent for f in files}) == 40
+    assert len(files) == 40
